@@ -3,13 +3,12 @@ from several publishers. All work on narrow rows and none holds a whole group in
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tendersift import labels as L
-from tendersift.scale import BUCKET_WIDTH, attach_by_key, keep_first, number_rows
+from tendersift.scale import BUCKET_WIDTH, attach_by_key, keep_first, lookup, number_rows
 from tendersift.session import cut_lineage
 
 UNKNOWN_AGE = -1_000_000   # stands for a null age inside join keys
@@ -28,8 +27,9 @@ def never_qualifying(df: DataFrame, min_postings: int = 3) -> DataFrame:
             .filter((F.col("n_postings") >= min_postings) & (F.col("n_signals") == 0)))
 
 
-def apply_never_qualifying(df: DataFrame, min_postings: int = 3) -> DataFrame:
-    marked = attach_by_key(df, never_qualifying(df, min_postings), ["entity_key"], "n_postings", "seq")
+def apply_never_qualifying(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Postings of the publishers in `stats` count as hiring."""
+    marked = attach_by_key(df, stats, ["entity_key"], "n_postings", "seq")
     hit = F.col("n_postings").isNotNull()
     return marked.withColumns({
         "kind": F.when(hit, F.lit(L.HIRING)).otherwise(F.col("kind")),
@@ -42,15 +42,13 @@ def recurring_groups(df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_same")).filter(F.col("n_same") >= 2))
 
 
-def apply_recurrence(df: DataFrame) -> DataFrame:
+def apply_recurrence(df: DataFrame, stats: DataFrame) -> DataFrame:
     """WIN2: a recurring need that is aged but not older than 90 days becomes backlog."""
-    marked = attach_by_key(df, recurring_groups(df), ["entity_key", "title_norm"], "n_same", "seq")
-    recurring = F.col("n_same").isNotNull()
-    young = F.coalesce(F.col("age") <= L.BACKLOG_DAYS, F.lit(False))
-    return marked.withColumns({
-        "recurring": recurring,
-        "window": F.when((F.col("window") == L.W_AGED) & recurring & young, F.lit(L.W_BACKLOG))
-        .otherwise(F.col("window"))}).drop("n_same")
+    marked = attach_by_key(df, stats, ["entity_key", "title_norm"], "n_same", "seq")
+    young = f"coalesce(age <= {L.BACKLOG_DAYS}, false)"
+    window = f"CASE WHEN window = '{L.W_AGED}' AND recurring AND {young} THEN '{L.W_BACKLOG}' ELSE window END"
+    return (marked.withColumn("recurring", F.col("n_same").isNotNull())
+            .withColumn("window", F.expr(window)).drop("n_same"))
 
 
 # --- the same item from several publishers -------------------------------------------------------
@@ -80,43 +78,35 @@ def _candidate_table(classes: DataFrame, targets: DataFrame, value: str, days: i
     combo = F.explode(combinations(F.col("signature"))).alias("combo")
     have = (classes.select(combo, "age_key", F.col("entity_key").alias("e"), F.col(value).alias("v"))
             .groupBy("combo", "age_key", "e").agg(F.min("v").alias("v")))
-    ranked = keep_top(have, ["combo", "age_key"], 2)
-    per_age = ranked.groupBy("combo", "age_key").agg(F.collect_list(F.struct("v", "e")).alias("c"))
-    overall = keep_top(have.groupBy("combo", "e").agg(F.min("v").alias("v")), ["combo"], 2)
-    overall = overall.groupBy("combo").agg(F.collect_list(F.struct("v", "e")).alias("all_c"))
-    undated = per_age.filter(F.col("age_key") == UNKNOWN_AGE).select("combo", F.col("c").alias("undated_c"))
-
-    asked = targets.select("signature", "age_key").distinct()
-    asked_combo = asked.select("signature", "age_key", combo)
+    best_first = Window.partitionBy("combo", "age_key").orderBy("v", "e")
+    two = have.withColumn("r", F.row_number().over(best_first)).filter("r <= 2")
+    asked = targets.select("signature", "age_key").distinct().select("signature", "age_key", combo)
     # one row per (combo, age): at most as many rows per combination as there are different ages
-    points = (per_age.unionByName(asked_combo.select("combo", "age_key").distinct()
-                                  .withColumn("c", F.array().cast(per_age.schema["c"].dataType)))
-              .groupBy("combo", "age_key").agg(F.flatten(F.collect_list("c")).alias("c"))
-              .filter(F.col("age_key") != UNKNOWN_AGE))
+    pair = F.when(F.col("v").isNotNull(), F.struct("v", "e"))
+    points = (two.select("combo", "age_key", pair.alias("p"))
+              .unionByName(asked.select("combo", "age_key", F.lit(None).cast(T.StructType([
+                  T.StructField("v", classes.schema[value].dataType), T.StructField("e", T.StringType())])).alias("p")).distinct())
+              .groupBy("combo", "age_key").agg(F.collect_list("p").alias("c")))
     near = Window.partitionBy("combo").orderBy("age_key").rangeBetween(-days, days)
-    dated = points.select("combo", "age_key", F.flatten(F.collect_list("c").over(near)).alias("near_c"))
-    empty = F.array().cast(per_age.schema["c"].dataType)
-    found = (asked_combo.join(dated, ["combo", "age_key"], "left").join(undated, "combo", "left")
-             .join(overall, "combo", "left")
-             .withColumn("c", F.when(F.col("age_key") == UNKNOWN_AGE, F.coalesce("all_c", empty))
-                         .otherwise(F.concat(F.coalesce("near_c", empty), F.coalesce("undated_c", empty)))))
-    return (found.groupBy("signature", "age_key")
-            .agg(_two_best(F.flatten(F.collect_list(_two_best(F.col("c"))))).alias("cands")))
-
-
-def keep_top(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy("v", "e")
-    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+    whole = points.groupBy("combo").agg(
+        F.flatten(F.collect_list("c")).alias("all_c"),
+        F.max(F.when(F.col("age_key") == UNKNOWN_AGE, F.col("c"))).alias("undated_c"))
+    reach = (points.select("combo", "age_key", F.flatten(F.collect_list("c").over(near)).alias("near_c"))
+             .join(whole, "combo")
+             .select("combo", "age_key", _two_best(
+                 F.when(F.col("age_key") == UNKNOWN_AGE, F.col("all_c"))
+                 .when(F.col("undated_c").isNull(), F.col("near_c"))
+                 .otherwise(F.concat("near_c", "undated_c"))).alias("c")))
+    return (asked.join(reach, ["combo", "age_key"]).groupBy("signature", "age_key")
+            .agg(_two_best(F.flatten(F.collect_list("c"))).alias("cands")))
 
 
 def _best_match(classes: DataFrame, targets: DataFrame, value: str, days: int) -> DataFrame:
     """Targets with `best`: the smallest value among matching classes of other publishers, or null."""
-    table = _candidate_table(classes, targets, value, days)
-    weights = targets.groupBy("signature", "age_key").agg(F.count(F.lit(1)).alias("_w"))
-    table = table.join(weights, ["signature", "age_key"])
-    t = attach_by_key(targets, table, ["signature", "age_key"], "_w", "class_id")
+    table = cut_lineage(_candidate_table(classes, targets, value, days))
+    t = lookup(targets, table, ["signature", "age_key"], "class_id")
     mine = F.filter(F.col("cands"), lambda x: x["e"] != F.col("entity_key"))
-    return t.withColumn("best", F.get(mine, F.lit(0))["v"]).drop("cands", "_w")
+    return t.withColumn("best", F.get(mine, F.lit(0))["v"]).drop("cands")
 
 
 def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = BUCKET_WIDTH) -> DataFrame:
@@ -134,9 +124,7 @@ def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = B
     base = df.select("seq", "entity_key", F.array_sort(F.array_distinct("signature")).alias("signature"),
                      F.coalesce(F.col("age"), F.lit(UNKNOWN_AGE)).alias("age_key")).filter(F.size("signature") >= 2)
     key = ["signature", "entity_key", "age_key"]
-    classes = cut_lineage(base.groupBy(*key).agg(F.min("seq").alias("class_id"), F.max("seq").alias("_last"),
-                                                  F.count(F.lit(1)).alias("n_records"))
-                          .withColumn("_neg_last", -F.col("_last")))
+    classes = cut_lineage(base.groupBy(*key).agg(F.min("seq").alias("class_id"), (-F.max("seq")).alias("_neg_last")))
     open_, starters = classes, []
     while not open_.isEmpty():
         ranked = cut_lineage(_best_match(open_, open_, "class_id", days))
@@ -153,10 +141,8 @@ def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = B
 
     # a starting record opens a group only if some match comes later
     reach = _best_match(classes, seeds, "_neg_last", days).filter(F.col("best").isNotNull())
-    reach = reach.select(*key, (-F.col("best")).alias("last_match"), F.col("n_records"), F.lit(True).alias("starts"))
-    weighted = classes.select(*key, "n_records").join(reach.drop("n_records"), key, "left")
-    rows = attach_by_key(base, weighted, key, "n_records", "seq")
-    rows = cut_lineage(rows.drop("n_records"))
+    reach = reach.select(*key, (-F.col("best")).alias("last_match"), F.lit(True).alias("starts"))
+    rows = cut_lineage(lookup(base, cut_lineage(classes.select(*key).join(reach, key, "left")), key, "seq"))
     openers = rows.filter(F.col("starts") & (F.col("seq") < F.col("last_match"))).select(*key, "seq")
     numbered = cut_lineage(number_rows(openers, "seq", "group_no", width))
     joined = _last_opener(numbered, rows.filter(F.col("starts").isNull()).select(*key, "seq"), days, width)
@@ -180,13 +166,12 @@ def _last_opener(openers: DataFrame, targets: DataFrame, days: int, width: int)
     near = F.filter("present", lambda p: (p["o_entity"] != F.col("entity_key")) & (
         (F.col("age_key") == UNKNOWN_AGE) | (p["o_age"] == UNKNOWN_AGE)
         | (F.abs(p["o_age"] - F.col("age_key")) <= days)))
-    shape = targets.groupBy("signature", "age_key", "entity_key").agg(F.count(F.lit(1)).alias("_w"))
+    shape = targets.select("signature", "age_key", "entity_key").distinct()
     reach = (shape.select("signature", "age_key", "entity_key", combo).join(present, "combo")
              .select("signature", "age_key", "entity_key", F.explode(
                  F.transform(near, lambda p: F.struct(F.col("combo").alias("combo"), p["o_age"].alias("o_age")))).alias("k"))
              .groupBy("signature", "age_key", "entity_key").agg(F.collect_set("k").alias("ks")))
-    reach = reach.join(shape, ["signature", "age_key", "entity_key"])
-    t = attach_by_key(targets, reach, ["signature", "age_key", "entity_key"], "_w", "seq")
+    t = lookup(targets, cut_lineage(reach), ["signature", "age_key", "entity_key"], "seq")
     t = t.select("seq", F.explode("ks").alias("k")).select("seq", F.col("k.combo").alias("combo"), F.col("k.o_age").alias("o_age"))
     both = (o.select("combo", "o_age", "seq", F.col("seq").alias("opener"))
             .unionByName(t.withColumn("opener", F.lit(None).cast("long")))

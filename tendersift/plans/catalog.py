@@ -1,4 +1,4 @@
 """All registered queries; importing a module registers what it holds."""
 
-from tendersift.plans import queries_screen  # noqa: F401
+from tendersift.plans import queries_notices, queries_screen  # noqa: F401
 from tendersift.plans.registry import ORACLE, QUERIES  # noqa: F401

@@ -146,3 +146,80 @@ def verdict_counts(spark, sf):
     from tendersift.functions.dates import literal_map
     d = screen(postings(spark, sf), book(), today()).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
     return d.withColumn("rank", literal_map(L.VERDICT_ORDER)[F.col("verdict")]).orderBy("rank")
+
+
+def kept_postings(spark, sf):
+    return drop_duplicates_first(classify_postings(postings(spark, sf), book(), today()))
+
+
+@query(with_views("SELECT seq, entity_key, title_norm FROM kept"))
+def dedup_first(spark, sf):
+    """First of each (publisher, title, opening of the text)."""
+    return kept_postings(spark, sf).select("seq", "entity_key", "title_norm")
+
+
+@query("""SELECT text_key, max(doc_id) AS last_id, max_by(source, doc_id) AS last_source
+  FROM (SELECT doc_id, source, sha256(text) AS text_key FROM documents) GROUP BY text_key""")
+def dedup_last(spark, sf):
+    """A fresh record replaces the older one of the same key."""
+    d = read(spark, sf, "documents").select("doc_id", "source", F.sha2("text", 256).alias("text_key"))
+    return keep_last(d, ["text_key"], ["doc_id"]).select("text_key", F.col("doc_id").alias("last_id"),
+                                                         F.col("source").alias("last_source"))
+
+
+@query("""SELECT user_id, event_type, count(*) AS n_same FROM events WHERE event_type <> '' GROUP BY ALL
+  HAVING count(*) >= 2""")
+def recurring_need(spark, sf):
+    d = read(spark, sf, "events").select(F.col("user_id").cast("string").alias("entity_key"),
+                                         F.col("event_type").alias("title_norm"))
+    return recurring_groups(d).select(F.col("entity_key").cast("long").alias("user_id"),
+                                      F.col("title_norm").alias("event_type"), "n_same")
+
+
+@query("""SELECT event_id, user_id, n_same IS NOT NULL AS recurring FROM events LEFT JOIN
+  (SELECT user_id, event_type, count(*) AS n_same FROM events GROUP BY ALL HAVING count(*) >= 15) s USING (user_id, event_type)""")
+def recurring_marked(spark, sf):
+    """Group sizes joined back to the rows, hot groups apart."""
+    d = read(spark, sf, "events").select("event_id", "user_id", "event_type")
+    s = d.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n_same")).filter("n_same >= 15")
+    return attach_by_key(d, s, ["user_id", "event_type"], "n_same", "event_id").select(
+        "event_id", "user_id", F.col("n_same").isNotNull().alias("recurring"))
+
+
+@query(f"""SELECT source AS entity_key, count(*) AS n_postings, CAST(0 AS BIGINT) AS n_signals
+  FROM (SELECT source, {s_any("concat(' ', lower(text), ' ')", "reference_code")} AS sig FROM documents)
+  GROUP BY source HAVING count(*) >= 3 AND sum(CAST(sig AS INTEGER)) = 0""")
+def never_qualifies(spark, sf):
+    """Sources with three or more documents and no signal term in any of them."""
+    d = docs(spark, sf).withColumn("_p", padded()).select(F.col("source").alias("entity_key"),
+                                                          book().hit("reference_code", "_p").alias("has_signal"))
+    return never_qualifying(d)
+
+
+_VOCAB = s_list(sorted(SUBSTRING_SETS["signature"]))
+S_GROUPS = with_views(f""", elig AS (
+  SELECT seq, entity_key, age, row_number() OVER (ORDER BY seq) AS rn, sig FROM (
+    SELECT seq, entity_key, age, list_filter({_VOCAB}, lambda v: contains({s_fold('title')}, v)) AS sig FROM kept
+    WHERE kind IN ('mission_regie', 'a_confirmer')) WHERE len(sig) >= 2),
+edge AS (SELECT a.rn AS i, b.rn AS j FROM elig a JOIN elig b ON a.rn < b.rn AND a.entity_key <> b.entity_key
+  AND len(list_intersect(a.sig, b.sig)) >= 2 AND (a.age IS NULL OR b.age IS NULL OR abs(a.age - b.age) <= 15)),
+prev AS (SELECT rn, coalesce(js, CAST([] AS BIGINT[])) AS js FROM elig LEFT JOIN
+  (SELECT j, list(i) AS js FROM edge GROUP BY j) ON j = rn),
+walk AS (SELECT CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS seeds UNION ALL
+  SELECT p.rn, CASE WHEN len(list_intersect(p.js, w.seeds)) = 0 THEN list_append(w.seeds, p.rn) ELSE w.seeds END
+  FROM walk w JOIN prev p ON p.rn = w.rn + 1),
+seed AS (SELECT unnest(seeds) AS rn FROM walk ORDER BY walk.rn DESC LIMIT (SELECT coalesce(max(len(seeds)), 0) FROM walk)),
+opener AS (SELECT rn, row_number() OVER (ORDER BY rn) AS group_no FROM seed WHERE rn IN (SELECT i FROM edge)),
+tag AS (SELECT rn, rn AS g FROM opener UNION ALL
+  SELECT j AS rn, max(i) AS g FROM edge JOIN opener ON i = opener.rn WHERE j NOT IN (SELECT rn FROM seed) GROUP BY j)
+SELECT e.seq, s.seq AS group_seed, o.group_no FROM tag JOIN elig e ON e.rn = tag.rn JOIN elig s ON s.rn = tag.g
+  JOIN opener o ON o.rn = tag.g""").replace("WITH", "WITH RECURSIVE", 1).replace("\n, elig", ",\nelig")
+
+
+@query(S_GROUPS)
+def same_item_group_numbers(spark, sf):
+    """The same item from several publishers, numbered in the order the groups open."""
+    from tendersift.session import cut_lineage
+    kept = cut_lineage(kept_postings(spark, sf).filter(F.col("kind").isin(L.MISSION, L.TO_CONFIRM))
+                       .select("seq", "entity_key", "signature", "age"))
+    return same_item_groups(kept).select("seq", "group_seed", "group_no")

@@ -9,8 +9,9 @@ from tendersift import labels as L
 from tendersift.functions.dates import literal_map
 from tendersift.operators.classify import classify_postings, verdict_of
 from tendersift.operators.cross import (apply_never_qualifying, apply_recurrence, apply_same_item,
-                                        drop_duplicates_first)
+                                        drop_duplicates_first, never_qualifying, recurring_groups)
 from tendersift.rules import RuleBook
+from tendersift.session import cut_lineage
 
 
 def with_verdict(df: DataFrame) -> DataFrame:
@@ -20,11 +21,12 @@ def with_verdict(df: DataFrame) -> DataFrame:
 def screen(postings: DataFrame, book: RuleBook, today: Column, groups: bool = False) -> DataFrame:
     """All postings with their verdict, from the fields of `schema.POSTING`.
 
-    The net for publishers changes the kind before groups and verdicts are decided; recurrence may
+    The texts are read once: classification is row by row, and its narrow result is written before
+    the cross-record steps use it several times. The net for publishers changes the kind before groups and verdicts are decided; recurrence may
     turn aged into backlog. `groups=True` adds the multi-publisher groups.
     """
-    d = drop_duplicates_first(classify_postings(postings, book, today))
-    d = apply_recurrence(apply_never_qualifying(d))
+    kept = cut_lineage(drop_duplicates_first(classify_postings(postings, book, today)))
+    d = apply_recurrence(apply_never_qualifying(kept, never_qualifying(kept)), recurring_groups(kept))
     if groups:
         d = apply_same_item(d)
     return with_verdict(d)

@@ -69,6 +69,16 @@ def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], weight:
     return both.select(*df.columns, *[pick[c].alias(c) for c in values])
 
 
+def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
+           max_rows: int = 200_000) -> DataFrame:
+    """Left join of a written table with one row per key: broadcast up to `max_rows` counted rows,
+    beyond that the hot keys of `df` are set apart as in `attach_by_key`."""
+    if table.limit(max_rows + 1).count() <= max_rows:
+        return df.join(F.broadcast(table), list(keys), "left")
+    weights = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_weight"))
+    return attach_by_key(df, table.join(weights, list(keys)), keys, "_weight", spread).drop("_weight")
+
+
 def number_rows(df: DataFrame, seq: str, out: str, width: int = BUCKET_WIDTH) -> DataFrame:
     """Consecutive numbers 1..n in order of the unique whole-number column `seq`.
 

@@ -74,7 +74,7 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     con, qs, sqls, bad = oracle(sf), queries(), oracle_sql(), []
     for name, fn in qs.items():
-        if wanted and not any(name.startswith(w) for w in wanted):
+        if wanted and not any(name.startswith(w) or fn.__module__.endswith(w) for w in wanted):
             continue
         try:
             ok, msg = compare(spark, con, name, fn, sqls.get(name), sf)
