@@ -14,6 +14,7 @@ from tendersift.functions.dates import any_date, date_from_parts, day_first_date
 from tendersift.operators import filters as K
 from tendersift.operators.classify import first_match
 from tendersift.rules import RuleBook
+from tendersift.scale import lookup
 from tendersift.schema import FORECAST, NOTICE
 
 
@@ -228,9 +229,9 @@ def or_unspecified(c: Column, default: str = L.UNSPECIFIED) -> Column:
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(default))
 
 
-def enrich_survivors(survivors: DataFrame, details: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """JOI10: details only for what is left after the filters; one detail row per key."""
+def enrich_survivors(survivors: DataFrame, details: DataFrame, key: str, columns: Sequence[str], spread: str) -> DataFrame:
+    """JOI10: details only for what is left after the filters; `details` has one row per key."""
     d = details.select(key, *[F.col(x).alias("_d_" + x) for x in columns])
-    out = survivors.join(d, key, "left")
+    out = lookup(survivors, d, [key], spread)
     return out.withColumns({x: F.coalesce(F.col("_d_" + x), F.col(x) if x in survivors.columns else F.lit(None))
                             for x in columns}).drop(*["_d_" + x for x in columns])

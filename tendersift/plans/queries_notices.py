@@ -13,7 +13,6 @@ from tendersift.operators import notices as O
 from tendersift.plans.registry import (S_PAD, S_TITLE, TODAY, book, docs, padded, q, query, read, s_any, s_list, s_terms,
                                        s_word, today)
 from tendersift.plans.sample_rules import SUBSTRING_SETS
-from tendersift.scale import attach_by_key
 
 TODAY_SQL = f"DATE '{TODAY}'"
 
@@ -377,7 +376,7 @@ def prefilled_fields(spark, sf):
 def enrich_survivors(spark, sf):
     s = orders(spark, sf).filter("o_totalprice > 400000").select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("k"))
     d = read(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("deposit"))
-    return O.enrich_survivors(s, d, "k", ["deposit"]).drop("k")
+    return O.enrich_survivors(s, d, "k", ["deposit"], "o_orderkey").drop("k")
 
 
 @query(f"""WITH h AS (SELECT doc_id, text, list_filter(list_transform({s_list(SUBSTRING_SETS['recall'])}, lambda t: struct_pack(
