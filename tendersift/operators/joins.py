@@ -120,7 +120,13 @@ def merge_reference(scraped: DataFrame, reference: DataFrame, keys: Sequence[str
     return first.unionByName(ref, allowMissingColumns=True)
 
 
-def missing_labels(valid: DataFrame, found: DataFrame) -> DataFrame:
-    """SET5: valid labels that no found label contains, without regard to case. Both are short lists."""
-    f = found.select(F.lower("label").alias("f")).distinct().agg(F.array_join(F.collect_set("f"), "\u0001").alias("all"))
-    return valid.join(F.broadcast(f), F.contains(F.col("all"), F.lower("label")), "left_anti")
+def missing_labels(found: DataFrame, label: str, valid: Sequence[str]) -> DataFrame:
+    """SET5: valid labels that no found label contains, without regard to case.
+
+    `valid` is the fixed list of a report. Each found label is matched inside its row, so at most
+    one row per valid label and task is shuffled.
+    """
+    names = F.array(*[F.lit(v) for v in valid])
+    present = (found.select(F.explode(F.filter(names, lambda v: F.contains(F.lower(label), F.lower(v)))).alias("label")).distinct())
+    every = found.sparkSession.createDataFrame([(v,) for v in valid], "label string")
+    return every.join(present, "label", "left_anti")

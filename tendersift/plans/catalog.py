@@ -1,4 +1,5 @@
 """All registered queries; importing a module registers what it holds."""
 
-from tendersift.plans import queries_notices, queries_screen, queries_tables  # noqa: F401
+from tendersift.plans import (queries_notices, queries_screen, queries_similar, queries_tables,  # noqa: F401
+                              queries_text)
 from tendersift.plans.registry import ORACLE, QUERIES  # noqa: F401
