@@ -31,17 +31,11 @@ def _range_token(c: Column) -> Column:
 def amount_range(c: Column) -> Column:
     """NUM2: struct(low, high) of `40k - 100k€`, `+ 100M€`, `<50k` or one amount."""
     s = F.trim(c)
-    first = F.left(s, F.lit(1))
-    rest = F.regexp_replace(s, "^.", "")
-    dash = F.contains(s, F.lit("-"))
-    left = F.split(s, "-", 2)[0]
-    right = F.get(F.split(s, "-", 2), F.lit(1))
-    none = F.lit(None).cast("double")
-    low = (F.when(first.isin("+", ">"), _range_token(rest)).when(first == "<", none)
-           .when(dash, _range_token(left)).otherwise(_range_token(s)))
-    high = (F.when(first.isin("+", ">"), none).when(first == "<", _range_token(rest))
-            .when(dash, _range_token(right)).otherwise(_range_token(s)))
-    return F.struct(low.alias("low"), high.alias("high"))
+    rest, none = F.regexp_replace(s, "^.", ""), F.lit(None).cast("string")
+    tokens = (F.when(s.rlike("^[+>]"), F.array(rest, none)).when(s.startswith("<"), F.array(none, rest))
+              .when(s.contains("-"), F.split(s, "-", 2)).otherwise(F.array(s, s)))
+    both = F.transform(tokens, _range_token)
+    return F.transform(F.array(both), lambda r: F.struct(r[0].alias("low"), r[1].alias("high")))[0]
 
 
 def local_amount(c: Column) -> Column:

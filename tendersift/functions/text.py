@@ -155,15 +155,17 @@ def keyword_in_context(column: str, terms: Sequence[str], left: int, right: int,
     Null without a hit.
     """
     words = ", ".join(quoted(t.strip().lower()) for t in terms)
-    hit = (f"get(filter(transform(array({words}), t -> named_struct('at', instr(lower({column}), t), 'n', length(t))),"
-           f" h -> h.at > 0), 0)")
-    start = f"greatest(0, {hit}.at - 1 - {left})"
-    end = f"least(length({column}), {hit}.at - 1 + {right}" + (f" + {hit}.n)" if past_term else ")")
-    cut = f"substring({column}, {start} + 1, {end} - {start})"
+    # transform over a one-element array names a value that is used more than once
+    hit = (f"get(transform(array(lower({column})), low -> get(filter(transform(array({words}), "
+           f"t -> named_struct('at', instr(low, t), 'n', length(t))), h -> h.at > 0), 0)), 0)")
+    size = f"length({column})"
+    span = (f"transform(array({hit}), h -> named_struct('lo', greatest(0, h.at - 1 - {left}), "
+            f"'hi', least({size}, h.at - 1 + {right}{' + h.n' if past_term else ''}), 'found', h IS NOT NULL))")
+    cut = f"substring({column}, s.lo + 1, s.hi - s.lo)"
     marked = f"concat({quoted(before)}, {cut}, {quoted(after)})"
     if not always:
-        marked = f"CASE WHEN {start} = 0 AND {end} >= length({column}) THEN {cut} ELSE {marked} END"
-    return F.expr(f"CASE WHEN {hit} IS NOT NULL THEN {marked} END")
+        marked = f"CASE WHEN s.lo = 0 AND s.hi >= {size} THEN {cut} ELSE {marked} END"
+    return F.expr(f"get(transform({span}, s -> CASE WHEN s.found THEN {marked} END), 0)")
 
 
 def strip_label(c: Column, labels: Sequence[str]) -> Column:

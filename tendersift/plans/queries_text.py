@@ -177,7 +177,9 @@ def page_text(spark, sf):
     return pages(spark, sf).select("page_id", G.page_text(F.col("html")).alias("text"))
 
 
-@query("SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages")
+@query("""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'),
+    '&#(x27|39);?', '''', 'g'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) AS title FROM pages""")
 def page_titles(spark, sf):
     rows = G.listing_rows(pages(spark, sf), r"(?s)<head>(.*?)</head>", {"title": r"(?s)<title>(.*?)</title>"})
     return rows.select("page_id", "title")
