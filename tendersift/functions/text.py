@@ -108,7 +108,7 @@ def title_key_folded(c: Column) -> Column:
 def signature(folded: str, vocabulary: Sequence[str]) -> Column:
     """STR5: the vocabulary terms contained in the folded title column, in alphabetical order."""
     terms = ", ".join(quoted(t) for t in sorted({fold_text(v) for v in vocabulary}))
-    return F.expr(f"filter(cast(array({terms}) AS array<string>), t -> contains({folded}, t))")
+    return F.expr(f"filter(cast(array({terms}) AS array<string>), _term -> contains({folded}, _term))")
 
 
 def first_sentence(c: Column) -> Column:
@@ -156,16 +156,16 @@ def keyword_in_context(column: str, terms: Sequence[str], left: int, right: int,
     """
     words = ", ".join(quoted(t.strip().lower()) for t in terms)
     # transform over a one-element array names a value that is used more than once
-    hit = (f"get(transform(array(lower({column})), low -> get(filter(transform(array({words}), "
-           f"t -> named_struct('at', instr(low, t), 'n', length(t))), h -> h.at > 0), 0)), 0)")
+    hit = (f"get(transform(array(lower({column})), _low -> get(filter(transform(array({words}), _term -> named_struct("
+           f"'at', instr(_low, _term), 'n', length(_term))), _hit -> _hit.at > 0), 0)), 0)")
     size = f"length({column})"
-    span = (f"transform(array({hit}), h -> named_struct('lo', greatest(0, h.at - 1 - {left}), "
-            f"'hi', least({size}, h.at - 1 + {right}{' + h.n' if past_term else ''}), 'found', h IS NOT NULL))")
-    cut = f"substring({column}, s.lo + 1, s.hi - s.lo)"
+    span = (f"transform(array({hit}), _hit -> named_struct('lo', greatest(0, _hit.at - 1 - {left}), "
+            f"'hi', least({size}, _hit.at - 1 + {right}{' + _hit.n' if past_term else ''}), 'found', _hit IS NOT NULL))")
+    cut = f"substring({column}, _span.lo + 1, _span.hi - _span.lo)"
     marked = f"concat({quoted(before)}, {cut}, {quoted(after)})"
     if not always:
-        marked = f"CASE WHEN s.lo = 0 AND s.hi >= {size} THEN {cut} ELSE {marked} END"
-    return F.expr(f"get(transform({span}, s -> CASE WHEN s.found THEN {marked} END), 0)")
+        marked = f"CASE WHEN _span.lo = 0 AND _span.hi >= {size} THEN {cut} ELSE {marked} END"
+    return F.expr(f"get(transform({span}, _span -> CASE WHEN _span.found THEN {marked} END), 0)")
 
 
 def strip_label(c: Column, labels: Sequence[str]) -> Column:

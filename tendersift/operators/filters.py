@@ -22,9 +22,9 @@ def known(p: Column) -> Column:
 def enumeration_only_sql(book: RuleBook, text: str, sector: str, others: str, k: int = 3) -> str:
     """FLT5: every sentence that names the sector also names at least `k` other sectors."""
     naming = (f"filter(split({text}, {quoted(SENTENCE_END)}), "
-              f"p -> {book.sql(sector, quoted(' ') + ' || p || ' + quoted(' '))})")
-    many = book.at_least_sql(others, fold_sql("p"), k)
-    return f"(size({naming}) > 0 AND forall({naming}, p -> {many}))"
+              f"_part -> {book.sql(sector, quoted(' ') + ' || _part || ' + quoted(' '))})")
+    many = book.at_least_sql(others, fold_sql("_part"), k)
+    return f"(size({naming}) > 0 AND forall({naming}, _part -> {many}))"
 
 
 def out_of_area_sql(book: RuleBook, folded_title: str, place: str) -> str:

@@ -56,8 +56,8 @@ def _word_steps(w: dict[str, str]) -> list:
 
 
 def prefix_sql(codes: str, prefixes: Sequence[str]) -> str:
-    tests = " OR ".join(f"startswith(c, {X.quoted(p)})" for p in prefixes)
-    return f"coalesce(exists({codes}, c -> {tests}), false)"
+    tests = " OR ".join(f"startswith(_code, {X.quoted(p)})" for p in prefixes)
+    return f"coalesce(exists({codes}, _code -> {tests}), false)"
 
 
 def screen_national(notices: DataFrame, b: RuleBook, today: Column, limit: float, target: Sequence[str],

@@ -101,7 +101,7 @@ class RuleBook:
     def found_sql(self, rule_set: str, text: str) -> str:
         subs = list(dict.fromkeys(self.terms(rule_set, SUBSTRING)))
         terms = ", ".join(quoted(t) for t in subs)
-        return f"filter(cast(array({terms}) AS array<string>), t -> contains({text}, t))"
+        return f"filter(cast(array({terms}) AS array<string>), _term -> contains({text}, _term))"
 
     def found(self, rule_set: str, text: str) -> Column:
         """FLT2: the substring terms of the set that occur, in list order."""
@@ -145,7 +145,7 @@ def any_sql(rules: Sequence[Rule], text: str) -> str:
     regexes = [r.term for r in rules if r.match_mode == REGEX]
     tests: list[str] = []
     if len(subs) > INLINE_TERMS:
-        tests.append(f"exists(array({', '.join(quoted(t) for t in subs)}), t -> contains({text}, t))")
+        tests.append(f"exists(array({', '.join(quoted(t) for t in subs)}), _term -> contains({text}, _term))")
     else:
         tests += [f"contains({text}, {quoted(t)})" for t in subs]
     if words:
