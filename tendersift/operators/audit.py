@@ -127,7 +127,7 @@ def skill_report(df: DataFrame, book: RuleBook, text: str) -> DataFrame:
 def new_rows_report(items: DataFrame, ledger: DataFrame, key: str, score: str) -> DataFrame:
     """AUD8: items not in the ledger with their similarity decision, best first."""
     from tendersift.operators.similar import similarity_verdict
-    new = items.join(ledger.select(key), key, "left_anti")
+    new = items.join(ledger.select(key).distinct(), key, "left_anti")
     return new.withColumn("decision", similarity_verdict(F.col(score), F.lit(False))).orderBy(F.col(score).desc_nulls_last(), key)
 
 

@@ -9,32 +9,36 @@ from pyspark.sql import functions as F
 
 from tendersift.functions.text import canonical_url, fold
 from tendersift.scale import keep_first, lookup, sized_broadcast
+from tendersift.session import cut_lineage
 
 BROADCAST_ROWS = 100_000
 
 
-def with_ledger(items: DataFrame, ledger: DataFrame, now: Column) -> DataFrame:
-    """JOI1: first_seen, is_new and last_check from a ledger with one row per canonical url."""
+def with_ledger(items: DataFrame, ledger: DataFrame, now: Column, spread: str) -> DataFrame:
+    """JOI1: first_seen, is_new and last_check from a ledger with one row per canonical url.
+
+    `spread` is a column with many values; it spreads the rows of a url that repeats very often.
+    """
     seen = ledger.select("url", F.col("first_seen").alias("_first"), F.lit(True).alias("_known"))
-    out = items.withColumn("url", canonical_url(F.col("url"))).join(seen, "url", "left")
+    out = lookup(items.withColumn("url", canonical_url(F.col("url"))), seen, ["url"], spread)
     return out.withColumns({"is_new": F.col("_known").isNull(), "first_seen": F.coalesce("_first", now),
                             "last_check": now}).drop("_first", "_known")
 
 
 def two_key_lookup(rows: DataFrame, cache: DataFrame, first: str, second: str, columns: Sequence[str],
-                   order: str) -> DataFrame:
+                   order: str, spread: str) -> DataFrame:
     """JOI2: by the first key, else by the second; the first cached row of a second key wins."""
     by_first = keep_first(cache.filter(F.col(first).isNotNull()), [first], [F.col(order).desc()])
     by_second = keep_first(cache.filter(F.col(second).isNotNull()), [second], [order])
-    a = by_first.select(first, F.struct(*columns).alias("_a"))
-    b = by_second.select(second, F.struct(*columns).alias("_b"))
-    out = rows.join(a, first, "left").join(b, second, "left").withColumn("_hit", F.coalesce("_a", "_b"))
+    a = cut_lineage(by_first.select(first, F.struct(*columns).alias("_a")))
+    b = cut_lineage(by_second.select(second, F.struct(*columns).alias("_b")))
+    out = lookup(lookup(rows, a, [first], spread), b, [second], spread).withColumn("_hit", F.coalesce("_a", "_b"))
     return out.select(*rows.columns, *[F.col("_hit")[c].alias(c) for c in columns])
 
 
 def not_in(rows: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
     """JOI3."""
-    return rows.join(ledger, list(keys), "left_anti")
+    return rows.join(ledger.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def dimension_lookup(rows: DataFrame, dim: DataFrame, key: str, name: str, alias: str, spread: str) -> DataFrame:
@@ -55,7 +59,7 @@ def align_answers(batch: DataFrame, answers: DataFrame) -> DataFrame:
 
 def detail_work_list(candidates: DataFrame, known: DataFrame, key: str, order: Sequence[str], cap: int) -> DataFrame:
     """JOI11: the candidates without a stored detail, at most `cap` new reads per run."""
-    return candidates.join(known.select(key), key, "left_anti").orderBy(*order).limit(cap)
+    return candidates.join(known.select(key).distinct(), key, "left_anti").orderBy(*order).limit(cap)
 
 
 def backfill(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -92,8 +96,12 @@ def match_by_title_and_entity(queries: DataFrame, rows: DataFrame) -> DataFrame:
     q = queries.select("query_id", fold(F.split("title", r"\s+")[0]).alias("word"), F.lower("entity").alias("want"))
     r = rows.select("seq", F.lower("entity").alias("entity"),
                     F.explode(F.array_distinct(F.split(fold(F.col("title")), r"[^\p{L}\p{N}]+"))).alias("word"))
-    hits = r.join(sized_broadcast(q, BROADCAST_ROWS), "word").filter(F.contains("entity", F.col("want")))
-    return hits.groupBy("query_id").agg(F.min("seq").alias("seq"))
+    # the first row per word and publisher, the different wishes per word: no pairs of rows and queries
+    first = r.groupBy("word", "entity").agg(F.min("seq").alias("seq"))
+    wishes = q.select("word", "want").distinct()
+    hits = (first.join(sized_broadcast(wishes, BROADCAST_ROWS), "word").filter(F.contains("entity", F.col("want")))
+            .groupBy("word", "want").agg(F.min("seq").alias("seq")))
+    return lookup(q, cut_lineage(hits), ["word", "want"], "query_id").filter("seq IS NOT NULL").select("query_id", "seq")
 
 
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:

@@ -19,7 +19,8 @@ from tendersift.functions.numbers import judge_score, lexical_percent
 from tendersift.functions.payload import answer_items
 from tendersift.functions.vectors import best_cosine, percent
 from tendersift.rules import RuleBook
-from tendersift.scale import number_rows
+from tendersift.scale import lookup, number_rows
+from tendersift.session import cut_lineage
 
 MAX_BLOCKS = 1000
 
@@ -53,13 +54,13 @@ def bad_embeddings(vectors: DataFrame, model: str | None = None, min_dim: int =
 def with_judgements(offers: DataFrame, cache: DataFrame, version: str) -> DataFrame:
     """JOI8: `judged` is the stored result under the current rules, `in_cache` any stored result.
 
-    offers carry content_hash; cache has one row per (content_hash, rule_version).
+    offers carry seq and content_hash, copies of one text share a hash; cache has one row per
+    (content_hash, rule_version).
     """
-    current = (cache.filter(F.col("rule_version") == version)
-               .select("content_hash", F.struct("score", "verdict", "topic", "reason").alias("judged")))
-    seen = cache.groupBy("content_hash").agg(F.count(F.lit(1)).alias("_versions"))
-    return (offers.join(current, "content_hash", "left").join(seen, "content_hash", "left")
-            .withColumn("in_cache", F.col("_versions").isNotNull()).drop("_versions"))
+    current = F.when(F.col("rule_version") == version, F.struct("score", "verdict", "topic", "reason"))
+    known = cut_lineage(cache.groupBy("content_hash").agg(F.max(current).alias("judged"), F.lit(True).alias("_known")))
+    out = lookup(offers, known, ["content_hash"], "seq")
+    return out.withColumn("in_cache", F.col("_known").isNotNull()).drop("_known")
 
 
 def gate(offers: DataFrame, threshold: int = L.SEMANTIC_GATE, any_version: bool = True) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tendersift import labels as L
 from tendersift.rules import RuleBook
-from tendersift.scale import keep_last, sized_broadcast
+from tendersift.scale import keep_first, keep_last, lookup
 
 ADD, UPDATE, KEEP, PROTECTED, SKIP_DELETED, REMOVE = "add", "update", "keep", "protected", "skip_deleted", "remove"
 
@@ -24,14 +24,14 @@ def merge_plan(table: DataFrame, batch: DataFrame, ledger: DataFrame | None = No
     """INC2–INC4, INC6: the merged columns of every row with an `action`.
 
     table: id, source, protected and data columns; batch: the same without protected. Null ids are
-    skipped, the last row of a repeated id counts. An id of the ledger that is no longer in the
+    skipped; of a repeated id the last row by `order` counts, without `order` the one that sorts
+    first by its data. An id of the ledger that is no longer in the
     table was deleted by a human and stays away. Rows of the sources in scope that the batch no
     longer has are removed unless protected; the scope is given, since a batch may be empty.
     """
     data = [c for c in table.columns if c not in ("id", "protected")]
     b = batch.filter(F.coalesce(F.col("id").cast("string"), F.lit("")) != "")
-    if order:
-        b = keep_last(b, ["id"], [order])
+    b = keep_last(b, ["id"], [order]) if order else keep_first(b, ["id"], data)
     b = b.select("id", F.struct(*data).alias("_new"), F.lit(True).alias("_in_batch"))
     t = table.select("id", "protected", F.struct(*data).alias("_old"), F.lit(True).alias("_in_table"))
     m = t.join(b, "id", "full")
@@ -40,8 +40,8 @@ def merge_plan(table: DataFrame, batch: DataFrame, ledger: DataFrame | None = No
     else:
         m = m.withColumn("_known", F.lit(None).cast("boolean"))
     if sources_in_scope is not None:
-        scope = sized_broadcast(sources_in_scope.select(F.col("source").alias("_source")).distinct(), 100_000)
-        m = m.withColumn("_source", F.col("_old.source")).join(scope.withColumn("_scoped", F.lit(True)), "_source", "left")
+        scope = sources_in_scope.select(F.col("source").alias("_source")).distinct().withColumn("_scoped", F.lit(True))
+        m = lookup(m.withColumn("_source", F.col("_old.source")), scope, ["_source"], "id", 100_000)
     else:
         m = m.withColumn("_scoped", F.lit(None).cast("boolean"))
     guarded = F.coalesce(F.col("protected"), F.lit(False))
@@ -91,7 +91,7 @@ def append_new(table: DataFrame, items: DataFrame, key: str = "url", gate: bool
     """INC7 and INC9: rows to append. Known rows are not touched, and of the rest only items never
     seen before come in; those the similarity gate puts out are left away, and another verdict than
     a pass replaces the shown one."""
-    new = items.filter("is_new").join(table.select(key), key, "left_anti")
+    new = items.filter("is_new").join(table.select(key).distinct(), key, "left_anti")
     sv = F.col("sim_verdict")
     if gate:
         new = new.filter(~F.coalesce(sv == L.S_OUT, F.lit(False)))

@@ -199,10 +199,9 @@ def supplies_only(spark, sf):
 @query("""SELECT l_orderkey, bool_or(starts_with(CAST(l_partkey AS VARCHAR), '72') OR starts_with(CAST(l_partkey AS VARCHAR), '48'))
     AS target, bool_or(starts_with(CAST(l_partkey AS VARCHAR), '45')) AS excluded FROM lineitem GROUP BY l_orderkey""")
 def code_prefixes(spark, sf):
-    d = (read(spark, sf, "lineitem").groupBy("l_orderkey")
-         .agg(F.collect_set(F.col("l_partkey").cast("string")).alias("codes")))
-    return d.select("l_orderkey", K.code_prefix(F.col("codes"), ["72", "48"]).alias("target"),
-                    K.code_prefix(F.col("codes"), ["45"]).alias("excluded"))
+    codes = F.array(F.col("l_partkey").cast("string"))
+    return read(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.bool_or(K.code_prefix(codes, ["72", "48"])).alias("target"), F.bool_or(K.code_prefix(codes, ["45"])).alias("excluded"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'procédure à vérifier' ELSE o_orderpriority END

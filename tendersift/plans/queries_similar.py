@@ -15,6 +15,7 @@ from tendersift.plans.queries_screen import with_views, postings
 from tendersift.plans.registry import (S_PAD, S_TITLE, book, docs, first_line, padded, q, query, read, s_any, s_fold, s_list,
                                        s_terms, s_word, today)
 from tendersift.plans.sample_rules import SKILLS, SUBSTRING_SETS, TOPICS, WORK_MODE
+from tendersift.scale import lookup
 from tendersift.session import cut_lineage
 
 S_SCORE = " + ".join(f"CASE WHEN {s_terms(S_PAD, ts)} THEN {w} ELSE 0 END" for _, w, ts in SKILLS)
@@ -88,8 +89,8 @@ def pair_cosine(spark, sf):
     """Each vector against the first vector of its own label."""
     from tendersift.functions.vectors import cosine
     e = read(spark, sf, "embeddings")
-    first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("b"))
-    return e.join(first, "label").select("vec_id", F.round(cosine(F.col("embedding"), F.col("b")), 6).alias("cosine"))
+    first = cut_lineage(e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("b")))
+    return lookup(e, first, ["label"], "vec_id").select("vec_id", F.round(cosine(F.col("embedding"), F.col("b")), 6).alias("cosine"))
 
 
 def offers(spark, sf):

@@ -10,7 +10,8 @@ from tendersift.operators import joins as J
 from tendersift.operators import upkeep as U
 from tendersift.plans.registry import S_PAD, S_TITLE, book, docs, padded, q, query, read, s_any, s_fold, s_list, s_title_key
 from tendersift.plans.sample_rules import WORD_SETS
-from tendersift.scale import keep_first, number_rows
+from tendersift.scale import number_rows
+from tendersift.session import cut_lineage
 
 BATCH_DAY = "2024-01-20"
 
@@ -40,7 +41,7 @@ def fresh(spark, sf):
     strftime(coalesce(first_seen, TIMESTAMP '2024-02-01'), '%Y-%m-%d %H:%M:%S') AS first_seen FROM fresh LEFT JOIN seen USING (url)""")
 def ledger_join(spark, sf):
     now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    d = J.with_ledger(fresh(spark, sf), ledger(spark, sf), now)
+    d = J.with_ledger(fresh(spark, sf), cut_lineage(ledger(spark, sf)), now, "event_id")
     return d.select("event_id", "is_new", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss").alias("first_seen"))
 
 
@@ -57,7 +58,7 @@ def two_key_lookup(spark, sf):
     cache = (events(spark, sf).filter("event_type = 'purchase'")
              .select(F.col("user_id").alias("k1"), (F.col("user_id") % 7).alias("k2"), "event_id", F.col("event_id").alias("o")))
     rows = read(spark, sf, "customer").select("c_custkey", F.col("c_custkey").alias("k1"), (F.col("c_custkey") % 7).alias("k2"))
-    return J.two_key_lookup(rows, cache, "k1", "k2", ["event_id"], "o").select("c_custkey", "event_id")
+    return J.two_key_lookup(rows, cache, "k1", "k2", ["event_id"], "o", "c_custkey").select("c_custkey", "event_id")
 
 
 @query("SELECT s_suppkey, n_name FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey AND n_nationkey < 20")
@@ -188,9 +189,9 @@ def clean_up_table(spark, sf):
 
 @query("""SELECT o_orderkey, CASE WHEN c_acctbal > 0 THEN concat('ok ', c_mktsegment) ELSE o_orderstatus END AS status,
     CASE WHEN c_acctbal > 0 AND c_custkey % 2 = 0 THEN c_mktsegment ELSE o_orderpriority END AS note
-  FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
+  FROM orders LEFT JOIN customer ON c_custkey = o_orderkey""")
 def status_update(spark, sf):
-    o = read(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("status"),
+    o = read(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"),
                                          F.col("o_orderpriority").alias("note"))
     c = read(spark, sf, "customer").filter("c_acctbal > 0")
     st = c.select(F.col("c_custkey").alias("k"), F.concat(F.lit("ok "), "c_mktsegment").alias("status"))

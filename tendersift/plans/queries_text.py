@@ -248,10 +248,14 @@ def payload_keys(spark, sf):
     return keys(read(spark, sf, "events"), "props")
 
 
-@query("""SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT CAST(l_partkey AS VARCHAR))), ',') AS codes FROM lineitem GROUP BY l_orderkey""")
+@query("""SELECT l_orderkey, l_linenumber, array_to_string(list_sort(list_distinct([CAST(l_partkey % 9 AS VARCHAR), CAST(l_suppkey % 9 AS VARCHAR), '5',
+    CAST(l_orderkey % 9 AS VARCHAR)])), ',') AS codes FROM lineitem""")
 def distinct_codes(spark, sf):
-    return (read(spark, sf, "lineitem").groupBy("l_orderkey")
-            .agg(F.array_join(F.array_sort(F.collect_set(F.col("l_partkey").cast("string"))), ",").alias("codes")))
+    """The codes of one record, given in nested lists."""
+    def code(c):
+        return (F.col(c) % 9).cast("string")
+    nested = F.array(F.array(code("l_partkey"), code("l_suppkey")), F.array(F.lit("5"), code("l_orderkey")))
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.array_join(F.array_sort(F.array_distinct(F.flatten(nested))), ",").alias("codes"))
 
 
 @query("""SELECT c_custkey, concat('segment : ', c_mktsegment, ' ; nation : ', c_nationkey) AS flat, concat(c_name, ' ; ', c_mktsegment) AS listed FROM customer""")

@@ -17,9 +17,17 @@ from tendersift.session import cut_lineage
 
 
 def new_items(feed: DataFrame, ts: str = "ts", key: str = "url", lateness: str = "1 day") -> DataFrame:
-    """STM1: the first event of each key; repeats later than the watermark are not held in state."""
+    """STM1: the first event of each key; repeats later than the watermark are not held in state.
+
+    Repeats inside one Arrow batch are dropped before the shuffle, so a hot key does not flood a task.
+    """
     d = feed.withColumn(key, canonical_url(F.col(key)))
-    return d.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
+
+    def first_of_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.drop_duplicates(key)
+
+    return d.mapInPandas(first_of_batch, d.schema).withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
 
 
 def daily_counts(feed: DataFrame, ts: str = "ts", source: str = "source", lateness: str = "1 day") -> DataFrame:

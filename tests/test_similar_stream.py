@@ -51,7 +51,7 @@ def test_judge_round(spark):
 
 
 def test_cache_version_and_gate(spark):
-    offers = spark.createDataFrame([("a", 10), ("b", 10), ("c", 10), ("d", 40), ("e", None)], "content_hash string, semantic int")
+    offers = spark.createDataFrame([("a", 10), ("b", 10), ("c", 10), ("d", 40), ("e", None)], "content_hash string, semantic int").withColumn("seq", F.col("semantic"))
     cache = spark.createDataFrame([("a", "v1", 1, "x", "-", ""), ("b", "v2", 2, "x", "-", "")], "content_hash string, rule_version string, score int, verdict string, topic string, reason string")
     g = S.gate(S.with_judgements(offers, cache, "v2"))
     assert {r.content_hash: r.cut for r in g.collect()} == {"a": False, "b": False, "c": True, "d": False, "e": False}

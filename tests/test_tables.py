@@ -69,7 +69,7 @@ def test_ledger(spark):
     items = spark.createDataFrame([("u", "B", "t2", "e2"), ("w", "C", "t3", "e3")], "url string, verdict string, title string, entity string")
     got = {r.url: tuple(r)[1:4] for r in U.update_ledger(led, items, F.lit(9)).collect()}
     assert got == {"u": (1, 9, "B"), "w": (9, 9, "C")}
-    seen = J.with_ledger(items.withColumn("url", F.concat("url", F.lit("/?x=1"))), led, F.lit(9))
+    seen = J.with_ledger(items.withColumn("url", F.concat("url", F.lit("/?x=1"))), led, F.lit(9), "verdict")
     assert {r.url: (r.is_new, r.first_seen) for r in seen.collect()} == {"u": (False, 1), "w": (True, 9)}
 
 
@@ -91,7 +91,7 @@ def test_append_clean_and_updates(spark):
 def test_lookups(spark):
     cache = spark.createDataFrame([("k1", "t", "first", 1), ("k2", "t", "second", 2)], "url string, title string, v string, o int")
     rows = spark.createDataFrame([("k2", "zz"), ("nope", "t"), (None, "no")], "url string, title string")
-    assert sorted((r.title, r.v) for r in J.two_key_lookup(rows, cache, "url", "title", ["v"], "o").collect()) == [("no", None), ("t", "first"), ("zz", "second")]
+    assert sorted((r.title, r.v) for r in J.two_key_lookup(rows, cache, "url", "title", ["v"], "o", "title").collect()) == [("no", None), ("t", "first"), ("zz", "second")]
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, s int")
     assert {(r.k, r.s) for r in J.backfill(old, spark.createDataFrame([("a", 9)], "k string, s int"), "k", ["s"]).collect()} == {("a", 9), ("b", 2)}
     work = J.detail_work_list(old, spark.createDataFrame([("a",)], "k string"), "k", ["k"], 5)
