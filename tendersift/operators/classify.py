@@ -64,7 +64,7 @@ def contract_signals(b: RuleBook) -> dict[str, Column]:
 
 
 def engagement(b: RuleBook) -> Column:
-    """CLS1: struct(kind, signal). The platform's own label alone never excludes."""
+    """CLS1 with FLT7: struct(kind, signal). The platform's own label alone never excludes."""
     by_label = Sql(f"coalesce(contains(lower(contract_label), {X.quoted(L.CONTRACT_LABEL)}), false)")
     open_to = f"(_b2b OR {by_label})"
     staff, client = b.sql("staff_only", "_e"), b.sql("end_client", "_e")
@@ -151,7 +151,7 @@ def verdict_of(kind: str = "kind", sector_: str = "sector", window: str = "windo
 
 
 def classify_postings(df: DataFrame, book: RuleBook, today: Column) -> DataFrame:
-    """CLS1–CLS5 and CLS7 for every posting, in one pass over the texts and without a shuffle.
+    """CLS1–CLS5, CLS7 and FLT10 for every posting, in one pass over the texts and without a shuffle.
 
     The result carries keys and decisions but not the body, so that everything that follows
     (duplicates, recurrence, nets, merges) shuffles narrow rows.

@@ -13,6 +13,7 @@ from tendersift.session import cut_lineage
 
 UNKNOWN_AGE = -1_000_000   # stands for a null age inside join keys
 SEPARATOR = "\u0001"
+CLASS = ["signature", "entity_key", "age_key"]
 
 
 def drop_duplicates_first(df: DataFrame) -> DataFrame:
@@ -109,8 +110,22 @@ def _best_match(classes: DataFrame, targets: DataFrame, value: str, days: int) -
     return t.withColumn("best", F.get(mine, F.lit(0))["v"]).drop("cands")
 
 
+def _classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): rows with their key columns, one class per publisher, signature and age."""
+    base = df.select("seq", "entity_key", F.array_sort(F.array_distinct("signature")).alias("signature"),
+                     F.coalesce(F.col("age"), F.lit(UNKNOWN_AGE)).alias("age_key")).filter(F.size("signature") >= 2)
+    return base, cut_lineage(base.groupBy(*CLASS).agg(F.min("seq").alias("class_id"), (-F.max("seq")).alias("_neg_last")))
+
+
+def same_item_matches(df: DataFrame, days: int = L.SAME_ITEM_DAYS) -> DataFrame:
+    """JOI4 and SET4: seq of every record that has a match at another publisher, without the pairs."""
+    base, classes = _classes(df)
+    hit = cut_lineage(_best_match(classes, classes, "class_id", days).filter("best IS NOT NULL").select(*CLASS, F.lit(True).alias("hit")))
+    return lookup(base, hit, CLASS, "seq").filter("hit").select("seq")
+
+
 def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = BUCKET_WIDTH) -> DataFrame:
-    """JOI4 and JOI5: (seq, group_seed, group_no) of the records that belong to a group.
+    """JOI5: (seq, group_seed, group_no) of the records that belong to a group.
 
     Input: seq, entity_key, signature (sorted tokens), age; only records that may form groups.
     Scanning in `seq` order, a record without a group that has later matches starts a group and
@@ -121,10 +136,8 @@ def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = B
     with an earlier first record does. Each round settles every class that is first among its
     open matches and then closes the matches of those; the rounds run until nothing is open.
     """
-    base = df.select("seq", "entity_key", F.array_sort(F.array_distinct("signature")).alias("signature"),
-                     F.coalesce(F.col("age"), F.lit(UNKNOWN_AGE)).alias("age_key")).filter(F.size("signature") >= 2)
-    key = ["signature", "entity_key", "age_key"]
-    classes = cut_lineage(base.groupBy(*key).agg(F.min("seq").alias("class_id"), (-F.max("seq")).alias("_neg_last")))
+    base, classes = _classes(df)
+    key = CLASS
     open_, starters = classes, []
     while not open_.isEmpty():
         ranked = cut_lineage(_best_match(open_, open_, "class_id", days))

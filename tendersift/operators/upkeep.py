@@ -21,7 +21,7 @@ ADD, UPDATE, KEEP, PROTECTED, SKIP_DELETED, REMOVE = "add", "update", "keep", "p
 
 def merge_plan(table: DataFrame, batch: DataFrame, ledger: DataFrame | None = None,
                sources_in_scope: DataFrame | None = None, order: str | None = None) -> DataFrame:
-    """INC2–INC4, INC6: the merged columns of every row with an `action`.
+    """INC2–INC4, INC6, SET3, JOI12: the merged columns of every row with an `action`.
 
     table: id, source, protected and data columns; batch: the same without protected. Null ids are
     skipped; of a repeated id the last row by `order` counts, without `order` the one that sorts

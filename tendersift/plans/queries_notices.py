@@ -10,6 +10,7 @@ from tendersift.functions import numbers as N
 from tendersift.functions import text as X
 from tendersift.operators import filters as K
 from tendersift.operators import notices as O
+from tendersift.operators.reports import count_by
 from tendersift.plans.registry import (S_PAD, S_TITLE, TODAY, book, docs, padded, q, query, read, s_any, s_list, s_terms,
                                        s_word, today)
 from tendersift.plans.sample_rules import SUBSTRING_SETS
@@ -327,7 +328,7 @@ def regional_screening(spark, sf):
 
 @query(f"""SELECT domain, count(*) AS n FROM (SELECT {s_domain('x', '', True)} AS domain FROM ({S_CODED})) GROUP BY domain""")
 def domain_counts(spark, sf):
-    return notice_domain(spark, sf).groupBy("domain").agg(F.count(F.lit(1)).alias("n"))
+    return count_by(notice_domain(spark, sf), "domain")
 
 
 # --- normalisation ---------------------------------------------------------------------------------
@@ -388,3 +389,16 @@ def enrich_survivors(spark, sf):
 def document_hits(spark, sf):
     d = docs(spark, sf).select(F.col("doc_id").alias("id"), "text")
     return O.document_hits(d, SUBSTRING_SETS["recall"], "PPS-").select("id", "subject")
+
+
+@query(f"""SELECT min(doc_id) AS seq, id FROM (SELECT doc_id, concat('S-', doc_id % 300) AS id FROM documents
+  WHERE lang IN ('fr', 'de') AND {s_any(f"lower({S_TITLE})", 'recall')}) GROUP BY id""")
+def source_chain(spark, sf):
+    """One source from raw rows to records: normalise, country, recall words, first per id."""
+    from tendersift.operators.postings import source_chain as chain
+
+    def normalise(raw):
+        c = F.col
+        return O.conform(raw, seq=c("doc_id"), id=F.concat(F.lit("S-"), c("doc_id") % 300), subject=c("title"),
+                         place=F.when(c("lang").isin("fr", "de"), "Côte d’Ivoire").otherwise("Togo"))
+    return chain(docs(spark, sf), normalise, book(), "recall", country="cote d'ivoire").select("seq", "id")

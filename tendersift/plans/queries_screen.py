@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendersift import labels as L
+from tendersift.operators import cross as C
+from tendersift.operators import reports as R
 from tendersift.operators.classify import classify_postings
 from tendersift.operators.cross import (apply_never_qualifying, drop_duplicates_first, never_qualifying,
-                                        recurring_groups, same_item_groups)
+                                        recurring_groups)
 from tendersift.plans.registry import (S_TITLE, TODAY, W, book, docs, first_line, padded, q, query, read, s_any, s_fold,
                                        s_list, s_title_key, today)
 from tendersift.plans.sample_rules import FOLDED_SETS, SUBSTRING_SETS
 from tendersift.plans.screen import screen
-from tendersift.scale import attach_by_key, keep_first, keep_last
+from tendersift.scale import attach_by_key, keep_last
+from tendersift.session import cut_lineage
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,9 +146,17 @@ def screen_verdicts(spark, sf):
 @query(with_views("""SELECT verdict, count(*) AS n, CASE verdict WHEN '★★ MATCH CŒUR' THEN 0 WHEN '★ À SAISIR' THEN 1
   WHEN 'À CONFIRMER' THEN 2 WHEN 'VIVIER' THEN 3 ELSE 4 END AS rank FROM verdicts GROUP BY verdict"""))
 def verdict_counts(spark, sf):
-    from tendersift.functions.dates import literal_map
-    d = screen(postings(spark, sf), book(), today()).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
-    return d.withColumn("rank", literal_map(L.VERDICT_ORDER)[F.col("verdict")]).orderBy("rank")
+    return R.verdict_counts(screen(postings(spark, sf), book(), today()))
+
+
+@query(with_views("""SELECT source, count(*) AS n, sum(CAST(verdict NOT IN ('ÉCARTÉE', 'VIVIER') AS INTEGER)) AS n_publishable,
+  sum(CAST(verdict NOT IN ('ÉCARTÉE', 'VIVIER') AND v.seq NOT IN (SELECT doc_id FROM labels) AS INTEGER)) AS n_new
+  FROM verdicts v JOIN documents d ON d.doc_id = v.seq GROUP BY source"""))
+def run_summary(spark, sf):
+    """Totals of a run per source; labelled documents count as seen before."""
+    known = read(spark, sf, "labels").select(F.col("doc_id").alias("seq"), F.lit(True).alias("_k"))
+    d = screen(postings(spark, sf), book(), today()).join(known, "seq", "left")
+    return R.run_summary(d.withColumn("is_new", F.col("_k").isNull()), "source")
 
 
 def kept_postings(spark, sf):
@@ -216,10 +227,18 @@ SELECT e.seq, s.seq AS group_seed, o.group_no FROM tag JOIN elig e ON e.rn = tag
   JOIN opener o ON o.rn = tag.g""").replace("WITH", "WITH RECURSIVE", 1).replace("\n, elig", ",\nelig")
 
 
+def eligible(spark, sf):
+    d = kept_postings(spark, sf).filter(F.col("kind").isin(L.MISSION, L.TO_CONFIRM))
+    return cut_lineage(d.select("seq", "entity_key", "signature", "age"))
+
+
+@query(S_GROUPS[:S_GROUPS.index(",\nprev AS")] + " SELECT seq FROM elig WHERE rn IN (SELECT i FROM edge UNION SELECT j FROM edge)")
+def same_item_matches(spark, sf):
+    """Postings that another publisher also has, without listing pairs."""
+    return C.same_item_matches(eligible(spark, sf))
+
+
 @query(S_GROUPS)
-def same_item_group_numbers(spark, sf):
+def same_item_groups(spark, sf):
     """The same item from several publishers, numbered in the order the groups open."""
-    from tendersift.session import cut_lineage
-    kept = cut_lineage(kept_postings(spark, sf).filter(F.col("kind").isin(L.MISSION, L.TO_CONFIRM))
-                       .select("seq", "entity_key", "signature", "age"))
-    return same_item_groups(kept).select("seq", "group_seed", "group_no")
+    return C.same_item_groups(eligible(spark, sf)).select("seq", "group_seed", "group_no")

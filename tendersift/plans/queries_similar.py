@@ -10,6 +10,7 @@ from tendersift.functions import text as X
 from tendersift.operators import audit as A
 from tendersift.operators import filters as K
 from tendersift.operators import joins as J
+from tendersift.operators import reports as R
 from tendersift.operators import similar as S
 from tendersift.plans.queries_screen import with_views, postings
 from tendersift.plans.registry import (S_PAD, S_TITLE, book, docs, first_line, padded, q, query, read, s_any, s_fold, s_list,
@@ -38,13 +39,12 @@ def skill_score(spark, sf):
 @query(f"""SELECT doc_id, CAST({S_SCORE} AS INTEGER) AS score, {S_SKILLS} AS skills, {S_TOPICS} AS topics FROM documents WHERE {S_SCORE} > 0""")
 def skill_report(spark, sf):
     d = A.skill_report(docs(spark, sf).withColumn("_p", padded()), book(), "_p")
-    return d.select("doc_id", "score", "skills", "topics").orderBy(F.col("score").desc(), "doc_id")
+    return d.select("doc_id", "score", "skills", "topics").transform(R.best_first, "score", "doc_id")
 
 
 @query(f"SELECT sum(CAST({S_SCORE} > 0 AS INTEGER)) AS with_skill, sum(CAST({S_SCORE} = 0 AS INTEGER)) AS without_skill FROM documents")
 def skill_totals(spark, sf):
-    d = skill_score(spark, sf)
-    return d.agg(F.sum((F.col("score") > 0).cast("long")).alias("with_skill"), F.sum((F.col("score") == 0).cast("long")).alias("without_skill"))
+    return R.with_and_without(skill_score(spark, sf), "score")
 
 
 _VALID = [label for label, _ in TOPICS]
@@ -333,14 +333,14 @@ def best_document(spark, sf):
     count(*) AS n FROM documents GROUP BY ALL""")
 def status_counts(spark, sf):
     return (read(spark, sf, "documents").select(X.text_status(F.col("text"), L.SCAN_CHARS).alias("status"))
-            .groupBy("status").agg(F.count(F.lit(1)).alias("n")))
+            .transform(lambda d: R.count_by(d, "status")))
 
 
 @query("""SELECT source AS tab, count(*) AS n, sum(CAST(doc_id NOT IN (SELECT doc_id FROM labels) AS INTEGER)) AS n_new FROM documents GROUP BY source""")
 def tab_counts(spark, sf):
     known = read(spark, sf, "labels").select("doc_id", F.lit(1).alias("_k"))
     d = read(spark, sf, "documents").select("doc_id", "source").join(known, "doc_id", "left")
-    return d.groupBy(F.col("source").alias("tab")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_k").isNull().cast("long")).alias("n_new"))
+    return R.tab_counts(d, "source", F.col("_k").isNull())
 
 
 @query("""SELECT doc_id, CASE WHEN quality = 1 AND toxic = 0 THEN true ELSE false END AS publishable, toxic = 1 AS junk FROM labels""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tendersift import labels as L
 from tendersift.functions.dates import literal_map
 from tendersift.operators import joins as J
+from tendersift.operators import reports as R
 from tendersift.operators import upkeep as U
 from tendersift.plans.registry import S_PAD, S_TITLE, book, docs, padded, q, query, read, s_any, s_fold, s_list, s_title_key
 from tendersift.plans.sample_rules import WORD_SETS
@@ -307,3 +308,34 @@ def header_carry(spark, sf):
     from tendersift.sources.readers import carry_header
     d = events(spark, sf).select("event_id", "user_id", F.when(F.col("event_type") == "signup", F.concat(F.lit("h"), "event_id")).alias("h"))
     return carry_header(d, "user_id", "event_id", "h", "header").select("event_id", "header")
+
+
+@query("""SELECT seq, verdict FROM (SELECT o_orderkey AS seq, ['★★ MATCH CŒUR', '★ À SAISIR', '★ RÉFÉRENCE', 'À CONFIRMER'][CAST(o_custkey % 4 AS INTEGER) + 1] AS verdict,
+    CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 50 END AS age FROM orders)
+  ORDER BY CASE verdict WHEN '★★ MATCH CŒUR' THEN 0 WHEN '★ À SAISIR' THEN 1 WHEN '★ RÉFÉRENCE' THEN 2 ELSE 3 END, coalesce(age, 9999), seq""")
+def merge_order(spark, sf):
+    """All rows in the order of the published tab."""
+    v = F.array(*[F.lit(x) for x in (L.V_TOP, L.V_GOOD, L.V_REFERENCE, L.V_CONFIRM)])[(F.col("o_custkey") % 4).cast("int")]
+    d = read(spark, sf, "orders").select(F.col("o_orderkey").alias("seq"), v.alias("verdict"),
+                                         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey") % 50).alias("age"))
+    return R.in_merge_order(d).select("seq", "verdict")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 25")
+def latest_first(spark, sf):
+    d = R.latest(read(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey", n=25)
+    return d.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+
+
+@query("""SELECT doc_id AS seq, coalesce(nullif(source, 'src3'), 'big firm') AS entity, CASE WHEN doc_id % 2 = 0 THEN '2024-01-05' END AS published,
+    quality IS NOT NULL AS has_body FROM documents LEFT JOIN labels USING (doc_id)""")
+def postings_from_cards(spark, sf):
+    """Cards joined to their details; labelled documents have one."""
+    from tendersift.operators.postings import postings_from_cards as build
+    d = docs(spark, sf)
+    url = F.concat(F.lit("https://x/view/job-at-big-firm-"), F.lit(1000000) + F.col("doc_id"))
+    cards = d.select(F.col("doc_id").alias("seq"), url.alias("url"), "title", F.when(F.col("source") == "src3", "").otherwise(F.col("source")).alias("entity"),
+                     F.lit("").alias("place"), F.when(F.col("doc_id") % 2 == 0, "2024-01-05").otherwise("il y a 2 jours").alias("published"),
+                     F.lit(None).cast("string").alias("posted_relative"))
+    details = d.join(read(spark, sf, "labels").select("doc_id"), "doc_id").select(url.alias("url"), F.col("text").alias("body"))
+    return build(cards, details, "s").select("seq", "entity", "published", F.col("body").isNotNull().alias("has_body"))

@@ -115,7 +115,7 @@ def duration_text(spark, sf):
 
 @query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 'O' THEN 'hier' ELSE 'NC' END AS shown,
     concat('T', o_orderkey) AS title FROM orders""")
-def displayed_dates(spark, sf):
+def display_date_text(spark, sf):
     st = F.col("o_orderstatus")
     d = display_date(F.when(st == "F", F.date_format("o_orderdate", "yyyy-MM-dd")), F.when(st == "O", " hier "))
     return read(spark, sf, "orders").select("o_orderkey", d.alias("shown"), X.drop_new_marker(F.concat(F.lit("★ ★ T"), "o_orderkey")).alias("title"))

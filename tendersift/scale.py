@@ -21,12 +21,13 @@ BUCKET_WIDTH = 1_000_000  # most rows one numbering bucket can hold
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
-    """First row of each key by `order`; `order` must be total for a stable answer."""
+    """WIN1: first row of each key by `order`; `order` must be total for a stable answer."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def keep_last(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
+    """WIN3: last row of each key."""
     return keep_first(df, keys, [F.col(c).desc() for c in order])
 
 

@@ -147,6 +147,9 @@ def test_same_item_groups_equal_the_scan(spark, seed, n, ages):
     df = spark.createDataFrame(rows, "seq long, entity_key string, signature array<string>, age int").repartition(5)
     got = {r.seq: (r.group_seed, r.group_no) for r in C.same_item_groups(df, width=50).collect()}
     assert got == scan(rows)
+    pairs = [(a, b) for i, a in enumerate(rows) for b in rows[i + 1:] if a[1] != b[1] and len(set(a[2]) & set(b[2])) >= 2
+             and (a[3] is None or b[3] is None or abs(a[3] - b[3]) <= 15)]
+    assert {r.seq for r in C.same_item_matches(df).collect()} == {x[0] for p in pairs for x in p}
 
 
 def test_same_item_chain_and_empty(spark):
