@@ -149,8 +149,8 @@ def verdict_counts(spark, sf):
     return R.verdict_counts(screen(postings(spark, sf), book(), today()))
 
 
-@query(with_views("""SELECT source, count(*) AS n, sum(CAST(verdict NOT IN ('ÉCARTÉE', 'VIVIER') AS INTEGER)) AS n_publishable,
-  sum(CAST(verdict NOT IN ('ÉCARTÉE', 'VIVIER') AND v.seq NOT IN (SELECT doc_id FROM labels) AS INTEGER)) AS n_new
+@query(with_views("""SELECT source, count(*) AS n, CAST(sum(CAST(verdict NOT IN ('ÉCARTÉE', 'VIVIER') AS INTEGER)) AS BIGINT) AS n_publishable,
+  CAST(sum(CAST(verdict NOT IN ('ÉCARTÉE', 'VIVIER') AND v.seq NOT IN (SELECT doc_id FROM labels) AS INTEGER)) AS BIGINT) AS n_new
   FROM verdicts v JOIN documents d ON d.doc_id = v.seq GROUP BY source"""))
 def run_summary(spark, sf):
     """Totals of a run per source; labelled documents count as seen before."""

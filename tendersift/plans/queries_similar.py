@@ -42,7 +42,7 @@ def skill_report(spark, sf):
     return d.select("doc_id", "score", "skills", "topics").transform(R.best_first, "score", "doc_id")
 
 
-@query(f"SELECT sum(CAST({S_SCORE} > 0 AS INTEGER)) AS with_skill, sum(CAST({S_SCORE} = 0 AS INTEGER)) AS without_skill FROM documents")
+@query(f"SELECT CAST(sum(CAST({S_SCORE} > 0 AS INTEGER)) AS BIGINT) AS with_skill, CAST(sum(CAST({S_SCORE} = 0 AS INTEGER)) AS BIGINT) AS without_skill FROM documents")
 def skill_totals(spark, sf):
     return R.with_and_without(skill_score(spark, sf), "score")
 
@@ -222,8 +222,8 @@ def score_bands(spark, sf):
     return A.score_bands(scored_labels(spark, sf).withColumnRenamed("quality", "band"), "band", "score")
 
 
-@query(f"""SELECT CAST(t AS INTEGER) AS threshold, sum(CAST(quality = 1 AND score >= t AS INTEGER)) AS kept,
-    sum(CAST(quality = 0 AND score >= t AS INTEGER)) AS leaked, round_even(sum(CAST(quality = 1 AND score >= t AS INTEGER)) / sum(quality) * 100, 1) AS rate
+@query(f"""SELECT CAST(t AS INTEGER) AS threshold, CAST(sum(CAST(quality = 1 AND score >= t AS INTEGER)) AS BIGINT) AS kept,
+    CAST(sum(CAST(quality = 0 AND score >= t AS INTEGER)) AS BIGINT) AS leaked, round_even(sum(CAST(quality = 1 AND score >= t AS INTEGER)) / sum(quality) * 100, 1) AS rate
   FROM ({S_SCORED}), generate_series(60, 85, 5) g(t) GROUP BY t""")
 def threshold_sweep(spark, sf):
     return A.threshold_sweep(scored_labels(spark, sf), "positive", "score")
@@ -249,7 +249,7 @@ def rule_diff(spark, sf):
     return A.rule_diff(d.select("doc_id", book().hit("core", "_p").alias("v")), d.select("doc_id", after.hit("core", "_p").alias("v")), "doc_id", "v")
 
 
-@query(f"""SELECT quality AS expected, count(*) AS n, sum(CAST({s_any(S_PAD, 'core')} AS INTEGER)) AS n_kept FROM labels JOIN documents USING (doc_id) GROUP BY quality""")
+@query(f"""SELECT quality AS expected, count(*) AS n, CAST(sum(CAST({s_any(S_PAD, 'core')} AS INTEGER)) AS BIGINT) AS n_kept FROM labels JOIN documents USING (doc_id) GROUP BY quality""")
 def keep_and_leak(spark, sf):
     d = docs(spark, sf).withColumn("_p", padded()).select("doc_id", book().hit("core", "_p").alias("kept"))
     return A.keep_and_leak(read(spark, sf, "labels").join(d, "doc_id").withColumnRenamed("quality", "expected"), "expected", "kept")
@@ -275,7 +275,7 @@ def descriptor_match(spark, sf):
     return A.labelled_by_descriptors(d, _DESCRIPTORS, "_f", "doc_id")
 
 
-@query(f"""SELECT label, count(*) AS n, sum(score) AS total FROM (SELECT CASE quality WHEN 1 THEN 'positive' ELSE 'negative' END AS label,
+@query(f"""SELECT label, count(*) AS n, CAST(sum(score) AS BIGINT) AS total FROM (SELECT CASE quality WHEN 1 THEN 'positive' ELSE 'negative' END AS label,
     CAST({S_SCORE} AS INTEGER) AS score FROM labels JOIN documents USING (doc_id)) GROUP BY label""")
 def calibration_set(spark, sf):
     """Labelled records scored together."""
@@ -336,7 +336,7 @@ def status_counts(spark, sf):
             .transform(lambda d: R.count_by(d, "status")))
 
 
-@query("""SELECT source AS tab, count(*) AS n, sum(CAST(doc_id NOT IN (SELECT doc_id FROM labels) AS INTEGER)) AS n_new FROM documents GROUP BY source""")
+@query("""SELECT source AS tab, count(*) AS n, CAST(sum(CAST(doc_id NOT IN (SELECT doc_id FROM labels) AS INTEGER)) AS BIGINT) AS n_new FROM documents GROUP BY source""")
 def tab_counts(spark, sf):
     known = read(spark, sf, "labels").select("doc_id", F.lit(1).alias("_k"))
     d = read(spark, sf, "documents").select("doc_id", "source").join(known, "doc_id", "left")

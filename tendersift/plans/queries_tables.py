@@ -46,10 +46,11 @@ def ledger_join(spark, sf):
     return d.select("event_id", "is_new", F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss").alias("first_seen"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def new_items(spark, sf):
     c = read(spark, sf, "customer").select("c_custkey")
-    return J.not_in(c, read(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    urgent = read(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")
+    return J.not_in(c, urgent.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("""WITH a AS (SELECT user_id, arg_max(event_id, event_id) AS e FROM events WHERE event_type = 'purchase' GROUP BY user_id),
