@@ -14,7 +14,7 @@ from tendersift.functions.dates import any_date, date_from_parts, day_first_date
 from tendersift.operators import filters as K
 from tendersift.operators.classify import first_match
 from tendersift.rules import RuleBook
-from tendersift.scale import lookup
+from tendersift.scale import lookup, once
 from tendersift.schema import FORECAST, NOTICE
 
 
@@ -69,7 +69,7 @@ def screen_national(notices: DataFrame, b: RuleBook, today: Column, limit: float
                        & ~K.deadline_too_soon(iso_date(c("deadline")), today)
                        & ~K.not_an_open_call(c("nature")))
     d = d.withColumn("_p", K.procedure_check(c("procedure_type"), c("procedure_text"), adapted_only)).filter("_p.keep")
-    d = d.withColumn("_x", X.analysis_text(c("subject"), c("descriptors"), c("description")))
+    d = once(d, "_x", X.analysis_text(c("subject"), c("descriptors"), c("description")))
     d = d.withColumns({"domain": domain_by_codes_and_words(b, "_x", prefix_sql("codes", target),
                                                            prefix_sql("codes", excluded)),
                        "procedure_status": c("_p.status")})
@@ -82,7 +82,7 @@ def screen_planned(notices: DataFrame, b: RuleBook, today: Column, limit: float,
     c = F.col
     d = notices.filter(~K.range_out_of_target(c("amount"), limit) & ~K.category_out(c("category"))
                        & ~K.deadline_too_soon(iso_date(c("deadline")), today))
-    d = d.withColumn("_x", X.analysis_text(c("subject"), c("descriptors"), c("description")))
+    d = once(d, "_x", X.analysis_text(c("subject"), c("descriptors"), c("description")))
     d = d.withColumn("domain", domain_by_codes_and_words(b, "_x", prefix_sql("codes", target),
                                                          prefix_sql("codes", excluded)))
     return d.filter(c("domain") != L.D_OUT).drop("_x")
@@ -93,7 +93,7 @@ def screen_regional(notices: DataFrame, b: RuleBook, today: Column) -> DataFrame
     c = F.col
     d = notices.filter(~K.goods_only_text(F.element_at(c("market_type"), 1))
                        & ~K.deadline_too_soon(any_date(c("deadline")), today))
-    d = d.withColumn("_x", X.plain_apostrophes(F.lower(F.coalesce(c("subject"), F.lit("")))))
+    d = once(d, "_x", X.plain_apostrophes(F.lower(F.coalesce(c("subject"), F.lit("")))))
     return d.withColumn("domain", domain_by_words(b, "_x")).filter(c("domain") != L.D_OUT).drop("_x")
 
 

@@ -11,7 +11,7 @@ from tendersift.functions import text as X
 from tendersift.operators import filters as K
 from tendersift.operators import notices as O
 from tendersift.operators.reports import count_by
-from tendersift.plans.registry import (S_PAD, S_TITLE, TODAY, book, docs, padded, q, query, read, s_any, s_list, s_terms,
+from tendersift.plans.registry import (once, S_PAD, S_TITLE, TODAY, book, docs, padded, q, query, read, s_any, s_list, s_terms,
                                        s_word, today)
 from tendersift.plans.sample_rules import SUBSTRING_SETS
 
@@ -26,7 +26,7 @@ def orders(spark, sf):
 
 @query(f"SELECT doc_id FROM documents WHERE {s_any(S_PAD, 'strong')}")
 def any_term(spark, sf):
-    return docs(spark, sf).withColumn("_p", padded()).filter(book().hit("strong", "_p")).select("doc_id")
+    return docs(spark, sf).transform(once, "_p", padded()).filter(book().hit("strong", "_p")).select("doc_id")
 
 
 @query(f"SELECT doc_id FROM documents WHERE {s_any('lower(text)', 'w_domain_strong')}")
@@ -37,7 +37,7 @@ def word_term(spark, sf):
 @query(f"""SELECT doc_id FROM documents
   WHERE len(list_filter({s_list(SUBSTRING_SETS['signature'])}, lambda t: contains({S_PAD}, t))) >= 5""")
 def distinct_terms_k(spark, sf):
-    d = docs(spark, sf).withColumn("_p", padded())
+    d = docs(spark, sf).transform(once, "_p", padded())
     return d.filter(book().at_least("signature", "_p", 5)).select("doc_id")
 
 
@@ -47,14 +47,14 @@ def distinct_terms_k(spark, sf):
     len(list_filter(['erth','onin','rely','anst','heea','eron','reau','cion','pare'],
         lambda x: contains(lower(strip_accents(p)), x))) < 3)) = 0""")
 def enumeration_only(spark, sf):
-    d = docs(spark, sf).withColumn("_p", padded())
+    d = docs(spark, sf).transform(once, "_p", padded())
     return d.filter(F.expr(K.enumeration_only_sql(book(), "_p", "sector_generic", "sector_list"))).select("doc_id")
 
 
 @query(f"""SELECT doc_id, array_to_string(list_filter({s_list(SUBSTRING_SETS['strong'])},
     lambda t: contains({S_PAD}, t)), '|') AS found FROM documents WHERE {s_any(S_PAD, 'strong')}""")
 def terms_found(spark, sf):
-    d = docs(spark, sf).withColumn("_p", padded()).filter(book().hit("strong", "_p"))
+    d = docs(spark, sf).transform(once, "_p", padded()).filter(book().hit("strong", "_p"))
     return d.select("doc_id", F.array_join(book().found("strong", "_p"), "|").alias("found"))
 
 

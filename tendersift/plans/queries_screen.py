@@ -11,7 +11,7 @@ from tendersift.operators import reports as R
 from tendersift.operators.classify import classify_postings
 from tendersift.operators.cross import (apply_never_qualifying, drop_duplicates_first, never_qualifying,
                                         recurring_groups)
-from tendersift.plans.registry import (S_TITLE, TODAY, W, book, docs, first_line, padded, q, query, read, s_any, s_fold,
+from tendersift.plans.registry import (once, S_TITLE, TODAY, W, book, docs, first_line, padded, q, query, read, s_any, s_fold,
                                        s_list, s_title_key, today)
 from tendersift.plans.sample_rules import FOLDED_SETS, SUBSTRING_SETS
 from tendersift.plans.screen import screen
@@ -202,7 +202,7 @@ def recurring_marked(spark, sf):
   GROUP BY source HAVING count(*) >= 3 AND sum(CAST(sig AS INTEGER)) = 0""")
 def never_qualifies(spark, sf):
     """Sources with three or more documents and no signal term in any of them."""
-    d = docs(spark, sf).withColumn("_p", padded()).select(F.col("source").alias("entity_key"),
+    d = docs(spark, sf).transform(once, "_p", padded()).select(F.col("source").alias("entity_key"),
                                                           book().hit("reference_code", "_p").alias("has_signal"))
     return never_qualifying(d)
 

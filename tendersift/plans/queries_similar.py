@@ -13,7 +13,7 @@ from tendersift.operators import joins as J
 from tendersift.operators import reports as R
 from tendersift.operators import similar as S
 from tendersift.plans.queries_screen import with_views, postings
-from tendersift.plans.registry import (S_PAD, S_TITLE, book, docs, first_line, padded, q, query, read, s_any, s_fold, s_list,
+from tendersift.plans.registry import (once, S_PAD, S_TITLE, book, docs, first_line, padded, q, query, read, s_any, s_fold, s_list,
                                        s_terms, s_word, today)
 from tendersift.plans.sample_rules import SKILLS, SUBSTRING_SETS, TOPICS, WORK_MODE
 from tendersift.scale import lookup
@@ -33,12 +33,12 @@ S_TOPICS = s_labels(TOPICS, "/")
 
 @query(f"SELECT doc_id, CAST({S_SCORE} AS INTEGER) AS score FROM documents")
 def skill_score(spark, sf):
-    return docs(spark, sf).withColumn("_p", padded()).select("doc_id", book().score("skill", "_p").alias("score"))
+    return docs(spark, sf).transform(once, "_p", padded()).select("doc_id", book().score("skill", "_p").alias("score"))
 
 
 @query(f"""SELECT doc_id, CAST({S_SCORE} AS INTEGER) AS score, {S_SKILLS} AS skills, {S_TOPICS} AS topics FROM documents WHERE {S_SCORE} > 0""")
 def skill_report(spark, sf):
-    d = A.skill_report(docs(spark, sf).withColumn("_p", padded()), book(), "_p")
+    d = A.skill_report(docs(spark, sf).transform(once, "_p", padded()), book(), "_p")
     return d.select("doc_id", "score", "skills", "topics").transform(R.best_first, "score", "doc_id")
 
 
@@ -53,14 +53,14 @@ _VALID = [label for label, _ in TOPICS]
 @query(f"""WITH t AS (SELECT unnest(string_split({S_TOPICS}, '/')) AS topic FROM documents)
   SELECT v.topic, count(t.topic) AS n FROM (SELECT unnest({s_list(_VALID)}) AS topic) v LEFT JOIN t ON t.topic = v.topic GROUP BY v.topic""")
 def topic_counts_zero_fill(spark, sf):
-    found = docs(spark, sf).withColumn("_p", padded()).select(F.explode(book().labels("topic", "_p")).alias("topic"))
+    found = docs(spark, sf).transform(once, "_p", padded()).select(F.explode(book().labels("topic", "_p")).alias("topic"))
     return A.counts_with_zero(found, "topic", spark.createDataFrame([(v,) for v in _VALID], "topic string"))
 
 
 @query(f"""WITH t AS (SELECT DISTINCT unnest(string_split({S_TOPICS}, '/')) AS topic FROM documents)
   SELECT v.label FROM (SELECT unnest({s_list(_VALID)}) AS label) v WHERE NOT EXISTS (SELECT 1 FROM t WHERE contains(lower(topic), lower(v.label)))""")
 def missing_topics(spark, sf):
-    found = docs(spark, sf).withColumn("_p", padded()).select(F.explode(book().labels("topic", "_p")).alias("label"))
+    found = docs(spark, sf).transform(once, "_p", padded()).select(F.explode(book().labels("topic", "_p")).alias("label"))
     return J.missing_labels(found, "label", _VALID)
 
 
@@ -201,7 +201,7 @@ def embedding_guard(spark, sf):
 @query(f"""SELECT doc_id, least(100, CAST(round_even(({S_SCORE}) / 17.0 * 100, 0) AS INTEGER)) AS lexical,
     CAST(greatest(0, least(100, round_even(n_chars / 8.0 - 30, 0))) AS INTEGER) AS judged FROM documents""")
 def score_scaling(spark, sf):
-    d = docs(spark, sf).withColumn("_p", padded())
+    d = docs(spark, sf).transform(once, "_p", padded())
     return d.select("doc_id", N.lexical_percent(book().score("skill", "_p")).alias("lexical"),
                     N.judge_score((F.col("n_chars") / 8.0 - 30).cast("string")).alias("judged"))
 
@@ -244,14 +244,14 @@ def border_rows(spark, sf):
 def rule_diff(spark, sf):
     """The same decision under two rule versions."""
     from tendersift.rules import WORD, Rule
-    d = docs(spark, sf).withColumn("_p", padded())
+    d = docs(spark, sf).transform(once, "_p", padded())
     after = book().with_set("core", [Rule("core", t, WORD) for t in ("tion", "eron")])
     return A.rule_diff(d.select("doc_id", book().hit("core", "_p").alias("v")), d.select("doc_id", after.hit("core", "_p").alias("v")), "doc_id", "v")
 
 
 @query(f"""SELECT quality AS expected, count(*) AS n, CAST(sum(CAST({s_any(S_PAD, 'core')} AS INTEGER)) AS BIGINT) AS n_kept FROM labels JOIN documents USING (doc_id) GROUP BY quality""")
 def keep_and_leak(spark, sf):
-    d = docs(spark, sf).withColumn("_p", padded()).select("doc_id", book().hit("core", "_p").alias("kept"))
+    d = docs(spark, sf).transform(once, "_p", padded()).select("doc_id", book().hit("core", "_p").alias("kept"))
     return A.keep_and_leak(read(spark, sf, "labels").join(d, "doc_id").withColumnRenamed("quality", "expected"), "expected", "kept")
 
 
@@ -262,7 +262,7 @@ _SETS = ("strong", "weak", "hard_out", "certification")
     lambda t: contains(concat(' ', lower({S_TITLE}), ' '), t)), '|') AS terms FROM documents
     WHERE {s_any(f"concat(' ', lower({S_TITLE}), ' ')", s)}""" for s in _SETS))
 def fired_terms(spark, sf):
-    return A.fired_terms(docs(spark, sf).withColumn("_p", padded("title")), book(), "_p", _SETS, "doc_id")
+    return A.fired_terms(docs(spark, sf).transform(once, "_p", padded("title")), book(), "_p", _SETS, "doc_id")
 
 
 _DESCRIPTORS = {"a": ["thanedble", "attion"], "b": ["éeau", "mentre"], "c": ["ciónja", "asmente"], "d": ["qqq"]}

@@ -9,7 +9,7 @@ from tendersift.functions.dates import literal_map
 from tendersift.operators import joins as J
 from tendersift.operators import reports as R
 from tendersift.operators import upkeep as U
-from tendersift.plans.registry import S_PAD, S_TITLE, book, docs, padded, q, query, read, s_any, s_fold, s_list, s_title_key
+from tendersift.plans.registry import once, S_PAD, S_TITLE, book, docs, padded, q, query, read, s_any, s_fold, s_list, s_title_key
 from tendersift.plans.sample_rules import WORD_SETS
 from tendersift.scale import number_rows
 from tendersift.session import cut_lineage
@@ -85,7 +85,7 @@ def term_join(spark, sf):
   WHERE {s_any(S_PAD, 'recall')}""")
 def recall_then_classify(spark, sf):
     """The cheap recall words first, the dearer decision only on what is left."""
-    d = docs(spark, sf).withColumn("_p", padded())
+    d = docs(spark, sf).transform(once, "_p", padded())
     return d.filter(book().hit("recall", "_p")).select("doc_id", book().hit("core", "concat(' ', lower(title), ' ')").alias("core"))
 
 

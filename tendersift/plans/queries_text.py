@@ -12,7 +12,7 @@ from tendersift.functions import text as X
 from tendersift.functions.dates import display_date
 from tendersift.operators import filters as K
 from tendersift.operators import pages as G
-from tendersift.plans.registry import (S_PAD, S_TITLE, W, book, docs, padded, q, query, read, s_any, s_fold, s_list,
+from tendersift.plans.registry import (once, S_PAD, S_TITLE, W, book, docs, padded, q, query, read, s_any, s_fold, s_list,
                                        s_terms, s_title_key)
 from tendersift.plans.sample_rules import SUBSTRING_SETS
 from tendersift.scale import spread
@@ -75,7 +75,7 @@ def url_ids(spark, sf):
 
 @query(f"SELECT doc_id, {s_any(S_PAD, 'sector_word')} AS hit FROM documents")
 def short_words(spark, sf):
-    return docs(spark, sf).withColumn("_p", padded()).select("doc_id", book().hit("sector_word", "_p").alias("hit"))
+    return docs(spark, sf).transform(once, "_p", padded()).select("doc_id", book().hit("sector_word", "_p").alias("hit"))
 
 
 @query(f"SELECT conv_id, turn, {s_any(S_PAD, 'contract_form')} AS hit FROM conversations")
@@ -86,7 +86,7 @@ def contract_forms(spark, sf):
 
 @query(f"SELECT doc_id FROM documents WHERE {s_any(S_PAD, 'reference_code')}")
 def reference_codes(spark, sf):
-    return docs(spark, sf).withColumn("_p", padded()).filter(book().hit("reference_code", "_p")).select("doc_id")
+    return docs(spark, sf).transform(once, "_p", padded()).filter(book().hit("reference_code", "_p")).select("doc_id")
 
 
 @query(f"""SELECT doc_id, {s_terms(s_fold(f"concat({S_TITLE}, ' ')"), SUBSTRING_SETS['area_out'])} AS out_of_area, source = 'src13' AS blocked,

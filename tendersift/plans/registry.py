@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendersift.scale import spread
+from tendersift.scale import once, spread  # noqa: F401
 from tendersift.plans.sample_rules import (FOLDED_SETS, REGEX_SETS, SUBSTRING_SETS, WORD_SETS, sample_book)
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -46,6 +46,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """A computed text that later filters see as a plain column.
+
+    Catalyst moves a filter below a projection by writing the projected expression into every test,
+    so a text tested for forty terms would be lower-cased forty times; it does not do so below a
+    generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], weight: str,
                   spread: str, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Left join of `stats` (one row per key) onto `df`, safe for hot and for null keys.
