@@ -78,10 +78,9 @@ def term_join(texts: DataFrame, rules: DataFrame, key: str, text: str, longest:
     """
     words = f"filter(split(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}_]+'), w -> w <> '')"
     runs = ", ".join(
-        f"transform(sequence(1, greatest(size(_w) - {n - 1}, 0)), i -> array_join(slice(_w, i, {n}), ' '))" if n == 1 else
         f"CASE WHEN size(_w) >= {n} THEN transform(sequence(1, size(_w) - {n - 1}), i -> array_join(slice(_w, i, {n}), ' ')) "
         f"ELSE cast(array() AS array<string>) END" for n in range(1, longest + 1))
-    phrases = (texts.select(key, F.expr(words).alias("_w")).filter("size(_w) > 0")
+    phrases = (texts.select(key, F.expr(words).alias("_w"))
                .select(key, F.explode(F.expr(f"array_distinct(concat({runs}))")).alias("term")))
     wanted = rules.select("rule_set", F.lower(F.trim("term")).alias("term")).distinct()
     too_long = F.size(F.split("term", " ")) > longest

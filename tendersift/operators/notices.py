@@ -212,7 +212,7 @@ def forecasts(rows: DataFrame, source: str, country: str) -> DataFrame:
 def document_hits(texts: DataFrame, terms: Sequence[str], prefix: str, chars: int = 150) -> DataFrame:
     """PRJ9: documents in which a term occurs; the subject is the text around the first hit."""
     hit = X.squeeze(X.keyword_in_context("text", terms, chars // 2, chars // 2, "…", "…", past_term=True, always=False))
-    return (texts.withColumn("subject", hit).filter(F.col("subject").isNotNull())
+    return (once(texts, "subject", hit).filter(F.col("subject").isNotNull())
             .select(F.col("id").alias("seq"), F.concat(F.lit(prefix), F.col("id")).alias("id"), "subject"))
 
 

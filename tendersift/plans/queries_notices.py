@@ -63,9 +63,8 @@ def terms_found(spark, sf):
   SELECT doc_id, concat('...', substring(text, greatest(0, pos - 1 - 45) + 1,
     least(length(text), pos - 1 + 90) - greatest(0, pos - 1 - 45)), '...') AS snippet FROM h WHERE pos IS NOT NULL""")
 def keyword_in_context(spark, sf):
-    d = docs(spark, sf)
-    return d.select("doc_id", X.keyword_in_context("text", SUBSTRING_SETS["recall"], 45, 90).alias("snippet")).filter(
-        "snippet IS NOT NULL")
+    d = once(docs(spark, sf).select("doc_id", "text"), "snippet", X.keyword_in_context("text", SUBSTRING_SETS["recall"], 45, 90))
+    return d.filter("snippet IS NOT NULL").select("doc_id", "snippet")
 
 
 # --- dates and deadlines ---------------------------------------------------------------------------
