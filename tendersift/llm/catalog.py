@@ -1,8 +1,9 @@
 """The registered queries of the operators; None marks a query that SQL cannot express."""
 
+from tendersift.llm.cube import op9_cube_mix
 from tendersift.llm.simhash import op2_simhash_near_dedup
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup,
+    op2_simhash_near_dedup, op9_cube_mix,
 )}
 ORACLE: dict[str, str] = {}
