@@ -15,8 +15,8 @@ from tendersift.session import cut_lineage
 FOLDS = 5
 
 
-def sample(labels: DataFrame, label: str, per_class: int, doc_id: str = "doc_id") -> tuple[DataFrame, dict[int, float]]:
-    """At most `per_class` rows (doc_id, y) of each label 0 and 1, by the hash of the id, none held out;
+def sample(labels: DataFrame, label: str, per_class: tuple[int, int], doc_id: str = "doc_id") -> tuple[DataFrame, dict[int, float]]:
+    """At most `per_class[y]` rows (doc_id, y) of each label y 0 and 1, by the hash of the id, none held out;
     and for each label how many rows one sampled row stands for.
 
     Rows with a null id or label are left out; an id with several labels counts once, with the smallest.
@@ -25,7 +25,7 @@ def sample(labels: DataFrame, label: str, per_class: int, doc_id: str = "doc_id"
              .filter("doc_id is not null and y in (0, 1)").filter(remainder("doc_id", FOLDS) != 0)
              .groupBy("doc_id").agg(F.min("y").alias("y")))
     known = cut_lineage(known)
-    parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
+    parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class[y]) for y in (0, 1)]
     chosen = cut_lineage(parts[0].union(parts[1]))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     got = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}

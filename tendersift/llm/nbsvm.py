@@ -25,7 +25,7 @@ from tendersift.llm.hashing import WIDTH, indicators, linear_scores
 from tendersift.llm.labelled import FOLDS, platt, sample, sampled_rows, sigmoid
 from tendersift.llm.texts import read, remainder, text_slices
 
-PER_CLASS = 3000      # labelled rows of each label a model is fitted on, at most
+PER_CLASS = (3000, 3000)      # labelled rows of each label a model is fitted on, at most
 THRESHOLD = 0.3
 SMOOTH = 1.0
 COST = 0.5
@@ -89,7 +89,7 @@ def unit_lengths(rows: list[np.ndarray], scale: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
-        per_class: int = PER_CLASS) -> Linear:
+        per_class: tuple[int, int] = PER_CLASS) -> Linear:
     chosen, stands_for = sample(labels, label, per_class)
     t = sampled_rows(docs, chosen, indicator_rows, "doc_id long, y int, idx array<int>", doc_id, text)
     y = t.column("y").to_numpy()

@@ -25,14 +25,13 @@ from tendersift.llm.hashing import LOWER, Hashes, mixed, spans
 from tendersift.llm.labelled import FOLDS, sample, sampled_rows, sigmoid
 from tendersift.llm.texts import read, remainder, text_slices
 
-PER_CLASS = 2500       # labelled rows of each label a model is fitted on, at most
+PER_CLASS = (4000, 2000)   # labelled rows of label 0 and of label 1 a model is fitted on, at most
 THRESHOLD = 0.5
 BITS = 18
-BEGINNINGS = (4, 5, 6, 7)
-LEAST_ROWS = 3         # training rows a feature must be in
-EPOCHS = 120
-RATE = 0.3
-SPARSITY = 2e-5        # L1 penalty
+BEGINNINGS = (4, 6)
+LEAST_ROWS = 4         # training rows a feature must be in
+SEARCH = (60, 0.5, 3e-4)   # epochs, rate and L1 penalty of the pass that chooses features
+REFIT = (600, 1.0, 0.0)    # and of the pass that fits those chosen
 LETTERS = np.array([chr(b).isalnum() or b >= 128 for b in range(256)])
 STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?\n"])
 
@@ -82,13 +81,14 @@ def instance_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 ["doc_id", "y", "idx", "ends"])
 
 
-def train(idx: np.ndarray, sent: np.ndarray, doc: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int) -> Mil:
+def train(idx: np.ndarray, sent: np.ndarray, doc: np.ndarray, y: np.ndarray, weight: np.ndarray, width: int,
+          settings: tuple[int, float, float]) -> Mil:
     """Proximal AdaGrad on the weighted noisy-or likelihood. `sent` is the sentence of each feature, `doc` the
     document of each sentence, `y` and `weight` are by document."""
-    n, total = len(y), weight.sum()
+    (epochs, speed, sparsity), n, total = settings, len(y), weight.sum()
     w, b = np.zeros(width), -4.0
     gw, gb = np.full(width, 1e-8), 1e-8
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         p = sigmoid(np.bincount(sent, w[idx], len(doc)) + b)
         none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), n)          # log probability of no toxic sentence
         some = -np.expm1(none)
@@ -97,15 +97,15 @@ def train(idx: np.ndarray, sent: np.ndarray, doc: np.ndarray, y: np.ndarray, wei
         grad, gradb = np.bincount(idx, g[sent], width), g.sum()
         gw += grad * grad
         gb += gradb * gradb
-        rate = RATE / np.sqrt(gw)
+        rate = speed / np.sqrt(gw)
         w = w - rate * grad
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * SPARSITY, 0)
-        b -= RATE / np.sqrt(gb) * gradb
+        w = np.sign(w) * np.maximum(np.abs(w) - rate * sparsity, 0)
+        b -= speed / np.sqrt(gb) * gradb
     return Mil(w, b)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
-        per_class: int = PER_CLASS) -> Mil:
+        per_class: tuple[int, int] = PER_CLASS) -> Mil:
     chosen, stands_for = sample(labels, label, per_class)
     t = sampled_rows(docs, chosen, instance_rows, "doc_id long, y int, idx array<int>, ends array<int>", doc_id, text)
     y = t.column("y").to_numpy()
@@ -115,16 +115,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     sizes = np.concatenate([np.diff(np.asarray(r.values), prepend=0) for r in t.column("ends")])
     sent = np.repeat(np.arange(len(sizes)), sizes)
     doc = np.repeat(np.arange(len(y)), [len(r) for r in t.column("ends")])
-    pairs = np.unique((doc[sent].astype(np.int64) << BITS) | idx)
-    rows = np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS)
-    known = np.flatnonzero(rows >= LEAST_ROWS)
-    place = np.full(1 << BITS, -1, np.int64)
-    place[known] = np.arange(len(known))
-    keep = place[idx] >= 0
-    small = train(place[idx[keep]], sent[keep], doc, y, np.where(y == 1, stands_for[1], stands_for[0]), len(known))
-    weights = np.zeros(1 << BITS)
-    weights[known] = small.weights
-    return Mil(weights, small.bias)
+    return fitted(idx, sent, doc, y, np.where(y == 1, stands_for[1], stands_for[0]))
+
+
+def fitted(idx: np.ndarray, sent: np.ndarray, doc: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Mil:
+    """Features found with an L1 penalty, then fitted without it: a penalty left on would leave every sentence of
+    a long clean text some probability."""
+    rows = np.bincount(np.unique((doc[sent].astype(np.int64) << BITS) | idx) & ((1 << BITS) - 1), minlength=1 << BITS)
+    weights, bias = (rows >= LEAST_ROWS).astype(float), 0.0
+    for settings in (SEARCH, REFIT):
+        known = np.flatnonzero(weights)
+        place = np.full(1 << BITS, -1, np.int64)
+        place[known] = np.arange(len(known))
+        keep = place[idx] >= 0
+        part = train(place[idx[keep]], sent[keep], doc, y, weight, len(known), settings)
+        weights = np.zeros(1 << BITS)
+        weights[known], bias = part.weights, part.bias
+    return Mil(weights, bias)
 
 
 def sentence_scores(model: Mil, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
