@@ -107,6 +107,21 @@ def shape_rates(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def repeated_lines(data: np.ndarray, off: np.ndarray, h: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: lines with a word, and those of them equal to an earlier line of the text."""
+    n = len(off) - 1
+    s, e, row = spans(data != 10, off)
+    if len(s):
+        has = np.concatenate(([0], np.cumsum(~SPACES[data])))
+        with_word = has[e] > has[s]
+        s, e, row = s[with_word], e[with_word], row[with_word]
+    key = h(s, e) ^ mixed(row.astype(np.uint64) + np.uint64(1))
+    _, first = np.unique(key, return_index=True)
+    repeated = np.ones(len(key), bool)
+    repeated[first] = False
+    return np.bincount(row, minlength=n), np.bincount(row[repeated], minlength=n)
+
+
 def repetition(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Share of words equal to the word before, and share of lines with a word that came before in the text."""
     n = len(off) - 1
@@ -115,19 +130,9 @@ def repetition(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     w = h(s, e)
     again = np.zeros(len(w), bool)
     again[1:] = (w[1:] == w[:-1]) & (row[1:] == row[:-1])
-    total = np.maximum(np.bincount(row, minlength=n), 1)
-    words = np.bincount(row[again], minlength=n) / total
-    s, e, row = spans(data != 10, off)
-    if len(s):
-        has = np.concatenate(([0], np.cumsum(~SPACES[data])))
-        s, e, row = (x[has[e] > has[s]] for x in (s, e, row))
-    lines = h(s, e)
-    key = lines ^ mixed(row.astype(np.uint64) + np.uint64(1))
-    _, counts = np.unique(key, return_counts=True)
-    uniq, first = np.unique(key, return_index=True)
-    repeated = np.ones(len(key), bool)
-    repeated[first] = False
-    return words, np.bincount(row[repeated], minlength=n) / np.maximum(np.bincount(row, minlength=n), 1)
+    lines, repeated = repeated_lines(data, off, h)
+    return (np.bincount(row[again], minlength=n) / np.maximum(np.bincount(row, minlength=n), 1),
+            repeated / np.maximum(lines, 1))
 
 
 def word_indicators(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,3 +167,15 @@ def linear_scores(data: np.ndarray, off: np.ndarray, weights: np.ndarray) -> np.
         out += (rates >= level).astype(np.float32) @ weights[k * SHAPES:(k + 1) * SHAPES]
     wrow, widx = word_indicators(data, off)
     return out + np.bincount(wrow, weights[widx], minlength=len(out))
+
+
+def several_scores(data: np.ndarray, off: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """`linear_scores` for each row of `weights`, with the indicators found once."""
+    rates = shape_rates(data, off)
+    out = np.zeros((len(weights), len(rates)))
+    for k, level in enumerate(LEVELS):
+        out += weights[:, k * SHAPES:(k + 1) * SHAPES] @ (rates >= level).astype(weights.dtype).T
+    wrow, widx = word_indicators(data, off)
+    for o, w in zip(out, weights):
+        o += np.bincount(wrow, w[widx], minlength=len(o))
+    return out
