@@ -3,12 +3,13 @@
 from tendersift.llm.bpe import op7_bpe_round_trip
 from tendersift.llm.cube import op9_cube_mix
 from tendersift.llm.nbsvm import op3_quality_nbsvm
+from tendersift.llm.neighbours import op8_stable_projection_ann
 from tendersift.llm.rules import op10_quality_rules
 from tendersift.llm.simhash import op2_simhash_near_dedup
 from tendersift.llm.toxicity import op4_toxicity_mil
 
 QUERIES = {f.__name__: f for f in (
     op2_simhash_near_dedup, op3_quality_nbsvm, op4_toxicity_mil, op7_bpe_round_trip,
-    op9_cube_mix, op10_quality_rules,
+    op8_stable_projection_ann, op9_cube_mix, op10_quality_rules,
 )}
 ORACLE: dict[str, str] = {}
