@@ -204,10 +204,10 @@ def judge_text(title: Column, mission: Column, body: Column) -> Column:
     return strip(F.concat_ws("\n", *parts))
 
 
-def embed_text(title: Column, mission: Column, body: Column, chars: int) -> Column:
-    """STR21 (short): title and the opening of the body, the mission when there is no body."""
+def embed_text(title: Column, mission: Column, body: Column, chars: int | None = None) -> Column:
+    """STR21 (short): title and the body, or its first `chars` characters, the mission when there is no body."""
     t = strip(F.coalesce(body, F.lit("")))
-    head = F.when(F.length(t) > 0, F.substring(t, 1, chars)).otherwise(strip(F.coalesce(mission, F.lit(""))))
+    head = F.when(F.length(t) > 0, t if chars is None else F.substring(t, 1, chars)).otherwise(strip(F.coalesce(mission, F.lit(""))))
     return strip(F.concat(strip(F.coalesce(title, F.lit(""))), F.lit(" "), head))
 
 

@@ -38,11 +38,13 @@ S_ESTIMATED, S_NONE = "À VÉRIFIER (estimé sans Gemini)", "À VÉRIFIER (Gemin
 JUDGE_PENDING_PREFIX = "A_VERIFIER"
 JUDGE_ERROR, JUDGE_UNAVAILABLE = "A_VERIFIER (erreur Gemini)", "A_VERIFIER (Gemini indisponible)"
 SEMANTIC_GATE, SIM_HIGH, SIM_LOW = 35, 75, 55
-JUDGE_BATCH, JUDGE_TEXT_CHARS, SHORT_TEXT_CHARS, REASON_CHARS = 10, 3500, 600, 160
+JUDGE_BATCH, REASON_CHARS = 10, 160
 LEXICAL_MAX = 17
 MIN_EMBEDDING_DIM = 16
 # display defaults
 NC, UNSPECIFIED = "NC", "non précisé"
-SNIPPET_CHARS, DEDUP_TEXT_CHARS, ID_TEXT_CHARS, SCAN_CHARS = 160, 150, 40, 50
+SNIPPET_CHARS, SCAN_CHARS = 160, 50
 AUDIT_MAX_AGE = 45
 SYNTHESIS_FIELDS = 9
+# fixed value: the reason of an offer cut before the judge, around its score and the threshold
+CUT_REASON = ("Pré-filtre sémantique : hors-sujet (score ", " < ", "), non soumis au juge.")

@@ -150,14 +150,16 @@ def verdict_of(kind: str = "kind", sector_: str = "sector", window: str = "windo
     return first_match(steps, (L.V_GOOD, ""), ("verdict", "reason"))
 
 
-def classify_postings(df: DataFrame, book: RuleBook, today: Column) -> DataFrame:
+def classify_postings(df: DataFrame, book: RuleBook, today: Column, dedup_chars: int | None = None) -> DataFrame:
     """CLS1–CLS5, CLS7 and FLT10 for every posting, in one pass over the texts and without a shuffle.
 
     The result carries keys and decisions but not the body, so that everything that follows
-    (duplicates, recurrence, nets, merges) shuffles narrow rows.
+    (duplicates, recurrence, nets, merges) shuffles narrow rows. `dedup_text` is a hash of the whole
+    text, or of its first `dedup_chars` characters where a user asks for looser duplicates.
     """
-    opening = F.substring(F.coalesce(F.col("body"), F.lit("")), 1, L.DEDUP_TEXT_CHARS)
-    d = df.withColumns({"dedup_text": X.strip(opening), "raw_entity": F.col("entity"), "raw_title": F.col("title")})
+    body = F.coalesce(F.col("body"), F.lit(""))
+    opening = body if dedup_chars is None else F.substring(body, 1, dedup_chars)
+    d = df.withColumns({"dedup_text": F.md5(X.strip(opening).cast("binary")), "raw_entity": F.col("entity"), "raw_title": F.col("title")})
     d = with_text_views(d).withColumns(contract_signals(book))
     day, age, src = posting_age(F.col("published"), F.col("posted_relative"), today)
     barred = f"{out_of_area_sql(book, '_ft', place_sql())} OR {book.sql('blocked_entity', '_e')}"

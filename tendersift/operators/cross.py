@@ -17,7 +17,7 @@ CLASS = ["signature", "entity_key", "age_key"]
 
 
 def drop_duplicates_first(df: DataFrame) -> DataFrame:
-    """WIN1 on postings: same publisher, same title, same opening of the text."""
+    """WIN1 on postings: same publisher, same title, same text."""
     return keep_first(df, ["entity_key", "dedup_title", "dedup_text"], ["seq"])
 
 

@@ -128,12 +128,12 @@ def login_page(html: str, visible_text: str, book: RuleBook, k: int = 2) -> Colu
 
 
 def year_in_name(name: Column, min_year: int, years: int = 5) -> Column:
-    """FLT29: four-digit years decide when present, else two-digit tokens standing alone."""
-    long_years = [str(y) for y in range(min_year, min_year + years)]
+    """FLT29: four-digit years from `min_year` on decide when present; else two-digit tokens standing alone, of
+    which only those of the next `years` years count, since they may as well be days."""
     four = F.regexp_extract_all(name, F.lit(r"(20\d{2})"), 1)
     two = F.regexp_extract_all(name, F.lit(r"(?<!\d)(\d{2})(?!\d)"), 1)
-    return F.when(F.size(four) > 0, F.arrays_overlap(four, F.array(*map(F.lit, long_years)))).otherwise(
-        F.arrays_overlap(two, F.array(*[F.lit(y[-2:]) for y in long_years])))
+    return F.when(F.size(four) > 0, F.exists(four, lambda y: y.cast("int") >= min_year)).otherwise(
+        F.arrays_overlap(two, F.array(*[F.lit(f"{y % 100:02d}") for y in range(min_year, min_year + years)])))
 
 
 def publishable(verdict: Column, drop_backlog: bool = True) -> Column:

@@ -47,13 +47,14 @@ def dimension_lookup(rows: DataFrame, dim: DataFrame, key: str, name: str, alias
 
 
 def align_answers(batch: DataFrame, answers: DataFrame) -> DataFrame:
-    """JOI9: judged item of each batch row by its `id`, else by its position.
+    """JOI9: judged item of each batch row by its `id` (the last item of a repeated one), else by its position.
 
     `batch` has batch_no, pos (from 0) and its own columns; `answers` has batch_no and items, an
-    array as read by `answer_items`. Every lookup is inside one row, nothing is exploded.
+    array as read by `answer_items`, and other columns that are kept. Every lookup is inside one row,
+    nothing is exploded.
     """
-    d = batch.join(answers.select("batch_no", "items"), "batch_no", "left")
-    by_id = F.get(F.filter("items", lambda i: i["id"].try_cast("int") == F.col("pos")), F.lit(0))
+    d = batch.join(answers.drop("raw", "n_items"), "batch_no", "left")
+    by_id = F.try_element_at(F.filter("items", lambda i: i["id"].try_cast("int") == F.col("pos")), F.lit(-1))
     return d.withColumn("item", F.coalesce(by_id, F.get("items", F.col("pos").cast("int")))).drop("items")
 
 
@@ -69,23 +70,21 @@ def backfill(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -
             .withColumns({c: F.coalesce(F.col("_n_" + c), F.col(c)) for c in columns}).drop(*["_n_" + c for c in columns]))
 
 
-def term_join(texts: DataFrame, rules: DataFrame, key: str, text: str, longest: int = 4) -> DataFrame:
+def term_join(texts: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
     """JOI14: (key, rule_set, term) of every whole-word rule of a rules table that occurs.
 
     For rule tables too large to be written into an expression. Each text is turned into its
-    distinct word sequences of up to `longest` words inside the row, and these meet the terms in an
-    equi join; the texts themselves are not shuffled. Terms longer than `longest` words are refused.
+    distinct word sequences of up to as many words as the longest term has inside the row, and these
+    meet the terms in an equi join; the texts themselves are not shuffled.
     """
+    wanted = rules.select("rule_set", F.lower(F.trim("term")).alias("term")).distinct()
+    longest = wanted.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
     words = f"filter(split(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}_]+'), w -> w <> '')"
     runs = ", ".join(
         f"CASE WHEN size(_w) >= {n} THEN transform(sequence(1, size(_w) - {n - 1}), i -> array_join(slice(_w, i, {n}), ' ')) "
         f"ELSE cast(array() AS array<string>) END" for n in range(1, longest + 1))
     phrases = (texts.select(key, F.expr(words).alias("_w"))
                .select(key, F.explode(F.expr(f"array_distinct(concat({runs}))")).alias("term")))
-    wanted = rules.select("rule_set", F.lower(F.trim("term")).alias("term")).distinct()
-    too_long = F.size(F.split("term", " ")) > longest
-    wanted = wanted.withColumn("term", F.when(too_long, F.raise_error(F.lit("term longer than `longest` words")))
-                               .otherwise(F.col("term")))
     return phrases.join(sized_broadcast(wanted, BROADCAST_ROWS), "term").select(key, "rule_set", "term")
 
 

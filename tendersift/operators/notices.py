@@ -156,10 +156,14 @@ def planned_notices(raw: DataFrame) -> DataFrame:
                    published=c("date_publication"))
 
 
-def make_id(prefix: str, reference: Column, subject: Column) -> Column:
-    """Prefix and reference, or the opening of the subject when there is no reference."""
-    return F.concat(F.lit(prefix), F.coalesce(F.nullif(reference, F.lit("")),
-                                              F.substring(subject, 1, L.ID_TEXT_CHARS)))
+def text_key(text: Column, chars: int | None = None) -> Column:
+    """An id made of a text: a hash of all of it, or its first `chars` characters where those are asked for."""
+    return F.md5(text.cast("binary")) if chars is None else F.substring(text, 1, chars)
+
+
+def make_id(prefix: str, reference: Column, subject: Column, chars: int | None = None) -> Column:
+    """Prefix and reference, or the key of the subject when there is no reference."""
+    return F.concat(F.lit(prefix), F.coalesce(F.nullif(reference, F.lit("")), text_key(subject, chars)))
 
 
 def regional_notices(raw: DataFrame, prefix: str, source: str, country: str, currency: str | None = None,
@@ -199,7 +203,7 @@ def forecasts(rows: DataFrame, source: str, country: str) -> DataFrame:
 
     subject, line = col("objet"), F.regexp_replace(F.coalesce(col("ligne", "budgetaire"), F.lit("")), r"(?U)\s+", "")
     buyer = F.coalesce(col("autorite", "contractante"), col("autorit"))
-    derived = F.substring(F.regexp_replace(F.concat(buyer, subject), r"(?U)\W+", ""), 1, L.ID_TEXT_CHARS)
+    derived = text_key(F.regexp_replace(F.concat(buyer, subject), r"(?U)\W+", ""))
     d = rows.filter((F.coalesce(subject, F.lit("")) != "") & (F.coalesce(buyer, F.lit("")) != ""))
     return conform(d, FORECAST, seq=F.col("seq"), id=F.concat(F.lit("CI-PPM-"), F.coalesce(F.nullif(line, F.lit("")), derived)),
                    country=F.lit(country), source=F.lit(source), ministry=col("minist"), buyer=X.squeeze(buyer),

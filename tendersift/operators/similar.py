@@ -17,9 +17,11 @@ from tendersift import labels as L
 from tendersift.functions import text as X
 from tendersift.functions.numbers import judge_score, lexical_percent
 from tendersift.functions.payload import answer_items
+from tendersift.functions.text import canonical_url
 from tendersift.functions.vectors import best_cosine, percent
 from tendersift.rules import RuleBook
-from tendersift.scale import lookup, number_rows
+from tendersift.operators.joins import align_answers
+from tendersift.scale import keep_first, lookup, number_rows
 from tendersift.session import cut_lineage
 
 MAX_BLOCKS = 1000
@@ -70,15 +72,47 @@ def gate(offers: DataFrame, threshold: int = L.SEMANTIC_GATE, any_version: bool
     return offers.withColumn("cut", low & ~known)
 
 
+def cut_results(gated: DataFrame) -> DataFrame:
+    """SIM3: the result of the offers the gate cut: out, with the semantic score and the reason."""
+    why = F.concat(F.lit(L.CUT_REASON[0]), F.col("semantic"), F.lit(L.CUT_REASON[1]), F.lit(L.SEMANTIC_GATE), F.lit(L.CUT_REASON[2]))
+    return gated.filter("cut").select("seq", "content_hash", F.col("semantic").cast("int").alias("score"),
+                                      F.lit(L.JUDGED_OUT).alias("verdict"), F.lit("-").alias("topic"), why.alias("reason"))
+
+
+def cascade(offers: DataFrame, cache: DataFrame, judge: Callable[[str], str], version: str, chars: int | None = None,
+            size: int = L.JUDGE_BATCH) -> tuple[DataFrame, DataFrame]:
+    """The whole cascade for offers (seq, content_hash, title, mission, body, semantic, lexical).
+
+    Gate, stored judgements, requests to the judge for the rest, answers, fall-back estimates and
+    the decision. Returns (seq, score, verdict, topic, reason, estimated, decision) for every offer, and the
+    rows to store. Copies of one text are asked once. The judge is called once per request: its
+    answers are written before anything reads them.
+    """
+    gated = cut_lineage(gate(with_judgements(offers, cache, version)))
+    asked = keep_first(pending(gated), ["content_hash"], ["seq"])
+    rows = cut_lineage(batches(judge_input(asked, chars).join(asked.select("seq", "content_hash"), "seq"), size=size))
+    answers = cut_lineage(read_answers(ask(requests(rows), judge)))
+    fresh = cut_lineage(settle(align_answers(rows, answers)).select("seq", "content_hash", "score", "verdict", "topic", "reason"))
+    names = ["score", "verdict", "topic", "reason"]
+    judged = keep_first(fresh, ["content_hash"], ["seq"]).select("content_hash", F.struct(*names).alias("_fresh"))
+    out = lookup(gated, cut_lineage(judged), ["content_hash"], "seq")
+    cut = cut_results(gated).select("seq", F.struct(*names).alias("_cut"))
+    out = out.join(cut, "seq", "left").withColumn("_r", F.coalesce("_cut", "judged", "_fresh"))
+    out = out.select("seq", "semantic", "lexical", *[F.col("_r")[n].alias(n) for n in names])
+    done = with_fallback(out)
+    return (done.withColumn("decision", similarity_verdict(F.col("score"), F.col("estimated"))).drop("semantic", "lexical"),
+            storable(fresh, version))
+
+
 def pending(offers: DataFrame) -> DataFrame:
     """SIM4."""
     return offers.filter(~F.col("cut") & F.col("judged").isNull())
 
 
-def judge_input(df: DataFrame, chars: int = L.JUDGE_TEXT_CHARS) -> DataFrame:
-    """STR21 per row, before anything is shuffled: title and the text as the judge takes it."""
+def judge_input(df: DataFrame, chars: int | None = None) -> DataFrame:
+    """STR21 per row, before anything is shuffled: title and the text as the judge takes it, whole unless it can take only `chars`."""
     full = X.judge_text(F.col("title"), F.col("mission"), F.col("body"))
-    cut = F.when(F.length(full) > chars, F.concat(F.substring(full, 1, chars), F.lit(" […]"))).otherwise(full)
+    cut = full if chars is None else F.when(F.length(full) > chars, F.concat(F.substring(full, 1, chars), F.lit(" […]"))).otherwise(full)
     return df.select("seq", X.strip(F.coalesce("title", F.lit(""))).alias("title"), cut.alias("text"))
 
 
@@ -165,12 +199,17 @@ def similarity_verdict(score: Column, estimated: Column) -> Column:
 
 
 def apply_similarity(postings: DataFrame, judgements: DataFrame, key: str = "url") -> DataFrame:
-    """SIM10: judgements onto the postings that are not rejected; what is missing is to be verified."""
-    j = judgements.select(key, F.col("score").alias("sim_score"), F.col("sim_verdict").alias("_v"),
+    """SIM10: judgements onto the postings that are not rejected; what is missing is to be verified.
+
+    Both sides meet by the canonical url; of a url judged twice the judgement that sorts first counts.
+    """
+    j = keep_first(judgements.withColumn("_u", canonical_url(F.col(key))).filter("_u IS NOT NULL"), ["_u"],
+                   ["score", "sim_verdict", "topic", "reason"])
+    j = j.select("_u", F.col("score").alias("sim_score"), F.col("sim_verdict").alias("_v"),
                           F.col("topic").alias("sim_topic"), F.col("reason").alias("sim_reason"))
     live = F.col("verdict") != L.V_OUT
-    return (postings.join(j, key, "left")
-            .withColumn("sim_verdict", F.when(live, F.coalesce("_v", F.lit(L.S_NONE)))).drop("_v"))
+    return (lookup(postings.withColumn("_u", canonical_url(F.col(key))), cut_lineage(j), ["_u"], "seq")
+            .withColumn("sim_verdict", F.when(live, F.coalesce("_v", F.lit(L.S_NONE)))).drop("_v", "_u"))
 
 
 def purge(cache: DataFrame, version: str | None = None) -> DataFrame:

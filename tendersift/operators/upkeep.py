@@ -78,7 +78,11 @@ def batch_sources(batch: DataFrame) -> DataFrame:
 
 
 def update_ledger(ledger: DataFrame, items: DataFrame, now: Column) -> DataFrame:
-    """INC1 and WIN7: first_seen is never overwritten; verdict and last_check are refreshed."""
+    """INC1 and WIN7: first_seen is never overwritten; verdict and last_check are refreshed.
+
+    Of a url that `items` repeat the last row counts, by `seq` where there is one.
+    """
+    items = last_of(items.filter("url IS NOT NULL AND url <> ''"), "url")
     fresh = items.select("url", now.alias("first_seen"), now.alias("last_check"), "verdict", "title", "entity",
                          F.lit(1).alias("_n"))
     both = ledger.select("url", "first_seen", "last_check", "verdict", "title", "entity", F.lit(0).alias("_n")).unionByName(fresh)
@@ -87,11 +91,20 @@ def update_ledger(ledger: DataFrame, items: DataFrame, now: Column) -> DataFrame
             .select("url", "first_seen", "last_check", "_v.verdict", "_v.title", "_v.entity"))
 
 
+def last_of(rows: DataFrame, key: str, order: str = "seq") -> DataFrame:
+    """One row per key: the last by `order`, or without that column the one that sorts first by its data."""
+    if order in rows.columns:
+        return keep_last(rows, [key], [order])
+    return keep_first(rows, [key], [c for c in rows.columns if c != key] or [key])
+
+
 def append_new(table: DataFrame, items: DataFrame, key: str = "url", gate: bool = True) -> DataFrame:
     """INC7 and INC9: rows to append. Known rows are not touched, and of the rest only items never
     seen before come in; those the similarity gate puts out are left away, and another verdict than
-    a pass replaces the shown one."""
-    new = items.filter("is_new").join(table.select(key).distinct(), key, "left_anti")
+    a pass replaces the shown one. A key that comes twice comes in once; rows without one stay out, since
+    no later run could tell them from new ones."""
+    new = last_of(items.filter(f"is_new AND coalesce({key}, '') <> ''"), key)
+    new = new.join(table.select(key).distinct(), key, "left_anti")
     sv = F.col("sim_verdict")
     if gate:
         new = new.filter(~F.coalesce(sv == L.S_OUT, F.lit(False)))
@@ -100,7 +113,7 @@ def append_new(table: DataFrame, items: DataFrame, key: str = "url", gate: bool
 
 def clean_up(table: DataFrame, judged: DataFrame, book: RuleBook, key: str = "url") -> DataFrame:
     """INC8: the table without rows now judged junk and without unjudgeable rows of barred publishers."""
-    j = judged.select(key, F.struct("out_of_scope", "sector", "kind").alias("_j"))
+    j = last_of(judged.filter(f"{key} IS NOT NULL"), key).select(key, F.struct("out_of_scope", "sector", "kind").alias("_j"))
     junk = (f"coalesce(_j.out_of_scope, false) OR coalesce(_j.sector = '{L.NO}', false) "
             f"OR coalesce(_j.kind = '{L.HIRING}', false)")
     entity = "concat(' ', lower(coalesce(entity, '')), ' ')"
@@ -121,15 +134,15 @@ def new_in_last_batch(first_batch: Column, current: Column) -> Column:
     return first_batch == current
 
 
-def update_status(table: DataFrame, updates: DataFrame, key: str, column: str) -> DataFrame:
-    """SNK5: one status column of many rows in one write."""
-    u = updates.select(key, F.col(column).alias("_new"))
+def update_status(table: DataFrame, updates: DataFrame, key: str, column: str, order: str = "seq") -> DataFrame:
+    """SNK5: one status column of many rows in one write; of a repeated key the last update by `order` counts."""
+    u = last_of(updates.filter(f"{key} IS NOT NULL"), key, order).select(key, F.col(column).alias("_new"))
     return table.join(u, key, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
 
 
-def update_columns(table: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """SNK6: a group of columns; an empty new value leaves the old one alone."""
-    u = updates.select(key, *[F.col(c).alias("_n_" + c) for c in columns])
+def update_columns(table: DataFrame, updates: DataFrame, key: str, columns: Sequence[str], order: str = "seq") -> DataFrame:
+    """SNK6: a group of columns; an empty new value leaves the old one alone; of a repeated key the last update counts."""
+    u = last_of(updates.filter(f"{key} IS NOT NULL"), key, order).select(key, *[F.col(c).alias("_n_" + c) for c in columns])
     new = {c: F.coalesce(F.nullif(F.col("_n_" + c), F.lit("")), F.col(c)) for c in columns}
     return table.join(u, key, "left").withColumns(new).drop(*["_n_" + c for c in columns])
 
@@ -166,13 +179,24 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType, require_s
     return spark.read.schema(schema).parquet(f"{root}/v={v}")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def publish(df: DataFrame, root: str, partition_by: str | None = None, dry_run: bool = False) -> int | None:
-    """SNK1, SNK3, INC12: write a new version, then its commit marker. A dry run commits nothing."""
+    """SNK1, SNK3, INC12: write a new version, then its commit marker. A dry run commits nothing.
+
+    A version that exists is never overwritten: of two publishers of one number the second fails, and a
+    version that a failed run left without a marker is passed over.
+    """
     if dry_run:
         return None
     spark = df.sparkSession
     v = (current_version(spark, root) or 0) + 1
-    w = df.write.mode("overwrite")
+    while _exists(spark, f"{root}/v={v}"):
+        v += 1
+    w = df.write.mode("errorifexists")
     (w.partitionBy(partition_by) if partition_by else w).parquet(f"{root}/v={v}")
     spark.createDataFrame([(v, True)], POINTER).coalesce(1).write.mode("append").parquet(f"{root}/_commits")
     return v

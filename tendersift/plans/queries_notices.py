@@ -332,7 +332,7 @@ def domain_counts(spark, sf):
 
 # --- normalisation ---------------------------------------------------------------------------------
 
-@query("""SELECT concat('MA-', CASE WHEN c_custkey % 3 = 0 THEN left(concat('Objet ', c_name), 40) ELSE CAST(c_custkey AS VARCHAR) END) AS id,
+@query("""SELECT concat('MA-', CASE WHEN c_custkey % 3 = 0 THEN md5(concat('Objet ', c_name)) ELSE CAST(c_custkey AS VARCHAR) END) AS id,
     CASE WHEN c_custkey % 3 = 0 THEN 'non précisé' ELSE CAST(c_custkey AS VARCHAR) END AS reference,
     concat('Objet ', c_name) AS subject, c_mktsegment AS buyer,
     CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE '2024-03-05' END AS deadline FROM customer WHERE c_custkey % 5 <> 4""")

@@ -64,7 +64,7 @@ views AS (
     concat(' ', lower(title), ' ', lower(body), ' ', lower(entity), ' ') AS a,
     concat(' ', lower(title), ' ', lower(body), ' ') AS s,
     CAST(DATE '{TODAY}' - day AS INTEGER) AS age,
-    trim({s_fold('entity')}) AS entity_key, {s_title_key('title')} AS title_norm, trim(body[1:150]) AS dedup_text
+    trim({s_fold('entity')}) AS entity_key, {s_title_key('title')} AS title_norm, md5(trim(body)) AS dedup_text
   FROM posting),
 flags AS (
   SELECT *, {_has('o', 'strong', 'reference_code')} AS strong, {_has('o', 'weak')} AS weak, {_has('o', 'b2b')} AS b2b

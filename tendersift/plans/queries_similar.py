@@ -130,8 +130,7 @@ def judge_pending(spark, sf):
     return S.pending(gated(spark, sf)).select("seq")
 
 
-S_ITEM = f"""concat('### OFFRE ', n % 10, chr(10), 'Titre : ', trim(title), chr(10), 'Annonce :', chr(10), CASE WHEN length(full_text) > 3500
-    THEN concat(full_text[1:3500], ' […]') ELSE full_text END)"""
+S_ITEM = f"""concat('### OFFRE ', n % 10, chr(10), 'Titre : ', trim(title), chr(10), 'Annonce :', chr(10), full_text)"""
 S_BATCHES = f"""WITH {S_OFFERS} SELECT CAST(n // 10 AS BIGINT) AS batch_no, count(*) AS n_items, md5(string_agg({S_ITEM}, chr(10) || chr(10) ORDER BY n)) AS request_md5
   FROM (SELECT *, regexp_replace(array_to_string(list_filter([trim(title), source, text], lambda x: x <> ''), chr(10)), '^\\s+|\\s+$', '', 'g') AS full_text FROM pend)
   GROUP BY n // 10"""
@@ -163,7 +162,7 @@ def judged(spark, sf):
     d = read(spark, sf, "documents").select(F.col("doc_id").alias("seq"), (F.col("doc_id") / 10).cast("long").alias("batch_no"),
                                             (F.col("doc_id") % 10).cast("int").alias("pos"))
     a = S.read_answers(answers(spark, sf))
-    return S.settle(J.align_answers(d, a).join(a.select("batch_no", "error"), "batch_no", "left"))
+    return S.settle(J.align_answers(d, a))
 
 
 @query("""SELECT b AS batch_no, CASE WHEN b % 3 < 2 THEN n END AS n_items FROM (SELECT doc_id // 10 AS b, CAST(count(*) AS INTEGER) AS n FROM documents GROUP BY ALL)""")

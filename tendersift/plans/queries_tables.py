@@ -77,7 +77,7 @@ def dimension_lookup(spark, sf):
 def term_join(spark, sf):
     terms = WORD_SETS["w_domain_strong"] + ["the and", "of the", "en la"]
     rules = spark.createDataFrame([("s", t) for t in terms], "rule_set string, term string")
-    hits = J.term_join(docs(spark, sf), rules, "doc_id", "text", longest=2)
+    hits = J.term_join(docs(spark, sf), rules, "doc_id", "text")
     return hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
 
 

@@ -135,13 +135,13 @@ def content_keys(spark, sf):
                                   X.list_signature(F.array("source", "lang")).alias("sig"))
 
 
-@query("""SELECT item_id, md5(lower(concat(replace(text, '’', ''''), ' a b ', 'x'))) AS analysis, length(trim(concat('T ', text[1:600]))) AS short_len,
+@query("""SELECT item_id, md5(lower(concat(replace(text, '’', ''''), ' a b ', 'x'))) AS analysis, length(trim(concat('T ', text))) AS short_len,
     length(concat('T', chr(10), text)) AS long_len FROM benchmark""")
 def analysis_text(spark, sf):
     t = F.lit("T")
     return read(spark, sf, "benchmark").select(
         "item_id", F.md5(X.analysis_text(F.col("text"), F.array(F.lit("a"), F.lit("b")), F.lit("x"))).alias("analysis"),
-        F.length(X.embed_text(t, F.lit(None), F.col("text"), L.SHORT_TEXT_CHARS)).cast("long").alias("short_len"),
+        F.length(X.embed_text(t, F.lit(None), F.col("text"))).cast("long").alias("short_len"),
         F.length(X.judge_text(t, F.lit(""), F.col("text"))).cast("long").alias("long_len"))
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tendersift.functions.text import canonical_url
 from tendersift.operators import joins as J
 from tendersift.operators import similar as S
 from tendersift.operators import upkeep as U
@@ -13,6 +14,7 @@ from tendersift.operators.filters import publishable
 from tendersift.operators.reports import run_summary
 from tendersift.plans.screen import screen
 from tendersift.rules import RuleBook
+from tendersift.scale import keep_last
 from tendersift.schema import LEDGER
 from tendersift.session import cut_lineage
 
@@ -23,6 +25,8 @@ def run_missions(postings: DataFrame, judgements: DataFrame, book: RuleBook, tod
                  dry_run: bool = False, require_state: bool = False) -> DataFrame:
     """Screen, similarity, ledger, clean-up, append, publish; the summary per source is returned.
 
+    Of a url that postings repeat the last one counts, and rows without a url are judged but not
+    published, so running the same postings again changes nothing. Scores of known rows are filled in.
     The table is published before the ledger, and a dry run publishes neither (INC12). `judgements`
     has one row per url with score, sim_verdict, topic and reason.
     """
@@ -30,9 +34,13 @@ def run_missions(postings: DataFrame, judgements: DataFrame, book: RuleBook, tod
     now = today.cast("timestamp")
     ledger = U.read_current(spark, f"{root}/ledger", LEDGER, require_state)
     table = U.read_current(spark, f"{root}/table", spark.createDataFrame([], CURATED).schema, require_state)
-    screened = S.apply_similarity(screen(postings, book, today), judgements)
-    items = cut_lineage(J.with_ledger(screened, ledger, now, "seq"))
-    kept = U.refresh_seen(U.clean_up(table, items, book), items.filter(publishable(F.col("verdict"))), now)
+    one = screen(postings, book, today, groups=True).withColumn("url", canonical_url(F.col("url")))
+    has_url = F.coalesce(F.col("url"), F.lit("")) != ""
+    one = keep_last(one.filter(has_url), ["url"], ["seq"]).unionByName(one.filter(~has_url))
+    items = cut_lineage(J.with_ledger(S.apply_similarity(one, judgements), ledger, now, "seq"))
+    kept = U.refresh_seen(U.clean_up(table, items, book), items.filter(publishable(F.col("verdict")) & has_url), now)
+    scores = items.filter(has_url & F.col("sim_score").isNotNull()).select("url", F.col("sim_score").cast("int").alias("sim_score"))
+    kept = J.backfill(kept, scores, "url", ["sim_score"])
     new = U.append_new(kept, items.filter(publishable(F.col("verdict"))))
     columns = table.columns
     U.publish(kept.select(*columns).unionByName(new.select(*columns)), f"{root}/table", dry_run=dry_run)

@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from tendersift.functions.text import fold_text, quoted
 
 SUBSTRING, WORD, REGEX = "substring", "word", "regex"
-MAX_RULES = 20_000        # a larger table is used as a table, see operators.joins.term_join
 INLINE_TERMS = 64         # longer lists are tested as one array with early exit
 
 RULES_SCHEMA = T.StructType([
@@ -63,10 +62,9 @@ class RuleBook:
 
     @classmethod
     def from_table(cls, rules: DataFrame) -> RuleBook:
-        """Read a rules table of checked size (UDF1)."""
-        rows = rules.limit(MAX_RULES + 1).collect()
-        if len(rows) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} rules: use term_join on the table instead")
+        """Read a rules table, all of it (UDF1). Rules are written by hand; word lists made from data stay a
+        table and go through `operators.joins.term_join`."""
+        rows = rules.collect()
         return cls(Rule(r["rule_set"], r["term"], r["match_mode"], r["label"], r["weight"] or 0, bool(r["fold"]))
                    for r in rows)
 

@@ -13,6 +13,7 @@ from tendersift.functions.text import find_column, strip
 from tendersift.operators.notices import conform
 from tendersift.schema import POSTING, POSTING_SOURCE_NAMES
 from tendersift.scale import BUCKET_WIDTH, keep_first
+from tendersift.session import cut_lineage
 
 
 def cached_postings(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -145,18 +146,20 @@ def register(name: str, reader: Reader) -> None:
 def read_all(spark: SparkSession, names: Sequence[str] | None = None) -> tuple[DataFrame | None, DataFrame]:
     """SRC10: all sources together and a status row each; one failing source does not lose the others.
 
-    A reader's plan is analysed here, so missing paths and wrong columns show up per source.
+    Every source is written to a table of its own first, so an unreadable file is that source's failure and
+    not the union's. `seq`, where the sources have it, is numbered anew over the union: by source in the
+    given order, then as the source was read.
     """
     parts, status = [], []
     for name in names or sorted(REGISTRY):
         try:
-            df = REGISTRY[name](spark)
-            _ = df.schema
-            parts.append(df.withColumn("_source_rank", F.lit(len(parts))))
+            parts.append(cut_lineage(REGISTRY[name](spark)))
             status.append((name, True, None))
         except Exception as e:  # noqa: BLE001 - reported per source
-            status.append((name, False, f"{type(e).__name__}: {e}"[:300]))
+            status.append((name, False, f"{type(e).__name__}: {e}"))
     out = None
     for p in parts:
         out = p if out is None else out.unionByName(p, allowMissingColumns=True)
+    if out is not None and "seq" in out.columns:
+        out = cut_lineage(out.withColumn("seq", F.monotonically_increasing_id()))
     return out, spark.createDataFrame(status, STATUS)

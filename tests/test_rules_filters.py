@@ -94,5 +94,5 @@ def test_term_join(spark):
     rules = spark.createDataFrame([("a", "Chef de projet"), ("b", "projet"), ("c", "proj")], "rule_set string, term string")
     got = {(r.id, r.rule_set) for r in J.term_join(texts, rules, "id", "t").collect()}
     assert got == {(1, "a"), (1, "b"), (2, "b")}
-    with pytest.raises(Exception):
-        J.term_join(texts, rules, "id", "t", longest=2).collect()
+    long = spark.createDataFrame([("d", "le cœur de projet chef de projet")], "rule_set string, term string")
+    assert [r.id for r in J.term_join(texts, long, "id", "t").collect()] == [1]

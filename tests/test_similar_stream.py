@@ -39,7 +39,7 @@ def test_judge_round(spark):
     req = S.requests(b)
     assert sorted((r.batch_no, r.n_items) for r in req.collect()) == [(0, 10), (1, 10), (2, 5)]
     ans = S.read_answers(S.ask(req, make_judge()))
-    settled = S.settle(J.align_answers(b, ans).join(ans.select("batch_no", "error"), "batch_no", "left"))
+    settled = S.settle(J.align_answers(b, ans))
     rows = {r.seq: r for r in settled.collect()}
     assert (rows[3].score, rows[3].verdict) == (77, L.JUDGED_OK)
     assert rows[21].score is None and rows[21].verdict == L.JUDGE_UNAVAILABLE and len(rows[21].reason) == L.REASON_CHARS
