@@ -34,6 +34,7 @@ DEADLINE_MIN_DAYS, DATE_MAX_AGE_DAYS = 7, 20
 # similarity
 JUDGED_OK, JUDGED_LIMIT, JUDGED_OUT = "CONVENABLE", "LIMITE", "HORS_PERIMETRE"
 S_PASS, S_VERIFY, S_OUT = "CONVENABLE", "À VÉRIFIER (similarité)", "HORS_PERIMETRE (similarité)"
+JUDGE_NAME = "Gemini"   # the name results carry unless a caller gives another
 S_ESTIMATED, S_NONE = "À VÉRIFIER (estimé sans Gemini)", "À VÉRIFIER (Gemini indisponible)"
 JUDGE_PENDING_PREFIX = "A_VERIFIER"
 JUDGE_ERROR, JUDGE_UNAVAILABLE = "A_VERIFIER (erreur Gemini)", "A_VERIFIER (Gemini indisponible)"
@@ -46,5 +47,9 @@ NC, UNSPECIFIED = "NC", "non précisé"
 SNIPPET_CHARS, SCAN_CHARS = 160, 50
 AUDIT_MAX_AGE = 45
 SYNTHESIS_FIELDS = 9
+TOPIC_PREFIXES = ("PÔLES", "POLES")
+# document names by priority: the first list that has a word of the name
+DOCUMENT_PRIORITY = (("ccap",), ("rc", "reglement", "règlement"), ("cctp",))
+DOCUMENT_OTHER = 99
 # fixed value: the reason of an offer cut before the judge, around its score and the threshold
 CUT_REASON = ("Pré-filtre sémantique : hors-sujet (score ", " < ", "), non soumis au juge.")

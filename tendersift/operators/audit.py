@@ -131,7 +131,8 @@ def new_rows_report(items: DataFrame, ledger: DataFrame, key: str, score: str) -
     return new.withColumn("decision", similarity_verdict(F.col(score), F.lit(False))).orderBy(F.col(score).desc_nulls_last(), key)
 
 
-def best_document(docs: DataFrame, notice: str, name: str, text_status: str) -> DataFrame:
+def best_document(docs: DataFrame, notice: str, name: str, text_status: str,
+                   priority: Sequence[Sequence[str]] = L.DOCUMENT_PRIORITY) -> DataFrame:
     """CLS17 and WIN5: per notice a PDF before a DOCX, then by the priority of its name, then by name.
 
     A DOCX counts only with readable text. Partial minima are taken before the shuffle.
@@ -142,7 +143,7 @@ def best_document(docs: DataFrame, notice: str, name: str, text_status: str) ->
     def has(*words: str) -> Column:
         return F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in words]))
 
-    rank = F.when(has("ccap"), 0).when(has("rc", "reglement", "règlement"), 1).when(has("cctp"), 2).otherwise(99)
+    rank = F.coalesce(*[F.when(has(*words), i) for i, words in enumerate(priority)], F.lit(L.DOCUMENT_OTHER))
     kind = F.when(F.lower(name).endswith(".pdf"), 0).when(F.lower(name).endswith(".docx") & (F.col(text_status) == "ok"), 1)
     best = F.min(F.struct(F.col("_kind"), F.col("_rank"), F.col(name).alias("_name")))
     return (docs.withColumns({"_kind": kind, "_rank": rank}).filter("_kind IS NOT NULL").groupBy(notice)

@@ -80,7 +80,7 @@ def cut_results(gated: DataFrame) -> DataFrame:
 
 
 def cascade(offers: DataFrame, cache: DataFrame, judge: Callable[[str], str], version: str, chars: int | None = None,
-            size: int = L.JUDGE_BATCH) -> tuple[DataFrame, DataFrame]:
+            size: int = L.JUDGE_BATCH, judge_name: str = L.JUDGE_NAME) -> tuple[DataFrame, DataFrame]:
     """The whole cascade for offers (seq, content_hash, title, mission, body, semantic, lexical).
 
     Gate, stored judgements, requests to the judge for the rest, answers, fall-back estimates and
@@ -92,14 +92,14 @@ def cascade(offers: DataFrame, cache: DataFrame, judge: Callable[[str], str], ve
     asked = keep_first(pending(gated), ["content_hash"], ["seq"])
     rows = cut_lineage(batches(judge_input(asked, chars).join(asked.select("seq", "content_hash"), "seq"), size=size))
     answers = cut_lineage(read_answers(ask(requests(rows), judge)))
-    fresh = cut_lineage(settle(align_answers(rows, answers)).select("seq", "content_hash", "score", "verdict", "topic", "reason"))
+    fresh = cut_lineage(settle(align_answers(rows, answers), judge_name).select("seq", "content_hash", "score", "verdict", "topic", "reason"))
     names = ["score", "verdict", "topic", "reason"]
     judged = keep_first(fresh, ["content_hash"], ["seq"]).select("content_hash", F.struct(*names).alias("_fresh"))
     out = lookup(gated, cut_lineage(judged), ["content_hash"], "seq")
     cut = cut_results(gated).select("seq", F.struct(*names).alias("_cut"))
     out = out.join(cut, "seq", "left").withColumn("_r", F.coalesce("_cut", "judged", "_fresh"))
     out = out.select("seq", "semantic", "lexical", *[F.col("_r")[n].alias(n) for n in names])
-    done = with_fallback(out)
+    done = with_fallback(out, judge_name)
     return (done.withColumn("decision", similarity_verdict(F.col("score"), F.col("estimated"))).drop("semantic", "lexical"),
             storable(fresh, version))
 
@@ -156,7 +156,7 @@ def read_answers(answers: DataFrame) -> DataFrame:
     return answers.withColumn("items", answer_items(F.col("raw")))
 
 
-def settle(aligned: DataFrame) -> DataFrame:
+def settle(aligned: DataFrame, judge_name: str = L.JUDGE_NAME) -> DataFrame:
     """SIM6 and SIM7: score, verdict, topic and reason of every batch row after `align_answers`."""
     c = F.col
     verdict = F.upper(F.trim(F.coalesce(c("item.verdict"), F.lit(""))))
@@ -164,7 +164,7 @@ def settle(aligned: DataFrame) -> DataFrame:
     has = c("item").isNotNull()
     why = F.coalesce(c("error"), F.lit("réponse partielle"))
     failed = F.when(c("error").isNotNull(), F.lit(L.JUDGE_UNAVAILABLE)).otherwise(F.lit(L.JUDGE_ERROR))
-    prefix = F.when(c("error").isNotNull(), F.lit("Gemini indisponible: ")).otherwise(F.lit("Gemini: "))
+    prefix = F.when(c("error").isNotNull(), F.lit(f"{judge_name} indisponible: ")).otherwise(F.lit(f"{judge_name}: "))
     return aligned.withColumns({
         "score": F.when(has, judge_score(c("item.score_global"))),
         "verdict": F.when(has, known).otherwise(failed),
@@ -179,14 +179,14 @@ def storable(judged: DataFrame, version: str) -> DataFrame:
             .select("content_hash", F.lit(version).alias("rule_version"), "score", "verdict", "topic", "reason"))
 
 
-def with_fallback(df: DataFrame) -> DataFrame:
+def with_fallback(df: DataFrame, judge_name: str = L.JUDGE_NAME) -> DataFrame:
     """SIM9: without a judged score the semantic one, else the lexical one, marked as estimated."""
     c = F.col
     need = c("score").isNull() & F.coalesce(c("verdict").startswith(L.JUDGE_PENDING_PREFIX), F.lit(True))
     estimate = F.coalesce(c("semantic"), lexical_percent(c("lexical")))
     source = F.when(c("semantic").isNotNull(), F.lit("embeddings")).otherwise(F.lit("lexical"))
-    text = F.concat(F.lit("Score ESTIMÉ sans Gemini ("), source, F.lit(") : "), estimate,
-                    F.lit("/100 — à confirmer quand Gemini sera disponible."))
+    text = F.concat(F.lit(f"Score ESTIMÉ sans {judge_name} ("), source, F.lit(") : "), estimate,
+                    F.lit(f"/100 — à confirmer quand {judge_name} sera disponible."))
     return (df.withColumn("estimated", need)
             .withColumns({"reason": F.when(c("estimated"), text).otherwise(c("reason")),
                           "score": F.when(c("estimated"), estimate).otherwise(c("score"))}))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tendersift.functions.text import TITLE_FILLERS
 from tendersift.scale import once, spread  # noqa: F401
 from tendersift.plans.sample_rules import (FOLDED_SETS, REGEX_SETS, SUBSTRING_SETS, WORD_SETS, sample_book)
 
@@ -96,14 +97,10 @@ def s_fold(col: str) -> str:
     return f"lower(strip_accents({col}))"
 
 
-FILLERS = ("senior junior confirme confirmee expert experte stagiaire debutant freelance mission offre de d le la les "
-           "un une en pour the and").split()
-
-
 def s_title_key(col: str) -> str:
     """Title key by whole tokens: a token is a run of letters, digits and underscores."""
     t = f"regexp_replace({s_fold(col)}, '\\(.*?\\)', ' ', 'g')"
     t = f"regexp_replace({t}, '(^|[^{W}])h\\s*/?\\s*f($|[^{W}])', '\\1 \\2', 'g')"
     t = f"string_split(regexp_replace({t}, '[^{W}]+', ' ', 'g'), ' ')"
-    t = f"array_to_string(list_filter({t}, lambda w: NOT list_contains({s_list(FILLERS)}, w)), ' ')"
+    t = f"array_to_string(list_filter({t}, lambda w: NOT list_contains({s_list(list(TITLE_FILLERS))}, w)), ' ')"
     return f"trim(regexp_replace({t}, '[^a-z0-9]+', ' ', 'g'))"

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 1000          # rows of the broadcast side of attach_by_key
 SALTS = 256              # spread of already matched rows in the second join
+BROADCAST_BYTES = 32 << 20  # most bytes of a broadcast table, as text
 BUCKET_WIDTH = 1_000_000  # most rows one numbering bucket can hold
 
 
@@ -31,10 +32,16 @@ def keep_last(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str])
     return keep_first(df, keys, [F.col(c).desc() for c in order])
 
 
+def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """Whether a table has at most so many rows and bytes; reads no more than `max_rows` + 1 rows of it."""
+    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return n <= max_rows and size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+
+
 def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """`broadcast(df)` when it has at most `max_rows` rows, else `df` for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """`broadcast(df)` when it is small by rows and bytes, else `df` for a shuffle join."""
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -82,9 +89,9 @@ def attach_by_key(df: DataFrame, stats: DataFrame, keys: Sequence[str], weight:
 
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
            max_rows: int = 200_000) -> DataFrame:
-    """Left join of a written table with one row per key: broadcast up to `max_rows` counted rows,
+    """Left join of a written table with one row per key: broadcast up to `max_rows` rows of bounded size,
     beyond that the hot keys of `df` are set apart as in `attach_by_key`."""
-    if table.limit(max_rows + 1).count() <= max_rows:
+    if fits(table, max_rows):
         return df.join(F.broadcast(table), list(keys), "left")
     weights = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_weight"))
     return attach_by_key(df, table.join(weights, list(keys)), keys, "_weight", spread).drop("_weight")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tendersift import labels as L
 from tendersift.functions.payload import key_paths
 from tendersift.functions.text import find_column, strip
 from tendersift.operators.notices import conform
@@ -57,7 +58,7 @@ def rss_items(feeds: DataFrame, xml: str = "xml", key: str = "page_id") -> DataF
             .select(key, "pos", "_i.title", "_i.link", F.col("_i.pubDate").alias("pub_date"), "_i.guid"))
 
 
-def profile_blocks(spark: SparkSession, path: str, topic_prefixes: Sequence[str] = ("PÔLES", "POLES")) -> DataFrame:
+def profile_blocks(spark: SparkSession, path: str, topic_prefixes: Sequence[str] = L.TOPIC_PREFIXES) -> DataFrame:
     """SRC7: blocks of a text file: `#` lines dropped, split on blank lines, topic blocks marked."""
     kept = F.array_join(F.filter(F.split("value", r"\r?\n"), lambda x: ~F.startswith(F.ltrim(x), F.lit("#"))), "\n")
     blocks = F.filter(F.transform(F.split(kept, r"\n\s*\n"), strip), lambda b: b != "")
