@@ -35,12 +35,12 @@ EVERY = 20               # queries: ids divisible by this
 PROJECTIONS = 8          # even
 CONFIDENCE = 0.97
 SAMPLE = 20_000          # vectors the cells are fitted on
-CELL_ROWS = 4096
+CELL_ROWS = 512
 MOST_CELLS = 4096
-PART_ROWS = 8192         # vectors of one cell searched by one task at a time
+PART_ROWS = 1024         # vectors of one cell searched by one task at a time
 BLOCK_QUERIES = 4096     # queries that search it at a time
-FIRST_CELLS = 2
-LEAF_ROWS = 256
+FIRST_CELLS = 4
+LEAF_ROWS = 128
 SEED = 11
 
 
