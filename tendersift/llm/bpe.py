@@ -35,7 +35,7 @@ from tendersift.session import cut_lineage, ensure_checkpoint_dir
 LEXICON_WORDS = 32768
 LONGEST_WORD = 24        # bytes of a lexicon word
 TABLE_WORDS = 150_000    # pieces a counting task holds at once
-MEMO_WORDS = 200_000     # merged pieces a task remembers
+MEMO_WORDS = 400_000     # merged pieces a task remembers
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: The characters with Unicode's White_Space property.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -86,7 +86,7 @@ class Vocabulary:
         for w, i in (plain | self.special).items():
             self.words[i] = w
         self.decimals = [str(i) for i in range(self.size)]
-        self.merge = tiktoken.Encoding("byte_bpe", pat_str="(?s).+", mergeable_ranks=plain, special_tokens={})._encode_single_piece
+        self.merge = tiktoken.Encoding("byte_bpe", pat_str="(?s).+", mergeable_ranks=plain, special_tokens={})._core_bpe.encode_single_piece
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.words.__getitem__, ids)).decode("utf-8", "replace")
@@ -148,12 +148,32 @@ def pieces(data: np.ndarray, seg: np.ndarray, found: dict[int, int]) -> np.ndarr
     return out
 
 
+def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one place of each different byte range, for every range the number of its like)."""
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = Hashes(data)(start, end)
+    order = np.argsort(h)
+    s = h[order]
+    new = np.empty(len(h), bool)
+    new[0], new[1:] = True, s[1:] != s[:-1]
+    group = np.cumsum(new) - 1
+    back = np.empty(len(h), np.int64)
+    back[order] = group
+    at = order[new]
+    # equal hashes of different ranges: not met in practice, but ids must be exact
+    odd = (end - start) != (end - start)[at][back]
+    if odd.any():
+        return np.arange(len(h)), np.arange(len(h))
+    return at, back
+
+
 class Encoder:
     """Encodes slices; holds a vocabulary, an optional lexicon with the ids of its words, and a bounded memo."""
 
     def __init__(self, vocabulary: Vocabulary, words: Lexicon | None, ids: np.ndarray, ends: np.ndarray):
         self.v, self.lexicon, self.pool, self.ends = vocabulary, words, ids, ends
-        self.memo: dict[bytes, list[int]] = {}
+        self.memo: dict[bytes, bytes] = {}
 
     def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text's ids)."""
@@ -161,30 +181,25 @@ class Encoder:
         start = pieces(data, seg, found)
         end = np.append(start[1:], len(data)) if len(start) else start
         number = self.lexicon.numbers(data, start, end) if self.lexicon else np.full(len(start), -1, np.int64)
-        raw, memo, merge = data.tobytes(), self.memo, self.v.merge
-        extra: list[int] = []
-        sizes, missing = [], np.flatnonzero(number < 0)
-        for i, s, e in zip(missing.tolist(), start[missing].tolist(), end[missing].tolist()):
-            if s in found:
-                ids = [found[s]]
-            else:
-                w = raw[s:e]
-                ids = memo.get(w)
-                if ids is None:
-                    ids = merge(w)
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
-                    if len(w) <= 64:
-                        memo[w] = ids
-            extra += ids
-            sizes.append(len(ids))
-        pool = np.concatenate((self.pool, np.array(extra, np.int32)))
-        sizes = np.array(sizes, np.int64)
+        raw, memo, merge, special = data.tobytes(), self.memo, self.v.merge, self.v.special
+        missing = np.flatnonzero(number < 0)
+        at, back = distinct(data, start[missing], end[missing])    # every different piece is merged once a slice
+        words = [raw[s:e] for s, e in zip(start[missing[at]].tolist(), end[missing[at]].tolist())]
+        coded = list(map(memo.get, words))
+        for i, w in enumerate(words):
+            if coded[i] is None:
+                coded[i] = c = np.array([special[w]] if w in special else merge(w), np.int32).tobytes()
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                if len(w) <= 64:
+                    memo[w] = c
+        pool = np.concatenate((self.pool, np.frombuffer(b"".join(coded), np.int32)))
+        sizes = np.array([len(c) >> 2 for c in coded], np.int64)
         size, first = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
         known = number >= 0
         k = number[known]
         first[known], size[known] = self.ends[k], self.ends[k + 1] - self.ends[k]
-        first[missing], size[missing] = len(self.pool) + np.cumsum(sizes) - sizes, sizes
+        first[missing], size[missing] = (len(self.pool) + np.cumsum(sizes) - sizes)[back], sizes[back]
         total = np.concatenate(([0], np.cumsum(size)))
         ids = pool[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
         return ids, total[np.searchsorted(start, off)]

@@ -36,6 +36,7 @@ SEQ_LEN = 1024
 SHARD_ROWS = 4096
 KEY = 20240229
 ROUNDS = 6
+SLICE = 1 << 21          # bytes of text encoded at once
 END = "<|endoftext|>"
 
 
@@ -100,7 +101,7 @@ def materialise(docs: DataFrame, folder: str, text: str = "text", tokenizer: str
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         code = coder()
         for b in batches:
-            for lo, hi, data, off in text_slices(b.column(0)):
+            for lo, hi, data, off in text_slices(b.column(0), SLICE):
                 ids, ends = code(data, off)
                 yield np.insert(ids, ends[1:], end)
 
