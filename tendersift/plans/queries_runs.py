@@ -12,14 +12,18 @@ from pyspark.sql import types as T
 
 from tendersift.functions import dates as D
 from tendersift.functions import payload as P
+from tendersift.operators import filters as K
+from tendersift.operators import notices as N
 from tendersift.operators import postings as O
 from tendersift.operators import reports as R
 from tendersift.operators import similar as S
 from tendersift.operators import upkeep as U
 from tendersift.operators.classify import QUESTION, classify_postings
+from tendersift.plans.queries_notices import S_NOTICES, notices, s_domain
 from tendersift.plans.queries_screen import postings, with_views
 from tendersift.plans.registry import S_PAD, book, docs, padded, q, query, read, s_any, today
 from tendersift.plans.sample_rules import SUBSTRING_SETS
+from tendersift.plans.runs import run_notices
 from tendersift.plans.screen import in_verdict_order, screen
 from tendersift.rules import RuleBook
 from tendersift.session import ensure_checkpoint_dir
@@ -211,3 +215,38 @@ def cache_keeps_last(spark, sf):
     """The stored version a later one of the same url replaces."""
     d = read(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("last"), F.concat(F.lit("u"), "o_custkey").alias("url"))
     return U.last_of(d, "url", "last").select("o_custkey", "last")
+
+
+# --- tender runs -----------------------------------------------------------------------------------
+
+_RUN_STATE = "id string, source string, subject string, domain string, amount_value double, protected boolean"
+
+
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS id, domain, CASE WHEN doc_id % 3 <> 0 THEN amount * 2 END AS amount_value
+  FROM (SELECT *, {s_domain("concat(x, '  ')", '', True)} AS domain FROM ({S_NOTICES}))
+  WHERE NOT (p = '1-URGENT' AND amount > 200000) AND st <> 'F' AND deadline - DATE '1997-01-01' >= 7 AND p <> '3-MEDIUM'
+    AND domain <> 'hors IT' AND (doc_id % 3 = 0 OR amount * 2 <= 400000)""")
+def national_run(spark, sf):
+    """Screen, amounts of the survivors, second filter, merge; run twice over the same notices."""
+    root = folder(spark, "national")
+    k = F.col("o_orderkey")
+    details = read(spark, sf, "orders").filter(k % 3 != 0).select(k.cast("string").alias("id"), (F.col("o_totalprice") * 2).cast("double").alias("amount_value"))
+    for batch in "12":
+        found = N.screen_national(notices(spark, sf), book(), F.lit("1997-01-01").cast("date"), 200000, ["72", "48"], ["45"])
+        run_notices(found.drop("amount_value"), details, ["amount_value"], K.amount_too_high(F.col("amount_value"), 400000), root, batch)
+    table = U.read_current(spark, f"{root}/table", T.StructType.fromDDL(_RUN_STATE), require_state=True)
+    return table.select("id", "domain", "amount_value")
+
+
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS id, domain FROM (SELECT *, {s_domain("x", 'w_', False)} AS domain FROM ({S_NOTICES}))
+  WHERE st = 'P' AND deadline - DATE '1997-01-01' >= 7 AND domain <> 'hors IT' AND (doc_id % 2 = 0 OR doc_id % 5 <> 0)""")
+def regional_run(spark, sf):
+    """The same for regional notices, where the details bring a deadline that may be too soon."""
+    root = folder(spark, "regional")
+    k, day = F.col("o_orderkey"), F.lit("1997-01-01").cast("date")
+    details = read(spark, sf, "orders").filter(k % 2 != 0).select(
+        k.cast("string").alias("id"), F.when(k % 5 == 0, "1997-01-03").otherwise("1998-01-01").alias("last_day"))
+    late = K.deadline_too_soon(F.col("last_day").cast("date"), day)
+    run_notices(N.screen_regional(notices(spark, sf), book(), day), details, ["last_day"], late, root, "1")
+    state = T.StructType.fromDDL("id string, source string, subject string, domain string, last_day string, protected boolean")
+    return U.read_current(spark, f"{root}/table", state).select("id", "domain")

@@ -3,14 +3,18 @@ day, so stored raw data can be classified again at any time (INC13)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tendersift.functions.text import canonical_url
 from tendersift.operators import joins as J
 from tendersift.operators import similar as S
 from tendersift.operators import upkeep as U
 from tendersift.operators.filters import publishable
+from tendersift.operators.notices import enrich_survivors
 from tendersift.operators.reports import run_summary
 from tendersift.plans.screen import screen
 from tendersift.rules import RuleBook
@@ -46,3 +50,22 @@ def run_missions(postings: DataFrame, judgements: DataFrame, book: RuleBook, tod
     U.publish(kept.select(*columns).unionByName(new.select(*columns)), f"{root}/table", dry_run=dry_run)
     U.publish(U.update_ledger(ledger, items, now), f"{root}/ledger", dry_run=dry_run)
     return run_summary(items, "source")
+
+
+def run_notices(screened: DataFrame, details: DataFrame, columns: Sequence[str], excluded: Column, root: str, batch_id: str,
+                scope: DataFrame | None = None) -> DataFrame:
+    """A tender run behind its screen: details for the survivors only, a second filter on what they
+    added, the batch staged under `root`, and a merge that removes only rows of the sources in scope.
+
+    `screened` has the columns of `schema.NOTICE` and a domain; `details` has one row per id with
+    `columns`; `excluded` is tested after the details came in, and an unknown value never excludes.
+    Rows without an id are not stored. Returns the number of rows per action; a repeated batch id replaces its
+    staged rows, so a failed run is simply run again.
+    """
+    found = enrich_survivors(cut_lineage(screened), details, "id", columns, "seq")
+    kept = found.filter(~F.coalesce(excluded, F.lit(False)))
+    batch = kept.select(F.col("id").cast("string").alias("id"), "source", "subject", "domain", *columns)
+    schema = T.StructType([*batch.schema.fields, T.StructField("protected", T.BooleanType())])
+    spark = screened.sparkSession
+    U.stage_batch(batch, root, batch_id)
+    return U.apply_batch(spark, root, batch_id, schema, scope)
