@@ -24,8 +24,6 @@ from tendersift.operators.joins import align_answers
 from tendersift.scale import keep_first, lookup, number_rows
 from tendersift.session import cut_lineage
 
-MAX_BLOCKS = 1000
-
 
 def lexical_score(book: RuleBook, folded_text: str, rule_set: str = "skill") -> Column:
     """SIM1."""
@@ -33,11 +31,8 @@ def lexical_score(book: RuleBook, folded_text: str, rule_set: str = "skill") ->
 
 
 def block_vectors(blocks: DataFrame, column: str = "embedding") -> list[list[float]]:
-    """The profile's block vectors, a list of checked size."""
-    rows = blocks.select(column).limit(MAX_BLOCKS + 1).collect()
-    if len(rows) > MAX_BLOCKS:
-        raise ValueError(f"more than {MAX_BLOCKS} profile blocks")
-    return [list(r[0]) for r in rows]
+    """The profile's block vectors. A profile is a text written by hand, so it is read whole, as rules are."""
+    return [list(r[0]) for r in blocks.select(column).collect()]
 
 
 def semantic_score(embedding: Column, blocks: list[list[float]]) -> Column:

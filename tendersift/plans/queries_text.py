@@ -185,9 +185,10 @@ def page_titles(spark, sf):
     return rows.select("page_id", "title")
 
 
-@query("SELECT page_id, nullif(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)[-1], '') AS link FROM pages")
+@query("SELECT page_id, list_filter(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), lambda x: NOT contains(x, 'e'))[-1] AS link FROM pages")
 def last_link(spark, sf):
-    return pages(spark, sf).select("page_id", G.last_document_link(F.col("html"), r'<a href="([^"]*)"', "\u0000").alias("link"))
+    """The last link of a page; those with an `e` stand for boilerplate."""
+    return pages(spark, sf).select("page_id", G.last_document_link(F.col("html"), r'<a href="([^"]*)"', "e").alias("link"))
 
 
 @query("""SELECT page_id, concat('http://p.test/x?id=', regexp_extract(url, '/(\\d+)', 1), '&org=ab') AS built, concat('http://p.test/a%20', page_id, '/%C3%A9') AS absolute FROM pages
@@ -199,9 +200,13 @@ def built_links(spark, sf):
                     X.absolute_url(F.concat(F.lit("/a "), "page_id", F.lit("/é")), "http://p.test/").alias("absolute"))
 
 
-@query("SELECT page_id, false AS login FROM pages")
+@query("SELECT page_id, page_id % 4 IN (0, 1) AS login FROM pages")
 def login_pages(spark, sf):
-    return pages(spark, sf).select("page_id", K.login_page("html", "regexp_replace(html, '(?s)<[^>]*>', ' ')", book()).alias("login"))
+    """Every fourth page gets a password field, the next two phrases, the next one phrase only."""
+    k = F.col("page_id") % 4
+    extra = F.when(k == 0, "<form><input name=p type='password'></form>").when(k == 1, "<p>Sign in with your password</p>").when(k == 2, "<p>Log in</p>").otherwise("")
+    d = pages(spark, sf).withColumn("html", F.concat(F.coalesce("html", F.lit("")), extra))
+    return d.select("page_id", K.login_page("html", "regexp_replace(html, '(?s)<[^>]*>', ' ')", book()).alias("login"))
 
 
 # --- payloads --------------------------------------------------------------------------------------
