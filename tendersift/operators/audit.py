@@ -13,20 +13,29 @@ from tendersift.rules import RuleBook
 from tendersift.scale import keep_first
 
 
+def wording(df: DataFrame, book: RuleBook) -> DataFrame:
+    """What the alerts need of a text, row by row: (seq, has_text, salaried, free, proof). Nothing wide goes on."""
+    body = "concat(' ', lower(coalesce(body, '')), ' ')"
+    offer = "concat(' ', lower(coalesce(title, '')), ' ', lower(coalesce(body, '')), ' ')"
+    proof = X.keyword_in_context("_flat", book.terms("salary_wording"), 45, 90)
+    flat = df.withColumn("_flat", X.squeeze(F.coalesce(F.col("body"), F.lit(""))))
+    return flat.select("seq", F.col("body").isNotNull().alias("has_text"), book.hit("salary_wording", body).alias("salaried"),
+                       book.hit("freelance_wording", offer).alias("free"), proof.alias("proof"))
+
+
 def alerts(df: DataFrame, book: RuleBook) -> DataFrame:
+    """AUD1 and AUD2: `alerts_of` for rows (seq unique) that carry their title and body."""
+    return alerts_of(df.drop("title", "body").join(wording(df, book), "seq"))
+
+
+def alerts_of(d: DataFrame) -> DataFrame:
     """AUD1 and AUD2: one row per alert (seq, kind, proof) of published rows joined to their postings.
 
-    Input: seq, title, body (null when the posting is unknown), age, published, verdict,
-    out_of_scope, sector, kind.
+    Input: seq, age, published, verdict, out_of_scope, sector, kind, and the columns of `wording`, where `has_text`
+    is false when the posting is unknown.
     """
-    body = "concat(' ', lower(coalesce(body, '')), ' ')"
-    offer = "concat(' ', lower(coalesce(title, '')), ' ', lower(coalesce(body, '')), ' ')"
-    proof = X.keyword_in_context("_flat", book.terms("salary_wording"), 45, 90)
     c = F.col
-    d = df.withColumns({"_flat": X.squeeze(F.coalesce(c("body"), F.lit(""))), "_sal": book.hit("salary_wording", body),
-                        "_free": book.hit("freelance_wording", offer)})
-    d = d.withColumn("_proof", proof)
-    have = c("body").isNotNull()
+    have = F.coalesce(c("has_text"), F.lit(False))
 
     def alert(test: Column, kind: Column | str, why: Column | str) -> Column:
         k = kind if isinstance(kind, Column) else F.lit(kind)
@@ -36,7 +45,7 @@ def alerts(df: DataFrame, book: RuleBook) -> DataFrame:
     motive = (F.when(c("out_of_scope"), "hors perimetre").when(c("sector") == L.NO, "pas bancaire").otherwise(c("verdict")))
     found = F.array(
         alert(~have, "TEXTE INTROUVABLE", "offre absente du cache : impossible a re-verifier"),
-        alert(have & c("_sal") & ~c("_free"), "CDI PROBABLE", F.coalesce(c("_proof"), F.lit(""))),
+        alert(have & c("salaried") & ~c("free"), "CDI PROBABLE", F.coalesce(c("proof"), F.lit(""))),
         alert(have & (c("age") > L.AUDIT_MAX_AGE), F.concat(F.lit("AGEE ("), c("age"), F.lit(" j)")),
               F.concat(F.lit("publiee le "), F.coalesce(c("published"), F.lit("?")))),
         alert(have & ((c("verdict") == L.V_OUT) | c("out_of_scope") | (c("sector") == L.NO)), "NE PASSE PLUS LES FILTRES", motive),

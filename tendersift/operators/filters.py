@@ -23,8 +23,9 @@ def enumeration_only_sql(book: RuleBook, text: str, sector: str, others: str, k:
     """FLT5: every sentence that names the sector also names at least `k` other sectors."""
     naming = (f"filter(split({text}, {quoted(SENTENCE_END)}), "
               f"_part -> {book.sql(sector, quoted(' ') + ' || _part || ' + quoted(' '))})")
-    many = book.at_least_sql(others, fold_sql("_part"), k)
-    return f"(size({naming}) > 0 AND forall({naming}, _part -> {many}))"
+    folded = f"transform({naming}, _part -> {fold_sql('_part')})"     # each such sentence is folded once
+    many = book.at_least_sql(others, "_folded", k)
+    return f"(coalesce(array_min(transform({folded}, _folded -> IF({many}, 1, 0))), 0) = 1)"
 
 
 def out_of_area_sql(book: RuleBook, folded_title: str, place: str) -> str:

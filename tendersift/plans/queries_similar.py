@@ -309,11 +309,11 @@ SELECT seq, alert, proof FROM (
 def audit_alerts(spark, sf):
     """All alerts of the screened postings; texts of documents labelled bad count as lost."""
     from tendersift.plans.screen import screen
-    p = cut_lineage(postings(spark, sf))
+    p = postings(spark, sf)
     lost = read(spark, sf, "labels").filter("quality = 0").select(F.col("doc_id").alias("seq"), F.lit(True).alias("_lost"))
-    bodies = p.join(lost, "seq", "left").select("seq", F.when(F.col("_lost").isNull(), F.col("body")).alias("body"))
-    d = screen(p, book(), today()).join(bodies, "seq")
-    return A.alerts(d.withColumn("published", F.date_format("date", "yyyy-MM-dd")), book())
+    views = A.wording(p, book()).join(lost, "seq", "left").withColumn("has_text", F.col("has_text") & F.col("_lost").isNull())
+    d = screen(p, book(), today()).join(views, "seq")
+    return A.alerts_of(d.withColumn("published", F.date_format("date", "yyyy-MM-dd")))
 
 
 @query("""WITH d AS (SELECT source, concat(CASE doc_id % 5 WHEN 0 THEN 'ccap' WHEN 1 THEN 'rc_v1' WHEN 2 THEN 'cctp' ELSE 'notice' END, '-', doc_id,
