@@ -17,6 +17,7 @@ import hashlib
 import json
 import unicodedata
 import uuid
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -175,24 +176,37 @@ class Encoder:
         self.v, self.lexicon, self.pool, self.ends = vocabulary, words, ids, ends
         self.memo: dict[bytes, bytes] = {}
 
-    def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets of each text's ids)."""
-        seg, found = segments(data, off, self.v.special)
-        start = pieces(data, seg, found)
-        end = np.append(start[1:], len(data)) if len(start) else start
-        number = self.lexicon.numbers(data, start, end) if self.lexicon else np.full(len(start), -1, np.int64)
+    def merged(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+        """The ids of each piece as int32 bytes; a special token is a piece of its own."""
         raw, memo, merge, special = data.tobytes(), self.memo, self.v.merge, self.v.special
-        missing = np.flatnonzero(number < 0)
-        at, back = distinct(data, start[missing], end[missing])    # every different piece is merged once a slice
-        words = [raw[s:e] for s, e in zip(start[missing[at]].tolist(), end[missing[at]].tolist())]
+        words = [raw[s:e] for s, e in zip(start.tolist(), end.tolist())]
         coded = list(map(memo.get, words))
         for i, w in enumerate(words):
             if coded[i] is None:
-                coded[i] = c = np.array([special[w]] if w in special else merge(w), np.int32).tobytes()
+                coded[i] = c = array("i", [special[w]] if w in special else merge(w)).tobytes()
                 if len(memo) >= MEMO_WORDS:
                     memo.clear()
                 if len(w) <= 64:
                     memo[w] = c
+        return coded
+
+    def count(self, data: np.ndarray, off: np.ndarray) -> int:
+        """How many ids the texts have together, without making them."""
+        start = pieces(data, *segments(data, off, self.v.special))
+        end = np.append(start[1:], len(data)) if len(start) else start
+        at, back = distinct(data, start, end)
+        times = np.bincount(back, minlength=len(at))
+        return int(sum(len(c) * n for c, n in zip(self.merged(data, start[at], end[at]), times.tolist())) >> 2)
+
+    def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of each text's ids)."""
+        seg, found = segments(data, off, self.v.special)
+        start = pieces(data, seg, found)
+        end = np.append(start[1:], len(data)) if len(start) else start
+        number = self.lexicon.numbers(data, start, end) if self.lexicon else np.full(len(start), -1, np.int64)
+        missing = np.flatnonzero(number < 0)
+        at, back = distinct(data, start[missing], end[missing])    # every different piece is merged once a slice
+        coded = self.merged(data, start[missing[at]], end[missing[at]])
         pool = np.concatenate((self.pool, np.frombuffer(b"".join(coded), np.int32)))
         sizes = np.array([len(c) >> 2 for c in coded], np.int64)
         size, first = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)

@@ -106,7 +106,10 @@ def materialise(docs: DataFrame, folder: str, text: str = "text", tokenizer: str
                 yield np.insert(ids, ends[1:], end)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(len(x) for x in streams(batches))
+        code, n = coder(), 0
+        for b in batches:
+            for lo, hi, data, off in text_slices(b.column(0), SLICE):
+                n += code.count(data, off) + hi - lo
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
     counts = sorted((r["part"], r["n"]) for r in rows.mapInArrow(count, "part int, n long").collect())   # a row per task
     first, offsets = 0, {}
