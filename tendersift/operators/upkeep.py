@@ -82,7 +82,7 @@ def update_ledger(ledger: DataFrame, items: DataFrame, now: Column) -> DataFrame
 
     Of a url that `items` repeat the last row counts, by `seq` where there is one.
     """
-    items = last_of(items.filter("url IS NOT NULL AND url <> ''"), "url")
+    items = last_of(items.filter("coalesce(cast(url AS string), '') <> ''"), "url")
     fresh = items.select("url", now.alias("first_seen"), now.alias("last_check"), "verdict", "title", "entity",
                          F.lit(1).alias("_n"))
     both = ledger.select("url", "first_seen", "last_check", "verdict", "title", "entity", F.lit(0).alias("_n")).unionByName(fresh)
@@ -103,7 +103,7 @@ def append_new(table: DataFrame, items: DataFrame, key: str = "url", gate: bool
     seen before come in; those the similarity gate puts out are left away, and another verdict than
     a pass replaces the shown one. A key that comes twice comes in once; rows without one stay out, since
     no later run could tell them from new ones."""
-    new = last_of(items.filter(f"is_new AND coalesce({key}, '') <> ''"), key)
+    new = last_of(items.filter(f"is_new AND coalesce(cast({key} AS string), '') <> ''"), key)
     new = new.join(table.select(key).distinct(), key, "left_anti")
     sv = F.col("sim_verdict")
     if gate:
