@@ -25,7 +25,7 @@ from tendersift.llm.hashing import LOWER, Hashes, mixed, spans
 from tendersift.llm.labelled import FOLDS, sample, sampled_rows, sigmoid
 from tendersift.llm.texts import read, remainder, text_slices
 
-PER_CLASS = (4000, 2000)   # labelled rows of label 0 and of label 1 a model is fitted on, at most
+PER_CLASS = (2500, 1250)   # labelled rows of label 0 and of label 1 a model is fitted on, at most
 THRESHOLD = 0.5
 BITS = 18
 BEGINNINGS = (4, 6)
@@ -113,19 +113,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
         return Mil(np.zeros(1 << BITS), 30.0 if len(y) and y[0] == 1 else -60.0)
     idx = t.column("idx").combine_chunks().flatten().to_numpy()
     sizes = np.concatenate([np.diff(np.asarray(r.values), prepend=0) for r in t.column("ends")])
-    sent = np.repeat(np.arange(len(sizes)), sizes)
-    doc = np.repeat(np.arange(len(y)), [len(r) for r in t.column("ends")])
+    sent = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), [len(r) for r in t.column("ends")])
+    del t
     return fitted(idx, sent, doc, y, np.where(y == 1, stands_for[1], stands_for[0]))
 
 
 def fitted(idx: np.ndarray, sent: np.ndarray, doc: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Mil:
     """Features found with an L1 penalty, then fitted without it: a penalty left on would leave every sentence of
     a long clean text some probability."""
-    rows = np.bincount(np.unique((doc[sent].astype(np.int64) << BITS) | idx) & ((1 << BITS) - 1), minlength=1 << BITS)
+    rows = np.zeros(1 << BITS, np.int64)     # texts with a feature, one text at a time: the sample's features need no second copy
+    edges = np.searchsorted(sent, np.searchsorted(doc, np.arange(len(y) + 1)))
+    for a, b in zip(edges[:-1], edges[1:]):
+        rows[np.unique(idx[a:b])] += 1
     weights, bias = (rows >= LEAST_ROWS).astype(float), 0.0
     for settings in (SEARCH, REFIT):
         known = np.flatnonzero(weights)
-        place = np.full(1 << BITS, -1, np.int64)
+        place = np.full(1 << BITS, -1, np.int32)
         place[known] = np.arange(len(known))
         keep = place[idx] >= 0
         part = train(place[idx[keep]], sent[keep], doc, y, weight, len(known), settings)
