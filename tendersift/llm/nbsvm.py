@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendersift.llm.hashing import WIDTH, indicators, linear_scores
+from tendersift.llm.hashing import WIDTH, indicators, several_scores
 from tendersift.llm.labelled import FOLDS, platt, sample, sampled_rows, sigmoid
 from tendersift.llm.texts import read, remainder, text_slices
 
@@ -35,7 +35,8 @@ LEAST_ROWS = 3        # training rows an indicator must be in
 
 @dataclass
 class Linear:
-    """Weights by indicator, a bias, and the sigmoid that turns margins into probabilities."""
+    """Row 0: weights by indicator; row 1: the squares of their scale, which add up to a text's squared length; a bias,
+    and the sigmoid that turns margins into probabilities."""
     weights: np.ndarray
     bias: float
     slope: float
@@ -96,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     rows = [np.asarray(r.values, np.int32) for r in t.column("idx")]
     if len(set(y.tolist())) < 2:
         sure = 20.0 if not len(y) or y[0] == 1 else -20.0
-        return Linear(np.zeros(WIDTH), 0.0, 0.0, sure)
+        return Linear(np.zeros((2, WIDTH)), 0.0, 0.0, sure)
     weight = np.where(y == 1, stands_for[1], stands_for[0])
     held = np.arange(len(y)) % 4 == 3            # rows that calibrate
     if min((y[held] == c).sum() for c in (0, 1)) == 0 or min((y[~held] == c).sum() for c in (0, 1)) == 0:
@@ -111,21 +112,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     yc, wc = (y, weight) if not held.any() else (y[held], weight[held])
     m = np.array([weights[r].sum() for r in check]) / unit_lengths(check, scale) + bias
     slope, shift = platt(m, yc, wc)
-    return Linear(np.concatenate((weights, scale ** 2)), bias, slope, shift)
+    return Linear(np.stack((weights, scale ** 2)), bias, slope, shift)
 
 
 def scorer(model: Linear, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """All columns of the batch but its last, the text, with score and predicted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half = len(model.weights) // 2
         for b in batches:
             last = b.num_columns - 1
             for lo, hi, data, off in text_slices(b.column(last)):
-                if len(model.weights) == WIDTH:
-                    m = np.zeros(hi - lo)
-                else:
-                    length = np.sqrt(np.maximum(linear_scores(data, off, model.weights[half:]), 1e-24))
-                    m = linear_scores(data, off, model.weights[:half]) / length + model.bias
+                z, squares = several_scores(data, off, model.weights)
+                m = z / np.sqrt(np.maximum(squares, 1e-24)) + model.bias
                 p = sigmoid(model.slope * m + model.shift)
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(i)[lo:hi] for i in range(last)), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
