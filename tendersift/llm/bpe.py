@@ -36,7 +36,7 @@ from tendersift.session import cut_lineage, ensure_checkpoint_dir
 LEXICON_WORDS = 32768
 LONGEST_WORD = 24        # bytes of a lexicon word
 TABLE_WORDS = 150_000    # pieces a counting task holds at once
-MEMO_WORDS = 400_000     # merged pieces a task remembers
+MEMO_WORDS = 250_000     # merged pieces a task remembers
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: The characters with Unicode's White_Space property.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -220,7 +220,7 @@ class Encoder:
 
 
 def encoder(definition: object, name: str | None, pairs: object) -> Encoder:
-    """The task's encoder, made once per worker. `definition` and `pairs` are broadcast, `name` is a file of Spark's."""
+    """The task's encoder, made once per worker and held until another corpus's takes its place. `definition` and `pairs` are broadcast, `name` is a file of Spark's."""
     def make() -> Encoder:
         v = Vocabulary(definition.value)
         if name is None:

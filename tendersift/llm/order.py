@@ -36,7 +36,7 @@ SEQ_LEN = 1024
 SHARD_ROWS = 4096
 KEY = 20240229
 ROUNDS = 6
-SLICE = 1 << 21          # bytes of text encoded at once
+SLICE = 3 << 19          # bytes of text encoded at once
 END = "<|endoftext|>"
 
 
