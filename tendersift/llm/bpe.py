@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tendersift.llm import lexicon
 from tendersift.llm.hashing import Hashes
 from tendersift.llm.lexicon import Lexicon
-from tendersift.llm.texts import kept, read, text_slices
+from tendersift.llm.texts import kept, kept_last, read, text_slices
 from tendersift.session import cut_lineage, ensure_checkpoint_dir
 
 LEXICON_WORDS = 32768
@@ -227,7 +227,7 @@ def encoder(definition: object, name: str | None, pairs: object) -> Encoder:
             return Encoder(v, None, np.zeros(0, np.int32), np.zeros(1, np.int64))
         ids, ends = pairs.value
         return Encoder(v, Lexicon(SparkFiles.get(name)), ids, ends)
-    return kept(("encoder", name or hash(definition.value)), make)
+    return kept_last("encoder", name or hash(definition.value), make)
 
 
 def counter(definition: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

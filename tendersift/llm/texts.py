@@ -31,6 +31,14 @@ def kept(key: object, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def kept_last(slot: str, key: object, make: Callable[[], object]) -> object:
+    """As `kept`, but a worker holds only the latest of a slot: for what every run makes anew."""
+    store = vars(sys.modules["pyspark"]).setdefault("_tendersift_llm", {})
+    if slot not in store or store[slot][0] != key:
+        store[slot] = (key, make())
+    return store[slot][1]
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows with about `limit` bytes; null counts as empty."""
     a = pc.fill_null(column, pa.scalar("", column.type)).cast(pa.large_binary())
