@@ -91,11 +91,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """`docs` with one row of each component: the smallest id (null last), then the smallest text hash."""
+def first_of_groups(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """`docs` with the first row of each root of `found` (k, text_hash, root)."""
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    found = linked(docs, doc_id, text, radius)
-    keep = (found.groupBy("root").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("k"), "text_hash")).alias("m"))
+    keep = (found.groupBy("root").agg(F.min(F.struct("k", "text_hash")).alias("m"))
             .select(F.col("m.k").alias("_key"), F.col("m.text_hash").alias("_hash")))
     marked = docs.withColumns({"_key": key, "_hash": F.xxhash64(F.col(text))})
     w = Window.partitionBy("_key", "_hash").orderBy(F.lit(0))
@@ -103,5 +102,11 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ra
             .filter("_rn = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """`docs` with one row of each component: the smallest id (null last), then the smallest text hash."""
+    found = linked(docs, doc_id, text, radius).withColumn("k", F.coalesce("doc_id", F.lit(LAST_ID)))
+    return first_of_groups(docs, found, doc_id, text)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
