@@ -5,8 +5,10 @@ is that of its children. The subtree with the greatest sum below the body is the
 a paragraph stands for the block around it, and one inside `article` or `main` for that element. Without
 such an element, blocks beside the path from the body to the winner belong to the text if they are no less
 dense than the thinnest node of that path and not mostly links. Menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are taken out first, by element or by class, id and
-role; a class alone cannot take out half of the page.
+adverts, forms, scripts, styles and reader comments are taken out first, by element or by class, id and role.
+Comments, adverts and notices named by a class or id always go, however long. Any other class stays on an element
+with more than half of the remaining characters if, without all such elements, no `article` or `main` is left and
+either the element holds one or no paragraph is left: it is a wrapper then.
 
 Cases: null, empty and text-free pages give an empty text; plain text without tags is its own text;
 unclosed, crossing and stray tags, unknown character references and any depth of nesting are accepted;
@@ -45,6 +47,8 @@ BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising spon
     menubar breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets related recommended comment comments
     disqus respond cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login share
     sharing social toolbar pagination pager""".split())
+ALWAYS_OUT = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus respond
+    cookie cookies consent gdpr notice notification alert popup modal overlay""".split())
 MAIN = frozenset(["article", "main"])
 CLOSES = {   # an opening tag ends these open elements, up to the nearest of the scope
     "li": (frozenset(["li"]), frozenset("ul ol menu".split())),
@@ -63,7 +67,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.end = ["#root"], [-1], [0]
-        self.out, self.word_out = [False], [False]   # taken out for what it is; for its class only
+        self.out, self.word_out = [False], [False]   # taken out whatever its size; unless it is a wrapper
         self.events: list[tuple[int, str]] = []
         self._parse(source)
         self.size = len(self.tag)
@@ -73,12 +77,14 @@ class Page:
         self.tag.append(tag)
         self.parent.append(parent)
         self.end.append(i + 1)
-        out, by_word = tag in BOILERPLATE, False
+        out, by_word, always = tag in BOILERPLATE, False, False
         if attrs and not attrs.isspace():
             for m in ATTRIBUTE.finditer(attrs):
                 name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if name in ("class", "id"):
-                    by_word |= not BOILER_WORDS.isdisjoint(TOKEN.findall(value))
+                    words = TOKEN.findall(value)
+                    by_word |= not BOILER_WORDS.isdisjoint(words)
+                    always |= not ALWAYS_OUT.isdisjoint(words)
                 elif name == "role":
                     out |= not BOILER_ROLES.isdisjoint(value.split())
                 elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
@@ -86,8 +92,8 @@ class Page:
         if tag == "header" and not any(self.tag[j] in MAIN for j in self._above(parent)):
             out = True
         if tag in ("html", "body", "article", "main"):
-            out = by_word = False
-        self.out.append(out)
+            out = by_word = always = False
+        self.out.append(out or always)
         self.word_out.append(by_word)
         return i
 
@@ -172,12 +178,22 @@ class Page:
         for i, t in self.events:
             if t != " ":
                 own[i] += len("".join(t.split()))
-        total = own[:]
+        gone = [False] * n
+        for i in range(1, n):
+            gone[i] = gone[parent[i]] or self.out[i]
+        total = [0 if g else c for g, c in zip(gone, own)]
+        marked, has_main, has_p = self.word_out[:], [False] * n, False
+        for i in range(1, n):
+            marked[i] |= marked[parent[i]]
         for i in range(n - 1, 0, -1):
+            has_main[i] |= self.tag[i] in MAIN and total[i] > 0
+            has_main[parent[i]] |= has_main[i]
+            has_p |= self.tag[i] == "p" and total[i] > 0 and not marked[i]
             total[parent[i]] += total[i]
-        gone = [False] * n
+        main_left = any(self.tag[i] in MAIN and total[i] and not marked[i] for i in range(1, n))
         for i in range(1, n):
-            gone[i] = gone[parent[i]] or self.out[i] or self.word_out[i] and 2 * total[i] <= total[0]
+            wrapper = 2 * total[i] > total[0] and not main_left and (has_main[i] or not has_p)
+            gone[i] = gone[parent[i]] or self.out[i] or self.word_out[i] and not wrapper
         chars, tags, link, links = [0 if g else c for g, c in zip(gone, own)], [0] * n, [0] * n, [0] * n
         for i in range(n - 1, 0, -1):
             if gone[i]:

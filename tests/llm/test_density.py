@@ -61,3 +61,21 @@ def test_query(spark, sf):
     for r in got:   # the test pages hold their text in one element
         inner = re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", re.search(r"<article>(.*?)</article>", pages[r["page_id"]], re.S)[1]))
         assert r["text"] == " ".join(html.unescape(inner).split()) and r["n_chars"] == len(r["text"])
+
+
+SHORT = "The gate held and the road is open."
+MANY = "".join(f"<p>{LONG}</p><p>{OTHER}</p>" for _ in range(5))
+
+
+@pytest.mark.parametrize("source,want", [
+    (f"<body><article><p>{SHORT}</p></article><div class='comments'>{MANY}</div></body>", SHORT),
+    (f"<body><div><p>{SHORT}</p></div><div id='comments'>{MANY}</div></body>", SHORT),
+    (f"<body><article><p>{SHORT}</p><div class='reader-comments'>{MANY}</div></article></body>", SHORT),
+    (f"<body><article><p>{SHORT}</p></article><div class='comments'><article>{MANY}</article></div></body>", SHORT),
+    (f"<body><div><p>{SHORT}</p></div><div class='cookie-notice'>{MANY}</div><div class='ads'>{MANY}</div></body>", SHORT),
+    (f"<body><div><p>{SHORT}</p></div><div class='sidebar'>{MANY}</div></body>", SHORT),
+    (f"<body><article><p>{SHORT}</p></article><div class='related'><article>{MANY}</article></div></body>", SHORT),
+    (f"<body><div class='page header'><article><p>{LONG}</p></article></div><div><p>{SHORT}</p></div></body>", squeezed(LONG)),
+])
+def test_boilerplate_longer_than_the_article(source, want):
+    assert main_text(source) == want
