@@ -11,7 +11,7 @@ with more than half of the remaining characters if, without all such elements, n
 either the element holds one or no paragraph is left: it is a wrapper then.
 
 Cases: null, empty and text-free pages give an empty text; plain text without tags is its own text;
-unclosed, crossing and stray tags, unknown character references and any depth of nesting are accepted;
+unclosed, crossing and stray tags (a text or a tag that no head can hold ends an open head), unknown character references and any depth of nesting are accepted;
 repeated rows are extracted alike; other columns are ignored; no rows, no rows.
 """
 
@@ -57,6 +57,7 @@ CLOSES = {   # an opening tag ends these open elements, up to the nearest of the
     "th": (frozenset("td th".split()), frozenset("tr table".split())), "option": (frozenset(["option"]), frozenset(["select"])),
 }
 SCOPE = frozenset("html body article main section aside nav table td th div".split())
+IN_HEAD = frozenset("title meta link base script style noscript template".split())
 ENDS_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6
     header hgroup hr main menu nav ol p pre search section summary table ul""".split())
 MOST_LINKS = 0.5
@@ -104,12 +105,16 @@ class Page:
 
     def _parse(self, s: str) -> None:
         stack, at, n, events = [0], 0, len(s), self.events
+        head = 0   # the latest head, while it may be open
         tags, shut = self.tag, s.rfind(">")   # a tag that begins behind the last ">" never ends and is no text
         while at < n:
             i = s.find("<", at)
             if i < 0:
                 i = n
             if i > at:
+                if head and not s[at:i].isspace():
+                    del stack[stack.index(head) if head in stack else len(stack):]
+                    head = 0
                 events.append((stack[-1], s[at:i]))
             if i == n:
                 break
@@ -141,6 +146,9 @@ class Page:
                     events.append((stack[-1], " "))
                 continue
             attrs = m["attrs"] if m["tag"] else m["attrs2"]
+            if head and tag not in IN_HEAD:
+                del stack[stack.index(head) if head in stack else len(stack):]
+                head = 0
             if tag in ENDS_P:
                 k = len(stack) - 1
                 while k > 0 and tags[stack[k]] != "p" and tags[stack[k]] not in SCOPE:
@@ -165,6 +173,8 @@ class Page:
                 at = m.end() if m else n
                 continue
             stack.append(node)
+            if tag == "head":
+                head = node
         for i in range(len(tags) - 1, 0, -1):
             p = self.parent[i]
             if self.end[i] > self.end[p]:

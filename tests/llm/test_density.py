@@ -79,3 +79,11 @@ MANY = "".join(f"<p>{LONG}</p><p>{OTHER}</p>" for _ in range(5))
 ])
 def test_boilerplate_longer_than_the_article(source, want):
     assert main_text(source) == want
+
+
+@pytest.mark.parametrize("start", [
+    "<html><head><title>t</title><body>", "<head><meta charset=utf-8><title>t</title><script>x</script><body class=a>", "<html><head><title>t</title>",
+    "<html><title>t</title><body>", "<html><head><title>t</title></head>", "<title>t</title>", "<head>", "<head></head><body>", "<head><body><head>"])
+def test_pages_without_some_of_head_and_body(start):
+    assert main_text(f"{start}<div><p>{LONG}</p><p>{OTHER}</p></div>") == squeezed(LONG, OTHER)
+    assert main_text(f"{start}{SHORT}") == SHORT
