@@ -1,8 +1,9 @@
-"""The registered queries of the operators; None marks a query that SQL cannot express."""
+"""The registered queries of the operators, and the SQL of those that SQL can express."""
 
 from tendersift.llm.bpe import op7_bpe_round_trip
 from tendersift.llm.cube import op9_cube_mix
 from tendersift.llm.density import op5_text_density
+from tendersift.llm.exact import OP11_SQL, op11_bloom_exact_dedup
 from tendersift.llm.maxent import op6_maxent_lm
 from tendersift.llm.nbsvm import op3_quality_nbsvm
 from tendersift.llm.neighbours import op8_stable_projection_ann
@@ -13,6 +14,6 @@ from tendersift.llm.toxicity import op4_toxicity_mil
 
 QUERIES = {f.__name__: f for f in (
     op1_training_order, op2_simhash_near_dedup, op3_quality_nbsvm, op4_toxicity_mil, op5_text_density, op6_maxent_lm, op7_bpe_round_trip,
-    op8_stable_projection_ann, op9_cube_mix, op10_quality_rules,
+    op8_stable_projection_ann, op9_cube_mix, op10_quality_rules, op11_bloom_exact_dedup,
 )}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_bloom_exact_dedup": OP11_SQL}
