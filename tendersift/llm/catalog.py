@@ -1,5 +1,6 @@
 """The registered queries of the operators, and the SQL of those that SQL can express."""
 
+from tendersift.llm.alignment import op13_token_alignment
 from tendersift.llm.bpe import op7_bpe_round_trip
 from tendersift.llm.cube import op9_cube_mix
 from tendersift.llm.density import op5_text_density
@@ -16,5 +17,6 @@ from tendersift.llm.toxicity import op4_toxicity_mil
 QUERIES = {f.__name__: f for f in (
     op1_training_order, op2_simhash_near_dedup, op3_quality_nbsvm, op4_toxicity_mil, op5_text_density, op6_maxent_lm, op7_bpe_round_trip,
     op8_stable_projection_ann, op9_cube_mix, op10_quality_rules, op11_bloom_exact_dedup, op12_source_divergence,
+    op13_token_alignment,
 )}
 ORACLE: dict[str, str] = {"op11_bloom_exact_dedup": OP11_SQL, "op12_source_divergence": OP12_SQL}
