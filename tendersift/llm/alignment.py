@@ -40,9 +40,10 @@ from tendersift.scale import lookup
 from tendersift.session import ensure_checkpoint_dir
 
 PART_BYTES = 1 << 20     # text one pass works on
-MEMO_PARTS = 150_000     # encoded parts a task remembers
-MEMO_TOKENS = 1_500_000  # and their tokens
+MEMO_PARTS = 300_000     # encoded parts a task remembers
+MEMO_TOKENS = 3_000_000  # and their tokens
 MAX_PAIRS = 4_000_000    # rows of the table of pairs that travels to the tasks, 20 bytes each
+RUN_PARTS = 256          # new parts encoded as one text
 CUT = re.compile(r"(?<=\S) (?=\S)")
 BITS = 32                # a pair is a << BITS | b
 SCHEMA = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -65,15 +66,16 @@ class Lists:
     """A growing list of int lists, read as an Arrow list array."""
 
     def __init__(self) -> None:
-        self.values, self.sizes = [], []
+        self.values, self.sizes, self.total = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
 
-    def add(self, ids: list[int]) -> None:
-        self.values += ids
-        self.sizes.append(len(ids))
+    def add(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self.values.append(values.astype(np.int32))
+        self.sizes.append(sizes)
+        self.total += len(values)
 
     def array(self) -> pa.ListArray:
-        off = np.concatenate(([0], np.cumsum(self.sizes))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(off), pa.array(self.values, pa.int32()))
+        self.values, self.sizes = [np.concatenate(self.values)], [np.concatenate(self.sizes)]
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(self.sizes[0]), pa.int32()), pa.array(self.values[0]))
 
 
 class Pair:
@@ -93,6 +95,7 @@ class Pair:
                         for i in range(size_b)]
         self.len_a = pa.array([len(x) for x in self.bytes_a], pa.int64())
         self.len_b = pa.array([len(x) for x in self.bytes_b], pa.int64())
+        self.both = ((self.bytes_a, self.len_a.to_numpy()), (self.bytes_b, self.len_b.to_numpy()))
         self.names = pa.array([str(i) for i in range(max(size_a, size_b))])
         with open(path_a) as f:
             kind = (json.load(f).get("pre_tokenizer") or {}).get("type")
@@ -106,20 +109,45 @@ class Pair:
     def parts(self, text: str) -> list[str]:
         return CUT.split(text) if self.cuts else [text]
 
+    def ids(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        return zip((x.ids for x in a), self.b.encode(texts, num_threads=1))
+
+    def learn(self, parts: list[str]) -> None:
+        """Encode new parts, many in one text: a blank between two parts is a place where both cut."""
+        whole = [p for p in parts if p == p.strip()] if self.cuts else []
+        runs = [whole[i:i + RUN_PARTS] for i in range(0, len(whole), RUN_PARTS)]
+        single = [p for p in parts if p != p.strip()] if self.cuts else parts
+        for run, found in zip(runs, self.ids([" ".join(r) for r in runs])):
+            ends = np.cumsum([len(p.encode()) + 1 for p in run])
+            want, cut = b" " + " ".join(run).encode(), []
+            for ids, (bytes_, lengths) in zip(found, self.both):
+                at = np.searchsorted(own := np.cumsum(lengths[ids]), ends)
+                if b"".join(map(bytes_.__getitem__, ids)) == want and (own[at] == ends).all():
+                    cut.append((np.array(ids), np.diff(at, prepend=-1)))
+            if len(cut) < 2:
+                single = single + run
+                continue
+            self.note(run, cut, True)
+        for p, found in zip(single, self.ids(single)):
+            want = b" " + p.encode()
+            right = all(b"".join(map(bytes_.__getitem__, ids)) == want for ids, (bytes_, _) in zip(found, self.both))
+            self.note([p], [(np.array(ids, np.int32), np.array([len(ids)])) for ids in found], right)
+
+    def note(self, parts: list[str], found: list[tuple[np.ndarray, np.ndarray]], right: bool) -> None:
+        self.known.update(zip(parts, range(len(self.right), len(self.right) + len(parts))))
+        self.right += [right] * len(parts)
+        self.ids_a.add(*found[0])
+        self.ids_b.add(*found[1])
+
     def encode(self, parts: list[str]) -> tuple[pa.Array, pa.Array, np.ndarray]:
         """The two lists of ids of every part, and whether their bytes are a blank and the part."""
-        new = list(dict.fromkeys(p for p in parts if p not in self.known))
-        for p, a, b in zip(new, self.a.encode_batch([" " + p for p in new], add_special_tokens=False), self.b.encode(new, num_threads=1)):
-            want = b" " + p.encode()
-            self.known[p] = len(self.right)
-            self.ids_a.add(a.ids)
-            self.ids_b.add(b)
-            self.right.append(b"".join(map(self.bytes_a.__getitem__, a.ids)) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want)
-        at = np.fromiter((self.known[p] for p in parts), np.int64, len(parts))
-        a, b, right = self.ids_a.array().take(pa.array(at)), self.ids_b.array().take(pa.array(at)), np.array(self.right, bool)[at]
-        if len(self.known) > MEMO_PARTS or len(self.ids_a.values) > MEMO_TOKENS:
+        if len(self.known) > MEMO_PARTS or self.ids_a.total > MEMO_TOKENS:
             self.forget()
-        return a, b, right
+        self.learn(list(set(parts).difference(self.known)))
+        at = np.array([*map(self.known.__getitem__, parts)])
+        where = pa.array(at)
+        return self.ids_a.array().take(where), self.ids_b.array().take(where), np.array(self.right, bool)[at]
 
 
 def tokenizers(paths: tuple[str, str]) -> Pair:
@@ -223,16 +251,14 @@ def _some(both: Pair, texts: pa.Array) -> list[pa.Array]:
     out = Batch(len(texts))
     doc, parts, which, size = [], [], [], 0
     for i, text in enumerate(texts.to_pylist()):
-        cut, at = both.parts(text) if text else [], 0
-        while at < len(cut):
-            stop = at
-            while stop < len(cut) and size < PART_BYTES:
-                size += len(cut[stop]) + 1
-                stop += 1
-            doc += [len(which)] * (stop - at)
-            parts += cut[at:stop]
+        cut = both.parts(text) if text else []
+        step = max(1, len(cut) * PART_BYTES // max(len(text), PART_BYTES)) if cut else 1   # parts of a share of a long text
+        for at in range(0, len(cut), step):
+            some = cut[at:at + step]
+            doc += [len(which)] * len(some)
+            parts += some
             which.append(i)
-            at = stop
+            size += min(len(text), PART_BYTES)
             if size >= PART_BYTES:
                 out.add(both, np.array(doc), parts, which)
                 doc, parts, which, size = [], [], [], 0

@@ -107,7 +107,7 @@ def test_against_brute_force(spark, table, library, rows, max_pairs):
 
 
 def test_small_parts_change_nothing(spark, table, library, rows, monkeypatch):
-    for name, v in (("PART_BYTES", 500), ("MEMO_PARTS", 20), ("MEMO_TOKENS", 100)):
+    for name, v in (("PART_BYTES", 500), ("MEMO_PARTS", 20), ("MEMO_TOKENS", 100), ("RUN_PARTS", 3)):
         monkeypatch.setattr(alignment, name, v)
     assert got(alignment.aligned(table(rows))) == brute(library, rows)
 
