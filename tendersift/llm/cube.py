@@ -122,8 +122,8 @@ def _fly(table: pa.Table, seed: int) -> pa.Table:
         p = landed(p, x, rng)
     else:   # some documents of all sizes wait for the next round, where they help to land
         wait = np.zeros(len(p), bool)
-        if len(p) >= 4 * RESERVED:
-            wait[::len(p) // RESERVED] = True
+        held = max(1, min(RESERVED, len(p) // 4))
+        wait[::-(-len(p) // held)] = True
         flown = p.copy()
         flown[~wait] = flight(p[~wait], x[~wait], rng)
         p = flown
@@ -164,7 +164,7 @@ def decide(rows: DataFrame, seed: int = SEED, block_rows: int = BLOCK_ROWS) -> D
         blocks = cut_lineage(n.select(F.col("source").alias("_s"), F.ceil(F.col("_n") / block_rows).cast("long").alias("blocks")))
         # one row per source; Spark may broadcast it by its size, or split a hot source's rows
         dealt = (rows.join(blocks, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-                 .withColumns({"block": F.pmod(F.xxhash64("doc_id", "size", F.lit(seed + level)), "blocks"),
+                 .withColumns({"block": F.pmod(F.xxhash64("doc_id", "size", "row", F.lit(seed + level)), "blocks"),
                                "level": F.lit(level)}))
         out = cut_lineage(dealt.groupBy("source", "block").applyInArrow(
             _flown(seed), ROW + ", extra int"))
@@ -207,17 +207,17 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **setti
     """`docs` with every row repeated as often as the mix takes it (0, 1 or 2 times)."""
     plan = mixed(docs, doc_id, text, **settings)
     # rows equal in id and text are one key with the sum of their copies
-    copies = cut_lineage(plan.groupBy(F.col("doc_id").alias("_d"), F.col("row").alias("_r")).agg(F.sum("copies").alias("_n")))
-    marked = docs.withColumns({"_d": F.col(doc_id).cast("long"), "_r": F.xxhash64(F.col(text))})
+    copies = cut_lineage(plan.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r"))
+                         .agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("rows")))
+    rows = docs.select(F.struct("*").alias("whole"), F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("hash"))
     # ids are spread by their text's hash, so null ids are no hot key
-    w = Window.partitionBy("_d", "_r").orderBy(F.lit(0))
-    met = marked.join(copies.toDF("_d2", "_r2", "_n"), (F.col("_r") == F.col("_r2")) & F.col("_d").eqNullSafe(F.col("_d2")))
-    size = F.count(F.lit(1)).over(Window.partitionBy("_d", "_r"))
-    each = met.withColumns({"_k": F.row_number().over(w), "_of": size})
-    times = F.floor(F.col("_n") / F.col("_of")) + F.when(F.col("_k") <= F.col("_n") % F.col("_of"), 1).otherwise(0)
-    return (each.withColumn("_t", times.cast("int")).filter("_t > 0")
-            .withColumn("_e", F.explode(F.array_repeat(F.lit(1), F.col("_t"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    met = rows.join(copies, (F.col("hash") == F.col("r")) & F.col("id").eqNullSafe(F.col("d")))
+    once = met.filter("rows = 1").select("whole", F.col("n").alias("times"))
+    k = F.row_number().over(Window.partitionBy("id", "hash").orderBy(F.lit(0)))
+    again = (met.filter("rows > 1").withColumn("k", k)
+             .select("whole", (F.floor(F.col("n") / F.col("rows")) + (F.col("k") <= F.col("n") % F.col("rows")).cast("int")).alias("times")))
+    return (once.union(again).filter("times > 0").select("whole", F.explode(F.array_repeat(F.lit(1), F.col("times").cast("int"))))
+            .select("whole.*"))
 
 
 def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

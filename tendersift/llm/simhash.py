@@ -93,13 +93,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def first_of_groups(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
     """`docs` with the first row of each root of `found` (k, text_hash, root)."""
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    keep = (found.groupBy("root").agg(F.min(F.struct("k", "text_hash")).alias("m"))
-            .select(F.col("m.k").alias("_key"), F.col("m.text_hash").alias("_hash")))
-    marked = docs.withColumns({"_key": key, "_hash": F.xxhash64(F.col(text))})
-    w = Window.partitionBy("_key", "_hash").orderBy(F.lit(0))
-    return (marked.join(cut_lineage(keep), ["_key", "_hash"]).withColumn("_rn", F.row_number().over(w))
-            .filter("_rn = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    keep = (found.groupBy("root", "k", "text_hash").agg(F.count(F.lit(1)).alias("times"))
+            .groupBy("root").agg(F.min(F.struct("k", "text_hash", "times")).alias("m")).select("m.*"))
+    rows = docs.select(F.struct("*").alias("whole"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("k"),
+                       F.xxhash64(F.col(text)).alias("text_hash"))
+    met = rows.join(cut_lineage(keep), ["k", "text_hash"])
+    several = met.filter("times > 1").groupBy("k", "text_hash").agg(F.first("whole").alias("whole"))   # rows equal in id and text
+    return met.filter("times = 1").select("whole.*").union(several.select("whole.*"))
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import re
 
 import numpy as np
@@ -89,3 +91,15 @@ def test_query(spark, sf):
     want, taken = check(rows, got)
     most = max(r["size"] for r in got)
     assert all(abs(taken[s] - t) <= most for s, t in want.items())
+
+
+def test_mixture_gives_the_users_columns_back(spark):
+    """Columns of names the plan uses, null ids, and one row repeated many times."""
+    rows = [(None if i % 4 else i, "w " * (i % 9), "ab"[i % 2], 7, "r", 1.5) for i in range(400)] + [(5, "the same row", "a", 1, "s", 0.0)] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _n long, _r string, whole double")
+    out = cube.mixture(df)
+    assert out.columns == df.columns
+    taken = Counter(map(tuple, out.collect()))
+    have = Counter(rows)
+    assert not taken.keys() - have.keys() and all(taken[r] <= 2 * have[r] for r in taken)
+    assert sum(taken.values()) == cube.mixed(df).agg({"copies": "sum"}).first()[0]
