@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tendersift.functions.text import canonical_url, fold
-from tendersift.scale import keep_first, lookup, sized_broadcast
+from tendersift.scale import BROADCAST_BYTES, keep_first, lookup, sized_broadcast
 from tendersift.session import cut_lineage
 
 BROADCAST_ROWS = 100_000
@@ -70,22 +75,80 @@ def backfill(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -
             .withColumns({c: F.coalesce(F.col("_n_" + c), F.col(c)) for c in columns}).drop(*["_n_" + c for c in columns]))
 
 
-def term_join(texts: DataFrame, rules: DataFrame, key: str, text: str) -> DataFrame:
-    """JOI14: (key, rule_set, term) of every whole-word rule of a rules table that occurs.
+def term_join(texts: DataFrame, rules: DataFrame, key: str, text: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """JOI14: (key, rule_set, term) of every whole-word rule of a rules table that occurs, once per row of `texts`.
 
-    For rule tables too large to be written into an expression. Each text is turned into its
-    distinct word sequences of up to as many words as the longest term has inside the row, and these
-    meet the terms in an equi join; the texts themselves are not shuffled.
+    For rule tables too large to be written into an expression. The terms are a trie over words that travels to the tasks and
+    is walked from all words of a batch at once; only hits leave a task. A table beyond `max_bytes` is split by the first
+    word of its terms, and the texts are read once per part. Null and empty terms never occur.
     """
-    wanted = rules.select("rule_set", F.lower(F.trim("term")).alias("term")).distinct()
-    longest = wanted.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
-    words = f"filter(split(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}_]+'), w -> w <> '')"
-    runs = ", ".join(
-        f"CASE WHEN size(_w) >= {n} THEN transform(sequence(1, size(_w) - {n - 1}), i -> array_join(slice(_w, i, {n}), ' ')) "
-        f"ELSE cast(array() AS array<string>) END" for n in range(1, longest + 1))
-    phrases = (texts.select(key, F.expr(words).alias("_w"))
-               .select(key, F.explode(F.expr(f"array_distinct(concat({runs}))")).alias("term")))
-    return phrases.join(sized_broadcast(wanted, BROADCAST_ROWS), "term").select(key, "rule_set", "term")
+    wanted = (rules.select("rule_set", F.lower(F.trim("term")).alias("term")).filter("term <> ''").distinct()
+              .withColumn("first", F.substring_index("term", " ", 1)))
+    size = wanted.agg(F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0))).first()[0]
+    parts = max(1, -(-size // max_bytes))
+    words = texts.select(key, F.expr(f"filter(split(lower(`{text}`), '[^\\\\p{{L}}\\\\p{{N}}_]+'), w -> w <> '')").alias("words"))
+    schema = T.StructType([T.StructField(key, texts.schema[key].dataType), T.StructField("rule_set", T.StringType()),
+                           T.StructField("term", T.StringType())])
+    found = []
+    for i in range(parts):
+        rows = wanted.filter(F.pmod(F.xxhash64("first"), F.lit(parts)) == i).select("rule_set", "term").toArrow()
+        trie = texts.sparkSession.sparkContext.broadcast(PhraseTrie(rows.column("rule_set").to_pylist(), rows.column("term").to_pylist()))
+        found.append(words.mapInArrow(_phrases(trie), schema))
+    return union_sources(found)
+
+
+class PhraseTrie:
+    """Terms as a trie over word numbers in flat arrays: an edge is (state, word) -> state, in order of its key."""
+
+    def __init__(self, sets: list[str], terms: list[str]) -> None:
+        self.words = sorted({w for t in terms for w in t.split(" ")})
+        number = {w: i for i, w in enumerate(self.words)}
+        edges, ends = {}, {}
+        for k, t in enumerate(terms):
+            at = 0
+            for w in t.split(" "):
+                at = edges.setdefault(at * len(number) + number[w], len(edges) + 1)
+            ends.setdefault(at, []).append(k)
+        self.keys = np.array(sorted(edges), np.int64)
+        self.to = np.array([edges[k] for k in self.keys.tolist()], np.int64)
+        self.n_ends = np.array([len(ends.get(s, ())) for s in range(len(edges) + 1)], np.int64)
+        self.first_end = np.cumsum(self.n_ends) - self.n_ends
+        order = [k for s in sorted(ends) for k in ends[s]]
+        self.sets, self.terms = [sets[k] for k in order], [terms[k] for k in order]
+
+    def walk(self, word: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place in `terms`) of every occurrence; `word` is -1 for words of no term."""
+        at = np.flatnonzero(word >= 0)
+        state, step, rows, hits = np.zeros(len(at), np.int64), 0, [], []
+        while len(at) and len(self.keys):
+            key = state * len(self.words) + word[at + step]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            alive = self.keys[place] == key
+            at, state = at[alive], self.to[place[alive]]
+            n = self.n_ends[state]
+            total = np.cumsum(n)
+            rows.append(np.repeat(row[at], n))
+            hits.append(np.arange(total[-1] if len(total) else 0) - np.repeat(total - n, n) + np.repeat(self.first_end[state], n))
+            step += 1
+            on = at + step < len(word)
+            at, state = at[on], state[on]
+            on = (row[at + step] == row[at]) & (word[at + step] >= 0)
+            at, state = at[on], state[on]
+        return (np.concatenate(rows), np.concatenate(hits)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _phrases(sent: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = sent.value
+        words, sets, terms = pa.array(trie.words, pa.string()), pa.array(trie.sets, pa.string()), pa.array(trie.terms, pa.string())
+        for b in batches:
+            lists = b.column(1)
+            word = pc.fill_null(pc.index_in(pc.list_flatten(lists), value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows, hits = trie.walk(word, pc.list_parent_indices(lists).to_numpy())
+            once = np.unique(rows * max(1, len(terms)) + hits)
+            rows, hits = pa.array(once // max(1, len(terms))), pa.array(once % max(1, len(terms)))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), sets.take(hits), terms.take(hits)], [b.schema.names[0], "rule_set", "term"])
+    return run
 
 
 def match_by_title_and_entity(queries: DataFrame, rows: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@
   key before the shuffle (WindowGroupLimit), so a hot key sends at most one row per task.
 * `attach_by_key`: per-key statistics joined back to rows; the heaviest keys are a top-k of fixed
   size and are broadcast, all other keys go through a shuffle join in which no key is hot.
-* `number_rows`: 1..n over an order, through buckets of bounded width instead of one global window.
+* `number_rows`: 1..n over an order, through ranges of bounded size instead of one global window.
 * `sized_broadcast`: a broadcast hint only when a counted bound holds.
 """
 
@@ -15,10 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tendersift.session import cut_lineage
+
 HOT_KEYS = 1000          # rows of the broadcast side of attach_by_key
 SALTS = 256              # spread of already matched rows in the second join
 BROADCAST_BYTES = 32 << 20  # most bytes of a broadcast table, as text
-BUCKET_WIDTH = 1_000_000  # most rows one numbering bucket can hold
+BUCKET_WIDTH = 1_000_000  # rows of one numbered range, and seq numbers of a bucket of openers
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
@@ -98,17 +100,19 @@ def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
 
 
 def number_rows(df: DataFrame, seq: str, out: str, width: int = BUCKET_WIDTH) -> DataFrame:
-    """Consecutive numbers 1..n in order of the unique whole-number column `seq`.
+    """Consecutive numbers 1..n in order of the unique column `seq`, of any type that can be ordered.
 
-    A bucket holds at most `width` rows because `seq` is unique; only the bucket counts, one row
-    per bucket, are summed in order.
+    Ranges of `seq` of about `width` rows, cut where the values are, are numbered each by itself and written; the rows before
+    a range are the sum of the counts of the ranges before it. So a sparse `seq` has no more ranges than a dense one, and only
+    the counts, one per `width` rows, are added up in one task.
     """
-    b = df.withColumn("_bucket", F.floor(F.col(seq) / F.lit(width)).cast("long"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .select("_bucket", "_offset"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(seq))
-    return (b.withColumn("_pos", within).join(offsets, "_bucket")
+    stored = cut_lineage(df)
+    ranges = max(1, -(-stored.count() // width))
+    parts = cut_lineage(stored.repartitionByRange(ranges, F.col(f"`{seq}`")).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(F.col(f"`{seq}`")))
+    return (parts.withColumn("_pos", within).join(offsets, "_part")
             .withColumn(out, (F.col("_pos") + F.col("_offset")).cast("long"))
-            .drop("_bucket", "_pos", "_offset"))
+            .drop("_part", "_pos", "_offset"))

@@ -1,5 +1,9 @@
 """Rule compilation and the null rule of every filter."""
 
+import random
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +100,25 @@ def test_term_join(spark):
     assert got == {(1, "a"), (1, "b"), (2, "b")}
     long = spark.createDataFrame([("d", "le cœur de projet chef de projet")], "rule_set string, term string")
     assert [r.id for r in J.term_join(texts, long, "id", "t").collect()] == [1]
+
+
+def test_term_join_equals_the_plain_search(spark):
+    """Terms that begin, end and hold each other, of up to forty words, in two sets, split into many parts."""
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(12)] + ["été", "x_1", "語"]
+    terms = [(f"s{i % 3}", " ".join(rnd.choice(words) for _ in range(rnd.choice([1, 1, 2, 3, 5, 40])))) for i in range(400)]
+    texts = [(i, rnd.choice(["", "!? "]).join(rnd.choice(words) + rnd.choice([" ", ", ", "\n"]) for _ in range(rnd.randrange(60)))) for i in range(120)]
+    texts += [(200, None), (201, ""), (202, terms[5][1].upper()), (202, terms[5][1]), (None, "w1 w2")]
+    padded = [(i, f" {' '.join(re.findall('[^ ,!?' + chr(10) + ']+', (t or '').lower()))} ") for i, t in texts]
+    want = Counter((i, s, t) for i, p in padded for s, t in set(terms) if f" {t} " in p)
+    df = spark.createDataFrame(texts, "id int, t string")
+    rules = spark.createDataFrame(terms + terms[:9] + [("s0", None), ("s0", " ")], "rule_set string, term string")
+    for bound in (1 << 20, 500):
+        assert Counter(map(tuple, J.term_join(df, rules, "id", "t", bound).collect())) == want
+    assert J.term_join(df, rules.limit(0), "id", "t").count() == 0
+
+
+def test_term_join_with_many_terms_emits_hits_only(spark):
+    rules = spark.range(100_000).select(F.lit("s").alias("rule_set"), F.concat(F.lit("number "), F.col("id").cast("string"), F.lit(" of many")).alias("term"))
+    texts = spark.createDataFrame([(1, "the number 77 of many, number 5 of few"), (2, "number 99999 of many")], "id int, t string")
+    assert {tuple(r) for r in J.term_join(texts, rules, "id", "t").collect()} == {(1, "s", "number 77 of many"), (2, "s", "number 99999 of many")}

@@ -123,6 +123,17 @@ def test_number_rows(spark):
     assert {r.seq: r.n for r in got} == {s: i + 1 for i, s in enumerate(sorted(seqs))}
 
 
+def test_number_rows_of_sparse_values(spark):
+    """Hash values and texts as order: as many ranges as the rows need, not the values."""
+    rnd = random.Random(2)
+    seqs = list({rnd.randrange(-2**62, 2**62) for _ in range(3000)})
+    for kind, values in (("long", seqs), ("string", [f"k{s}" for s in seqs])):
+        df = number_rows(spark.createDataFrame([(s, 7) for s in values], f"seq {kind}, _n int"), "seq", "n", 500)
+        assert df.columns == ["seq", "_n", "n"]
+        assert {r.seq: r.n for r in df.collect()} == {s: i + 1 for i, s in enumerate(sorted(values))}
+    assert number_rows(spark.range(0).toDF("seq"), "seq", "n").count() == 0
+
+
 def scan(rows, days=15):
     """Group numbers by the plain scan over all later records."""
     tag, n = {}, 0
