@@ -257,19 +257,19 @@ def s_domain(text: str, prefix: str, codes: bool) -> str:
             f"WHEN {a('domain_out')} THEN 'hors IT' WHEN {a('ambiguous')} THEN 'hors IT' ELSE 'à vérifier' END")
 
 
-S_CODED = f"""SELECT doc_id, source, text, lower({S_TITLE}) AS x, source IN ('src1', 'src2') AS target,
+S_CODED = f"""SELECT doc_id, source, text, lower({S_TITLE}) AS x, concat(lower({S_TITLE}), '  ', lower(text)) AS y, source IN ('src1', 'src2') AS target,
     source IN ('src2', 'src6') AS excluded FROM documents"""
 
 
 def coded_titles(spark, sf):
-    """Titles as subjects; two sources carry codes in scope, two carry excluded ones."""
+    """Titles as subjects, whole texts as descriptions; two sources carry codes in scope, two carry excluded ones."""
     s = F.col("source")
     codes = (F.when(s == "src1", F.array(F.lit("72100"))).when(s == "src2", F.array(F.lit("48000"), F.lit("45000")))
              .when(s == "src6", F.array(F.lit("45200"))))
-    return docs(spark, sf).withColumns({"codes": codes, "_x": F.lower("title")})
+    return docs(spark, sf).withColumn("codes", codes).transform(once, "_x", X.analysis_text(F.col("title"), F.array().cast("array<string>"), F.col("text")))
 
 
-@query(f"SELECT doc_id, {s_domain('x', '', True)} AS domain FROM ({S_CODED})")
+@query(f"SELECT doc_id, {s_domain('y', '', True)} AS domain FROM ({S_CODED})")
 def notice_domain(spark, sf):
     d = coded_titles(spark, sf)
     return d.select("doc_id", O.domain_by_codes_and_words(
@@ -293,7 +293,7 @@ def notices(spark, sf):
     p, st = c("o_orderpriority"), c("o_orderstatus")
     d = coded_titles(spark, sf).join(o, "doc_id")
     return O.conform(
-        d, seq=c("doc_id"), id=c("doc_id"), source=c("source"), subject=c("title"), codes=c("codes"),
+        d, seq=c("doc_id"), id=c("doc_id"), source=c("source"), subject=c("title"), description=c("text"), codes=c("codes"),
         framework=p == "1-URGENT", amount=F.format_string("%.2f €", "o_totalprice"),
         deadline=F.date_format("o_orderdate", "yyyy-MM-dd"),
         market_type=F.when(st == "F", F.array(F.lit(L.GOODS))).when(st == "O", F.array(F.lit(L.GOODS), F.lit(L.SERVICES))),
@@ -303,7 +303,7 @@ def notices(spark, sf):
 
 
 @query(f"""SELECT doc_id, domain, CASE WHEN p = '2-HIGH' THEN 'Procédure ouverte' ELSE 'procédure à vérifier' END AS procedure_status
-  FROM (SELECT *, {s_domain("concat(x, '  ')", '', True)} AS domain FROM ({S_NOTICES}))
+  FROM (SELECT *, {s_domain("y", '', True)} AS domain FROM ({S_NOTICES}))
   WHERE NOT (p = '1-URGENT' AND amount > 200000) AND st <> 'F' AND deadline - DATE '1997-01-01' >= 7 AND p <> '3-MEDIUM'
     AND domain <> 'hors IT'""")
 def notice_screening(spark, sf):
@@ -311,7 +311,7 @@ def notice_screening(spark, sf):
     return O.in_domain_order(d).select(F.col("seq").alias("doc_id"), "domain", "procedure_status")
 
 
-@query(f"""SELECT doc_id, domain FROM (SELECT *, {s_domain("concat(x, '  ')", '', True)} AS domain FROM ({S_NOTICES}))
+@query(f"""SELECT doc_id, domain FROM (SELECT *, {s_domain("y", '', True)} AS domain FROM ({S_NOTICES}))
   WHERE NOT amount >= 300000 AND st <> 'F' AND deadline - DATE '1997-01-01' >= 7 AND domain <> 'hors IT'""")
 def planned_screening(spark, sf):
     d = O.screen_planned(notices(spark, sf), book(), F.lit("1997-01-01").cast("date"), 300000, ["72", "48"], ["45"])
@@ -325,7 +325,7 @@ def regional_screening(spark, sf):
     return O.in_domain_order(d).select(F.col("seq").alias("doc_id"), "domain")
 
 
-@query(f"""SELECT domain, count(*) AS n FROM (SELECT {s_domain('x', '', True)} AS domain FROM ({S_CODED})) GROUP BY domain""")
+@query(f"""SELECT domain, count(*) AS n FROM (SELECT {s_domain('y', '', True)} AS domain FROM ({S_CODED})) GROUP BY domain""")
 def domain_counts(spark, sf):
     return count_by(notice_domain(spark, sf), "domain")
 

@@ -105,7 +105,7 @@ def similarity_cascade(spark, sf):
     k = F.col("doc_id")
     h = F.md5(F.col("text").cast("binary"))
     offers = docs(spark, sf).select(k.alias("seq"), h.alias("content_hash"), F.concat(F.lit("t"), k).alias("title"), F.lit("").alias("mission"),
-                                    F.lit("corps").alias("body"), F.when(k % 11 != 0, k * 37 % 100).cast("int").alias("semantic"),
+                                    F.col("text").alias("body"), F.when(k % 11 != 0, k * 37 % 100).cast("int").alias("semantic"),
                                     (k % 18).cast("int").alias("lexical"))
     cache = (offers.filter("content_hash < '2'").select("content_hash").distinct()
              .select("content_hash", F.lit("v").alias("rule_version"), F.lit(70).alias("score"), F.lit("LIMITE").alias("verdict"),
@@ -223,7 +223,7 @@ _RUN_STATE = "id string, source string, subject string, domain string, amount_va
 
 
 @query(f"""SELECT CAST(doc_id AS VARCHAR) AS id, domain, CASE WHEN doc_id % 3 <> 0 THEN amount * 2 END AS amount_value
-  FROM (SELECT *, {s_domain("concat(x, '  ')", '', True)} AS domain FROM ({S_NOTICES}))
+  FROM (SELECT *, {s_domain("y", '', True)} AS domain FROM ({S_NOTICES}))
   WHERE NOT (p = '1-URGENT' AND amount > 200000) AND st <> 'F' AND deadline - DATE '1997-01-01' >= 7 AND p <> '3-MEDIUM'
     AND domain <> 'hors IT' AND (doc_id % 3 = 0 OR amount * 2 <= 400000)""")
 def national_run(spark, sf):

@@ -303,6 +303,13 @@ def numbered_rows(spark, sf):
     return number_rows(d, "o_orderkey", "n", 1000)
 
 
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR))) AS n FROM orders")
+def numbered_by_hash(spark, sf):
+    """An order whose values are far apart: as many ranges as the rows need."""
+    d = read(spark, sf, "orders").select("o_orderkey", F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("h"))
+    return number_rows(d, "h", "n", 1000).select("o_orderkey", "n")
+
+
 @query("""SELECT event_id, last_value(h IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS header FROM
   (SELECT event_id, user_id, CASE WHEN event_type = 'signup' THEN concat('h', event_id) END AS h FROM events)""")
 def header_carry(spark, sf):
