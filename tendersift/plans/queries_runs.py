@@ -21,11 +21,12 @@ from tendersift.operators import upkeep as U
 from tendersift.operators.classify import QUESTION, classify_postings
 from tendersift.plans.queries_notices import S_NOTICES, notices, s_domain
 from tendersift.plans.queries_screen import postings, with_views
-from tendersift.plans.registry import S_PAD, book, docs, padded, q, query, read, s_any, today
+from tendersift.plans.registry import S_PAD, S_TITLE, book, docs, padded, q, query, read, s_any, today
 from tendersift.plans.sample_rules import SUBSTRING_SETS
-from tendersift.plans.runs import run_notices
+from tendersift.plans.runs import judged, run_notices
 from tendersift.plans.screen import in_verdict_order, screen
 from tendersift.rules import RuleBook
+from tendersift.schema import JUDGEMENT
 from tendersift.session import ensure_checkpoint_dir
 from tendersift.sources import readers
 
@@ -114,6 +115,24 @@ def similarity_cascade(spark, sf):
     return out.select("seq", F.col("score").cast("long").alias("score"), "estimated", "decision")
 
 
+def _judge_titles(request: str) -> str:
+    """A judge that goes by the length of the title."""
+    items = re.findall(r"### OFFRE (\d+)\nTitre : (.*)\nAnnonce :", request)
+    return json.dumps([{"id": int(i), "score_global": len(t) % 101, "verdict": "CONVENABLE"} for i, t in items])
+
+
+@query(with_views(f"""SELECT seq, sim_score, CASE WHEN sim_score >= 75 THEN 'CONVENABLE' WHEN sim_score >= 55 THEN 'À VÉRIFIER (similarité)'
+    ELSE 'HORS_PERIMETRE (similarité)' END AS sim_verdict
+  FROM (SELECT seq, CAST(length(trim({S_TITLE})) % 101 AS INTEGER) AS sim_score FROM verdicts JOIN documents ON doc_id = seq
+    WHERE verdict <> 'ÉCARTÉE')"""))
+def judged_run(spark, sf):
+    """What the screen left, judged inside the run on whole texts."""
+    texts = postings(spark, sf)
+    cache = spark.createDataFrame([], JUDGEMENT)
+    out, _ = judged(screen(texts, book(), today()), texts, book(), cache, _judge_titles)
+    return out.select("seq", F.col("score").alias("sim_score"), "sim_verdict")
+
+
 @query("""SELECT d.doc_id AS seq, CASE WHEN d.doc_id % 4 = 0 THEN NULL WHEN l.doc_id IS NULL THEN 'À VÉRIFIER (Gemini indisponible)'
     WHEN quality = 1 THEN 'CONVENABLE' ELSE 'HORS_PERIMETRE (similarité)' END AS sim_verdict, CAST(l.quality * 90 AS INTEGER) AS sim_score
   FROM documents d LEFT JOIN labels l USING (doc_id)""")

@@ -1,13 +1,17 @@
 """A whole run over stored state, and the smaller posting operators."""
 
+import json
+import re
+
 from pyspark.sql import functions as F
 
-from test_screen import BOOK, TODAY, postings
+from test_screen import BASE, BOOK, TODAY, postings
 from tendersift import labels as L
 from tendersift.operators import postings as P
 from tendersift.operators import reports as R
 from tendersift.operators import upkeep as U
 from tendersift.plans.runs import CURATED, run_missions
+from tendersift.schema import JUDGEMENT
 
 
 def test_two_runs(spark, tmp_path):
@@ -31,6 +35,37 @@ def test_two_runs(spark, tmp_path):
     assert U.read_current(spark, root + "/table", schema).count() == 0
 
 
+def test_three_runs_with_a_judge(spark, tmp_path):
+    """The run asks for what the screen left, stores the answers, and asks for nothing it knows."""
+    root = str(tmp_path / "state")
+    day = F.lit(TODAY).cast("date")
+    schema = spark.createDataFrame([], CURATED).schema
+
+    def judge(request):
+        parts = re.findall(r"### OFFRE (\d+)\nTitre : (.*)\n", request)
+        return json.dumps([{"id": int(i), "score_global": 90 if "deux" not in t else 20, "verdict": "CONVENABLE"} for i, t in parts])
+
+    def absent(request):
+        raise RuntimeError("no judge today")
+
+    def table():
+        return sorted((r.url, r.sim_score, r.sim_verdict) for r in U.read_current(spark, root + "/table", schema).collect())
+    first = postings(spark, {}, {"title": "AMOA deux", "body": BASE["body"] + " deux"}, {"title": "Cyber"})
+    run_missions(first, None, BOOK, day, root, judge=judge)
+    assert table() == [("u0", 90, L.S_PASS)]
+    assert U.read_current(spark, root + "/judgements", JUDGEMENT).count() == 2      # the rejected posting was not asked for
+    # nothing is asked again: the stored answers do where the judge fails
+    run_missions(first, None, BOOK, day, root, judge=absent, require_state=True)
+    assert table() == [("u0", 90, L.S_PASS)] and U.current_version(spark, root + "/judgements") == 1
+    # a new posting without an answer is published as an estimate, and asked for again by the next run
+    new = postings(spark, {}, {"title": "AMOA deux", "body": BASE["body"] + " deux"}, {"title": "Cyber"}, {"title": "AMOA trois", "body": BASE["body"] + " trois"})
+    run_missions(new, None, BOOK, day, root, judge=absent)
+    assert U.read_current(spark, root + "/judgements", JUDGEMENT).count() == 2
+    run_missions(new, None, BOOK, day, root, judge=judge)
+    assert U.read_current(spark, root + "/judgements", JUDGEMENT).count() == 3
+    assert [t[1] for t in table()] == [90, 90]
+
+
 def test_cards_and_display(spark):
     cards = spark.createDataFrame([(1, "https://x/view/a-at-big-firm-1234567?t=1", " T ", "", "Paris", "2026-01-01", None), (2, "u2", "T2", "E", "", "hier", "hier")],
                                   "seq long, url string, title string, entity string, place string, published string, posted_relative string")
