@@ -277,10 +277,10 @@ def feed(spark, sf):
             .withColumn("ts", F.col("ts").cast("timestamp")))
 
 
-def run_once(df, mode: str):
-    """All available input through the stream into a table of the shared folder, with the batch number."""
+def run_once(df, mode: str, root: str | None = None):
+    """All available input through the stream into a table of the shared folder, with the batch number; a given `root` goes on where it stopped."""
     spark = df.sparkSession
-    root = f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
+    root = root or f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
     w = df.writeStream.outputMode(mode).option("checkpointLocation", root + "/state").trigger(availableNow=True)
     w.foreachBatch(lambda b, i: b.withColumn("_batch", F.lit(i)).write.mode("overwrite").parquet(f"{root}/out/b={i}")).start().awaitTermination()
     return spark.read.schema(df.schema.add("_batch", "long")).parquet(f"{root}/out/*")
@@ -301,6 +301,21 @@ def stream_daily_counts(spark, sf):
     return last.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
+@query("""WITH e AS (SELECT event_type, date_trunc('day', ts) AS d, ts, event_id % 3 = 0 AS second FROM events),
+  w AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM e WHERE NOT second)
+  SELECT strftime(d, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM e, w WHERE NOT second OR d + INTERVAL 1 DAY > mark GROUP BY ALL""")
+def stream_late_counts(spark, sf):
+    """Events that land in two parts, the stream stopped between them: of the second, days closed by the first's last event are too late."""
+    from tendersift.streaming.feeds import daily_counts
+    root, events = f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}", read(spark, sf, "events")
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        events.filter(part).write.mode("append").parquet(f"{root}/in")
+        landed = spark.readStream.schema(events.schema).parquet(f"{root}/in").withColumn("ts", F.col("ts").cast("timestamp"))
+        d = run_once(daily_counts(landed, source="event_type", lateness="1 day"), "update", root)
+    last = d.groupBy("day", "event_type").agg(F.max_by("n", "_batch").alias("n"))
+    return last.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
 @query("SELECT concat(user_id, '/', event_type) AS key, count(*) AS n FROM events GROUP BY ALL HAVING count(*) >= 2")
 def stream_recurrence(spark, sf):
     from tendersift.streaming.feeds import recurrence
