@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendersift.llm import lexicon
-from tendersift.llm.hashing import Hashes
+from tendersift.llm.hashing import Hashes, same_bytes
 from tendersift.llm.lexicon import Lexicon
 from tendersift.llm.texts import kept, kept_last, read, text_slices
 from tendersift.session import cut_lineage, ensure_checkpoint_dir
@@ -162,10 +162,13 @@ def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     back = np.empty(len(h), np.int64)
     back[order] = group
     at = order[new]
-    # equal hashes of different ranges: not met in practice, but ids must be exact
-    odd = (end - start) != (end - start)[at][back]
-    if odd.any():
-        return np.arange(len(h)), np.arange(len(h))
+    size = end - start
+    if (size == size[at][back]).all() and same_bytes(data, start, start[at][back], size).all():
+        return at, back
+    raw, first = data.tobytes(), {}   # different ranges with one hash: told apart by their bytes
+    back = np.array([first.setdefault(raw[i:j], len(first)) for i, j in zip(start.tolist(), end.tolist())], np.int64)
+    at = np.zeros(len(first), np.int64)
+    at[back[::-1]] = np.arange(len(back))[::-1]
     return at, back
 
 

@@ -12,6 +12,29 @@ TEXTS = ["", None, " ", "  ", "\n", " \n x", "a  b", "it's we'll they'RE 's 'll
          "'s", " 's", "\n's", "'re", "'ve've", "a'", "'", "l'l 'l 'll", "aaaa" * 4000, "x" * 70 + " y", "\x00\x1c\x85z", "a​b", "_under score_"]
 
 
+def thue_morse(n, letters="ab"):
+    """A word and, with the letters exchanged, its partner: their polynomial hashes modulo 2**64 agree from 1,024 letters on."""
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_pieces_of_one_hash_keep_their_own_ids(spark, table, library):
+    rows = [(1, thue_morse(2048) + " " + thue_morse(2048, "ba") + " the " + thue_morse(2048)), (2, thue_morse(1024, "ba") + thue_morse(1024)),
+            (3, " " + thue_morse(2048, "ba"))]
+    df = table(rows)
+    assert sorted(map(tuple, bpe.Codec(df).round_trip(df).collect()), key=str) == expected(library, rows)
+
+
+def test_ranges_are_compared_by_their_bytes():
+    r = np.random.default_rng(1)
+    data = r.integers(97, 99, 3000).astype(np.uint8)
+    a, b, n = r.integers(0, 2900, 5000), r.integers(0, 2900, 5000), r.integers(0, 40, 5000)
+    want = [data[i:i + k].tobytes() == data[j:j + k].tobytes() for i, j, k in zip(a, b, n)]
+    assert bpe.same_bytes(data, a, b, n).tolist() == want
+    start = np.arange(0, 2990, 3)
+    at, back = bpe.distinct(data, start, start + 7)
+    assert len(at) == len({data[s:s + 7].tobytes() for s in start}) and (data[start[at][back][:, None] + np.arange(7)] == data[start[:, None] + np.arange(7)]).all()
+
+
 @pytest.fixture(scope="module")
 def library():
     return Tokenizer.from_file(bpe.default_tokenizer())
