@@ -6,9 +6,15 @@ a paragraph stands for the block around it, and one inside `article` or `main` f
 such an element, blocks beside the path from the body to the winner belong to the text if they are no less
 dense than the thinnest node of that path and not mostly links. Menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments are taken out first, by element or by class, id and role.
-Comments, adverts and notices named by a class or id always go, however long. Any other class stays on an element
-with more than half of the remaining characters if, without all such elements, no `article` or `main` is left and
-either the element holds one or no paragraph is left: it is a wrapper then.
+A class or id counts by its last word, once nouns of place (`-area`, `-left`) are off; names of a state or a subject
+(`ad-free`, `no-ads`, `comments-open`, `category-promotion`) do not count.
+
+A wrapper stays whatever its name: an element named so, or a form, that holds more than half of the characters where no
+text but headings and links is left beside such elements (then the same holds inside it). Only reader comments go even so. Beyond
+that, comments, adverts and notices go however long; another class or a form also stays on an element with more than half of the
+remaining characters if, without all such elements, no `article` or `main` is left and either the element holds
+one or no paragraph is left; a form also if its paragraphs are most of the page and at least `LEAST_PROSE` characters. Inside a
+form that stays, its controls and their labels go.
 
 Cases: null, empty and text-free pages give an empty text; plain text without tags is its own text;
 unclosed, crossing and stray tags (a text or a tag that no head can hold ends an open head), unknown character references and any depth of nesting are accepted;
@@ -34,13 +40,13 @@ MARKUP = re.compile(r"""<!--(?:.*?--!?>|.*\Z)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?
 UNENDED = re.compile(r"</?[a-zA-Z]")
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-TOKEN = re.compile(r"[a-z]+|[0-9]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
                    "sub sup time tt u var wbr img".split())
 PARAGRAPH = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption ul ol dl tr td th tbody thead table".split())
-BOILERPLATE = frozenset("nav footer aside form script style noscript iframe button select option textarea svg canvas object template dialog "
+BOILERPLATE = frozenset("nav footer aside label legend script style noscript iframe button select option textarea svg canvas object template dialog "
                         "menu head title input fieldset audio video".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu
@@ -49,7 +55,14 @@ BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising spon
     sharing social toolbar pagination pager""".split())
 ALWAYS_OUT = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus respond
     cookie cookies consent gdpr notice notification alert popup modal overlay""".split())
+NAMED_ANYWHERE = frozenset("advert adverts advertisement advertising sponsored disqus cookie cookies consent gdpr newsletter".split())
+COMMENTS = frozenset("comment comments disqus respond".split())
+PLACES = frozenset("""area section sections list lists item items box boxes wrap wrapper container holder block slot unit bar panel inner outer left
+    right top bottom primary secondary content body row col column columns group module region zone frame posts articles stories links
+    buttons icons form thread text title""".split())
+STATES = frozenset("no non not without free has with open closed enabled disabled allowed category cat tag tags topic format type status".split())
 MAIN = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {   # an opening tag ends these open elements, up to the nearest of the scope
     "li": (frozenset(["li"]), frozenset("ul ol menu".split())),
     "dt": (frozenset("dt dd".split()), frozenset(["dl"])), "dd": (frozenset("dt dd".split()), frozenset(["dl"])),
@@ -61,6 +74,25 @@ IN_HEAD = frozenset("title meta link base script style noscript template".split(
 ENDS_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6
     header hgroup hr main menu nav ol p pre search section summary table ul""".split())
 MOST_LINKS = 0.5
+LEAST_PROSE = 500   # characters in paragraphs of a form that is more than a form
+
+
+def named(value: str) -> set[str]:
+    """The words of a class or id that name what its element is."""
+    out = set()
+    for name in value.split():
+        words = [w.lower() for w in WORD.findall(name) if len(w) > 1]
+        if not STATES.isdisjoint(words):
+            continue
+        out |= NAMED_ANYWHERE.intersection(words)
+        whole = "".join(words)
+        if whole in BOILER_WORDS:
+            out.add(whole)
+        while len(words) > 1 and words[-1] in PLACES:
+            words.pop()
+        out.update(words[-1:])
+        out.add("".join(words[-2:]))     # navBar, bread-crumb
+    return out & BOILER_WORDS
 
 
 class Page:
@@ -69,6 +101,7 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.end = ["#root"], [-1], [0]
         self.out, self.word_out = [False], [False]   # taken out whatever its size; unless it is a wrapper
+        self.always, self.comments = [False], [False]   # of word_out: whatever its size but for a wrapper of all; even then
         self.events: list[tuple[int, str]] = []
         self._parse(source)
         self.size = len(self.tag)
@@ -78,24 +111,24 @@ class Page:
         self.tag.append(tag)
         self.parent.append(parent)
         self.end.append(i + 1)
-        out, by_word, always = tag in BOILERPLATE, False, False
+        out, names = tag in BOILERPLATE, set()
         if attrs and not attrs.isspace():
             for m in ATTRIBUTE.finditer(attrs):
-                name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+                name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if name in ("class", "id"):
-                    words = TOKEN.findall(value)
-                    by_word |= not BOILER_WORDS.isdisjoint(words)
-                    always |= not ALWAYS_OUT.isdisjoint(words)
+                    names |= named(value)
                 elif name == "role":
-                    out |= not BOILER_ROLES.isdisjoint(value.split())
-                elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
+                    out |= not BOILER_ROLES.isdisjoint(value.lower().split())
+                elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and HIDDEN.search(value):
                     out = True
         if tag == "header" and not any(self.tag[j] in MAIN for j in self._above(parent)):
             out = True
         if tag in ("html", "body", "article", "main"):
-            out = by_word = always = False
-        self.out.append(out or always)
-        self.word_out.append(by_word)
+            out, names = False, set()
+        self.out.append(out)
+        self.word_out.append(bool(names) or tag == "form")
+        self.always.append(not ALWAYS_OUT.isdisjoint(names))
+        self.comments.append(not COMMENTS.isdisjoint(names))
         return i
 
     def _above(self, i: int) -> Iterator[int]:
@@ -181,18 +214,37 @@ class Page:
                 self.end[p] = self.end[i]
         self.end[0] = len(tags)
 
-    def text(self) -> str:
-        """The main text; see the module."""
-        n, parent, end = self.size, self.parent, self.end
-        own = [0] * n
-        for i, t in self.events:
-            if t != " ":
-                own[i] += len("".join(t.split()))
+    def _gone(self, own: list[int]) -> list[bool]:
+        """Which nodes are taken out; see the module. `own` has the characters that stand in a node itself."""
+        n, parent = self.size, self.parent
         gone = [False] * n
         for i in range(1, n):
             gone[i] = gone[parent[i]] or self.out[i]
         total = [0 if g else c for g, c in zip(gone, own)]
-        marked, has_main, has_p = self.word_out[:], [False] * n, False
+        free, prose, aside = total[:], [0] * n, [False] * n   # text beside named elements, but headings and links; in paragraphs
+        for i in range(1, n):
+            aside[i] = aside[parent[i]] or self.tag[i] in HEADINGS or self.tag[i] == "a"
+            if aside[i]:
+                free[i] = 0
+        for i in range(n - 1, 0, -1):
+            p = parent[i]
+            if self.tag[i] == "p":
+                prose[i] = total[i]
+            total[p] += total[i]
+            prose[p] += prose[i]
+            free[p] += 0 if self.word_out[i] else free[i]
+        inside, wrapper, most = [False] * n, [False] * n, [0] * n    # nothing else around; how many characters there are around
+        inside[0], most[0] = not free[0], total[0]
+        for i in range(1, n):
+            p = parent[i]
+            inside[i], most[i] = inside[p], most[p]
+            if self.word_out[i]:
+                wrapper[i] = inside[p] and not self.comments[i] and 2 * total[i] > most[p]
+                inside[i], most[i] = wrapper[i] and not free[i], total[i]
+        for i in range(1, n):   # adverts, comments and notices go first
+            gone[i] = gone[parent[i]] or self.out[i] or self.always[i] and not wrapper[i]
+        total = [0 if g else c for g, c in zip(gone, own)]
+        marked, has_main, has_p = [w and not x for w, x in zip(self.word_out, wrapper)], [False] * n, False
         for i in range(1, n):
             marked[i] |= marked[parent[i]]
         for i in range(n - 1, 0, -1):
@@ -202,8 +254,20 @@ class Page:
             total[parent[i]] += total[i]
         main_left = any(self.tag[i] in MAIN and total[i] and not marked[i] for i in range(1, n))
         for i in range(1, n):
-            wrapper = 2 * total[i] > total[0] and not main_left and (has_main[i] or not has_p)
-            gone[i] = gone[parent[i]] or self.out[i] or self.word_out[i] and not wrapper
+            if self.word_out[i] and not self.always[i]:
+                wrapper[i] |= 2 * total[i] > total[0] and not main_left and (has_main[i] or not has_p)
+                wrapper[i] |= self.tag[i] == "form" and prose[i] >= LEAST_PROSE and 2 * prose[i] > total[0]
+            gone[i] = gone[parent[i]] or self.out[i] or self.word_out[i] and not wrapper[i]
+        return gone
+
+    def text(self) -> str:
+        """The main text; see the module."""
+        n, parent, end = self.size, self.parent, self.end
+        own = [0] * n
+        for i, t in self.events:
+            if t != " ":
+                own[i] += len("".join(t.split()))
+        gone = self._gone(own)
         chars, tags, link, links = [0 if g else c for g, c in zip(gone, own)], [0] * n, [0] * n, [0] * n
         for i in range(n - 1, 0, -1):
             if gone[i]:

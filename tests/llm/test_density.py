@@ -87,3 +87,32 @@ def test_boilerplate_longer_than_the_article(source, want):
 def test_pages_without_some_of_head_and_body(start):
     assert main_text(f"{start}<div><p>{LONG}</p><p>{OTHER}</p></div>") == squeezed(LONG, OTHER)
     assert main_text(f"{start}{SHORT}") == SHORT
+
+
+@pytest.mark.parametrize("attrs", [
+    "class='post hentry category-promotion'", "class='layout ad-free'", "class='entry comments-open'", "class='page no-ads has-sidebar'",
+    "class='post tag-sponsored status-publish'", "id=promo", "class=modal-content", "class='notice'", "id=header", "class='banner'"])
+def test_wrappers_by_name(attrs):
+    want = squeezed("Flood", LONG, OTHER)
+    inner = f"<h1>Flood</h1><p>{LONG}</p><p>{OTHER}</p>"
+    assert main_text(f"<body><nav>a</nav><div {attrs}>{inner}</div><div class=footer>us</div></body>") == want
+    assert main_text(f"<body><div {attrs}><div class='comment-list'><p>{OTHER}</p></div>{inner}<div class='ad-slot-3'><p>{LONG}</p></div></div></body>") == want
+
+
+def test_form_around_the_page():
+    inner = f"<div id=menu><a href=x>one</a></div><div id=main-body><p>{LONG}</p><p>{OTHER}</p></div>"
+    control = "<label>Mail</label><input><select><option>x</select><button>Go</button>"
+    assert main_text(f"<body><form id=aspnetForm>{inner}{control}</form></body>") == squeezed(LONG, OTHER)
+    assert main_text(f"<body><div><p>{SHORT}</p></div><form id=aspnetForm>{inner}{inner}</form></body>").endswith(squeezed(LONG, OTHER))
+    assert main_text(f"<body><div><p>{LONG}</p><form><p>Write to us</p>{control}</form></div></body>") == squeezed(LONG)
+    assert main_text(f"<body><form class=newsletter><p>Write to us</p>{control}</form><article><p>{SHORT}</p></article></body>") == SHORT
+
+
+@pytest.mark.parametrize("attrs", ["class='comments-area'", "id=comment-list", "class='reader_comments_section'", "class='adContainer'", "class='ad-300x250'",
+                                   "id=cookie-law-info", "class='related-posts'", "class='sideBar'", "class='x sidebar-left'", "class='sponsored-content'"])
+def test_named_parts_go(attrs):
+    assert main_text(f"<body><div><p>{SHORT}</p></div><div {attrs}>{MANY}</div></body>") == SHORT
+
+
+def test_only_comments_is_empty():
+    assert main_text(f"<body><nav>a</nav><div class=comments>{MANY}</div></body>") == ""
