@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendersift.llm import lexicon
-from tendersift.llm.hashing import Hashes, same_bytes
+from tendersift.llm.hashing import Hashes, distinct
 from tendersift.llm.lexicon import Lexicon
 from tendersift.llm.texts import kept, kept_last, read, text_slices
 from tendersift.session import cut_lineage, ensure_checkpoint_dir
@@ -149,29 +149,6 @@ def pieces(data: np.ndarray, seg: np.ndarray, found: dict[int, int]) -> np.ndarr
     return out
 
 
-def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one place of each different byte range, for every range the number of its like)."""
-    if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = Hashes(data)(start, end)
-    order = np.argsort(h)
-    s = h[order]
-    new = np.empty(len(h), bool)
-    new[0], new[1:] = True, s[1:] != s[:-1]
-    group = np.cumsum(new) - 1
-    back = np.empty(len(h), np.int64)
-    back[order] = group
-    at = order[new]
-    size = end - start
-    if (size == size[at][back]).all() and same_bytes(data, start, start[at][back], size).all():
-        return at, back
-    raw, first = data.tobytes(), {}   # different ranges with one hash: told apart by their bytes
-    back = np.array([first.setdefault(raw[i:j], len(first)) for i, j in zip(start.tolist(), end.tolist())], np.int64)
-    at = np.zeros(len(first), np.int64)
-    at[back[::-1]] = np.arange(len(back))[::-1]
-    return at, back
-
-
 class Encoder:
     """Encodes slices; holds a vocabulary, an optional lexicon with the ids of its words, and a bounded memo."""
 

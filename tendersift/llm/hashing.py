@@ -79,6 +79,29 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarra
     return out
 
 
+def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: Hashes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(one place of each different byte range, for every range the number of its like)."""
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = (hashes or Hashes(data))(start, end)
+    order = np.argsort(h)
+    s = h[order]
+    new = np.empty(len(h), bool)
+    new[0], new[1:] = True, s[1:] != s[:-1]
+    group = np.cumsum(new) - 1
+    back = np.empty(len(h), np.int64)
+    back[order] = group
+    at = order[new]
+    size = end - start
+    if (size == size[at][back]).all() and same_bytes(data, start, start[at][back], size).all():
+        return at, back
+    raw, first = data.tobytes(), {}   # different ranges with one hash: told apart by their bytes
+    back = np.array([first.setdefault(raw[i:j], len(first)) for i, j in zip(start.tolist(), end.tolist())], np.int64)
+    at = np.zeros(len(first), np.int64)
+    at[back[::-1]] = np.arange(len(back))[::-1]
+    return at, back
+
+
 def code_table() -> np.ndarray:
     """Byte -> one of 16 kinds of character."""
     t = np.full(256, 15, np.uint8)
@@ -129,9 +152,9 @@ def repeated_lines(data: np.ndarray, off: np.ndarray, h: Hashes) -> tuple[np.nda
         has = np.concatenate(([0], np.cumsum(~SPACES[data])))
         with_word = has[e] > has[s]
         s, e, row = s[with_word], e[with_word], row[with_word]
-    key = h(s, e) ^ mixed(row.astype(np.uint64) + np.uint64(1))
-    _, first = np.unique(key, return_index=True)
-    repeated = np.ones(len(key), bool)
+    at, back = distinct(data, s, e, h)
+    _, first = np.unique(row * max(len(at), 1) + back, return_index=True)
+    repeated = np.ones(len(s), bool)
     repeated[first] = False
     return np.bincount(row, minlength=n), np.bincount(row[repeated], minlength=n)
 

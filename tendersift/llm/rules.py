@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tendersift.llm.hashing import SPACES, WIDTH, Hashes, mixed, powers, repeated_lines, several_scores, spans
+from tendersift.llm.hashing import SPACES, WIDTH, Hashes, distinct, repeated_lines, several_scores, spans
 from tendersift.llm.labelled import platt, sample, sampled_rows, sigmoid
 from tendersift.llm.nbsvm import indicator_rows
 from tendersift.llm.texts import read, text_slices
@@ -55,11 +55,13 @@ def repeated_words(data: np.ndarray, off: np.ndarray, h: Hashes, window: int = W
     total = np.bincount(row, minlength=n)
     if len(s) <= window:
         return total, np.zeros(n, np.int64)
-    up, down = powers(len(s) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h(s, e) * up[:len(s)])))
-    at = np.flatnonzero(row[:-window + 1] == row[window - 1:])
-    key = mixed((sums[at + window] - sums[at]) * down[at]) ^ mixed(row[at].astype(np.uint64) + np.uint64(1))
-    _, back, times = np.unique(key, return_inverse=True, return_counts=True)
+    same, wide = distinct(data, s, e, h)[1], 1     # equal numbers for equal runs of `wide` words
+    while wide < window:
+        step = min(wide, window - wide)
+        _, same = np.unique(same[:-step] * len(s) + same[step:], return_inverse=True)
+        wide += step
+    at = np.flatnonzero(row[:len(row) - window + 1] == row[window - 1:])
+    _, back, times = np.unique(row[at] * len(s) + same[at], return_inverse=True, return_counts=True)
     hit = at[times[back] > 1]
     cover = np.zeros(len(s) + 1, np.int64)
     np.add.at(cover, hit, 1)

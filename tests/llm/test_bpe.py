@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tendersift.llm import bpe, lexicon
+from tendersift.llm import bpe, hashing, lexicon
 
 TEXTS = ["", None, " ", "  ", "\n", " \n x", "a  b", "it's we'll they'RE 's 'll x'", "don'tx ''s \"'s '́s", " x  y", "12 ab34½Ⅷ²",
          "<|endoftext|>", "a<|endoftext|> b <|endoftext|><|endoftext|>c", "<|endoftext", "é́ 漢字かな 🙂🙂 ß", "tab\tx\r\n\r\n  end  ",
@@ -29,9 +29,9 @@ def test_ranges_are_compared_by_their_bytes():
     data = r.integers(97, 99, 3000).astype(np.uint8)
     a, b, n = r.integers(0, 2900, 5000), r.integers(0, 2900, 5000), r.integers(0, 40, 5000)
     want = [data[i:i + k].tobytes() == data[j:j + k].tobytes() for i, j, k in zip(a, b, n)]
-    assert bpe.same_bytes(data, a, b, n).tolist() == want
+    assert hashing.same_bytes(data, a, b, n).tolist() == want
     start = np.arange(0, 2990, 3)
-    at, back = bpe.distinct(data, start, start + 7)
+    at, back = hashing.distinct(data, start, start + 7)
     assert len(at) == len({data[s:s + 7].tobytes() for s in start}) and (data[start[at][back][:, None] + np.arange(7)] == data[start[:, None] + np.arange(7)]).all()
 
 

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from tendersift.llm import hashing, rules
 
@@ -36,6 +37,30 @@ def test_counts_against_brute_force(spark, table):
     assert rules.judged(table(rows).limit(0), model).count() == 0
 
 
+def test_texts_of_one_polynomial_hash_are_told_apart(spark, table):
+    a, b = ("".join(letters[bin(i).count("1") % 2] for i in range(2048)) for letters in ("ab", "ba"))
+    first, second = ([f"{w}{i}" for i in range(3)] + [w] + ["x"] * 4 for w in (a, b))
+    rows = [(1, f"{a}\n{b}\n"), (2, f"{a}\n{b}\n{a}\n"), (3, " ".join(first + second)), (4, " ".join(first + second + first)),
+            (5, " ".join("abbabaabbaababba"[i % 16] for i in range(512)))]
+    model = rules.Logistic(np.zeros((2, hashing.WIDTH)), 0.0, 0.0, 20.0)
+    got = rules.judged(table(rows), model).collect()
+    assert sorted(tuple(r[:7]) for r in got) == [(d, *brute(t)) for d, t in rows]
+
+
+@pytest.mark.parametrize("window", range(1, 12))
+def test_windows_of_any_width(window):
+    words = np.random.default_rng(window).integers(0, 2, 300).tolist()
+    data = np.frombuffer(" ".join(map(str, words)).encode(), np.uint8)
+    off = np.array([0, 200, 200, len(data)])
+    want = []
+    for part in (words[:100], [], words[100:]):
+        at = {}
+        for i in range(len(part) - window + 1):
+            at.setdefault(tuple(part[i:i + window]), []).append(i)
+        want.append(len({j for v in at.values() if len(v) > 1 for i in v for j in range(i, i + window)}))
+    assert rules.repeated_words(data, off, hashing.Hashes(data), window)[1].tolist() == want
+
+
 def test_query(spark, sf):
     docs = dict(tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
     truth = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
