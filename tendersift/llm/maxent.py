@@ -9,7 +9,7 @@ tasks' rows are averaged by how often each touched them, in blocks, through a sh
 words the probability is by count. Inside the class of other words it is by Good-Turing over
 counts of counts, so that unseen words share the mass that words seen once had; all unseen words are one token.
 
-Counts cover every training text; words are 64-bit hashes. The `FREQUENT` most frequent words travel with the model,
+Counts cover every training text; words are 63-bit hashes, cryptographic ones beyond `LONG_WORD` bytes. The `FREQUENT` most frequent words travel with the model,
 a fixed size. The counts of all others meet the texts in a join: scoring hands on each text's other words, the
 join sums their logarithms, and no table of the vocabulary is ever sent to a task or the driver.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ STEP_TOKENS = 8192
 BLOCK = 128             # weight rows that travel together
 RARE_UPTO = 40          # counts of counts kept apart
 END, START = 0x1234567, 0x7654321   # stand for the end and the outside of a text among word hashes
+LONG_WORD = 64          # bytes from which words go by a cryptographic hash
 PENDING = 1 << 22       # words a counting task holds before it adds them up
 
 
@@ -52,7 +54,11 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every token, offsets of texts); each text's words and then its end."""
     s, e, row = spans(~SPACES[data], off)
     n = len(off) - 1
-    h = Hashes(LOWER[data])(s, e) >> np.uint64(1)     # a non-negative long
+    low = LOWER[data]
+    h = Hashes(low)(s, e)
+    for i in np.flatnonzero(e - s > LONG_WORD).tolist():   # long words of a pattern can share a polynomial hash
+        h[i] = int.from_bytes(blake2b(low[s[i]:e[i]].tobytes(), digest_size=8).digest(), "little")
+    h >>= np.uint64(1)     # a non-negative long
     cut = np.searchsorted(row, np.arange(1, n + 1))
     return np.insert(h, cut, np.uint64(END)).astype(np.int64), np.concatenate(([0], cut + np.arange(1, n + 1)))
 

@@ -31,6 +31,14 @@ def compare(got, rows):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9, abs=1e-9)
 
 
+def test_words_of_one_polynomial_hash_are_told_apart(spark, table):
+    a, b = ("".join(letters[bin(i).count("1") % 2] for i in range(2048)) for letters in ("ab", "ba"))
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows = [(held, f"{a} {b} the")] + [(i, f"{a} the") for i in range(100, 120) if zlib.crc32(str(i).encode()) % 7 != 2]
+    df = table(rows)
+    compare(maxent.scored(df, maxent.Trainer(df.filter(maxent.remainder("doc_id", 7) != 2))).collect(), rows)
+
+
 def test_counts_and_base_against_brute_force(spark, table, monkeypatch):
     monkeypatch.setattr(maxent, "FREQUENT", 6)     # most words go through the join
     rows = [(i, t) for i, t in enumerate(["The cat the CAT sat", "a b c", "", None, "the É é \x0b x", "the " * 9000, "zz zz yy"] * 4)]
