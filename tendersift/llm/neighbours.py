@@ -12,18 +12,24 @@ candidates are verified on the original vectors in double precision.
 Cells and the queries of a cell are split by counts into parts of bounded size, so a vector that a third
 of the table repeats is no large group.
 
-Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors of
-another length than most; rows with a null id take no part; of rows that repeat an id the smallest vector
-counts; equal scores go by the smaller id; other columns are ignored; no rows, no rows.
+Every row is indexed: rows are told apart by a number of their own, not by their id, and vectors of each length have
+projections, cells and a sample share of their own, since an inner product needs two vectors of one length.
+
+Cases: vectors that are null, zero, or hold null or non-finite components take no part. Rows that repeat an id are candidates
+and queries each for itself (a query's results are as many as its rows'), a row with a null id is a candidate with a null `vec_id`
+and no query. Equal scores go by the smaller id, a null one last; a very long vector is one row of its length's index; other columns
+are ignored; no rows, no rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -121,31 +127,31 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 class Top:
-    """The best `k` of each query so far, by score and then by the smaller id."""
+    """The best `k` of each query so far, by score, then by the smaller id, then by place."""
 
     def __init__(self, n: int, k: int):
         self.k, self.n = k, n
-        self.q, self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.q, self.at, self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         self.kth = np.full(n, -np.inf)
 
-    def add(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        q, ids, scores = (np.concatenate(x) for x in ((self.q, q), (self.ids, ids), (self.scores, scores)))
-        order = np.lexsort((ids, -scores, q))
+    def add(self, q: np.ndarray, at: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        q, at, ids, scores = (np.concatenate(x) for x in ((self.q, q), (self.at, at), (self.ids, ids), (self.scores, scores)))
+        order = np.lexsort((at, ids, -scores, q))
         q = q[order]
         rank = np.arange(len(q)) - np.searchsorted(q, q)
         keep = rank < self.k
-        self.q, self.ids, self.scores = q[keep], ids[order][keep], scores[order][keep]
+        self.q, self.at, self.ids, self.scores = q[keep], at[order][keep], ids[order][keep], scores[order][keep]
         full = rank == self.k - 1
         self.kth[q[full]] = scores[order][full]
 
 
-def search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, bound: np.ndarray, longest: float,
+def search(ids: np.ndarray, rows: np.ndarray, x: np.ndarray, qrows: np.ndarray, q: np.ndarray, bound: np.ndarray, longest: float,
            a: np.ndarray, k: int = TOP, confidence: float = CONFIDENCE) -> Top:
-    """The best of one part for each query; `bound` is the k-th score a query has already."""
+    """The best of one part for each query but its own row; `bound` is the k-th score a query has already."""
     px, pq = lifted(x, longest) @ a, projected_queries(q, a)
     nodes, _ = split(px, max(1, -(-len(x) // LEAF_ROWS)))
     leaf = leaf_of(px, nodes)
-    order = np.lexsort((ids, leaf))
+    order = np.lexsort((rows, leaf))
     edge = np.flatnonzero(np.diff(leaf[order], prepend=-1))
     groups = np.split(order, edge[1:])
     boxes = np.array([[px[g].min(0), px[g].max(0)] for g in groups])
@@ -169,99 +175,130 @@ def search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, boun
             floor = np.maximum(top.kth[who], bound[who])
             if s.shape[1] > k:
                 floor = np.maximum(floor, -np.partition(-s, k, 1)[:, k] if s.shape[1] > k else -np.inf)
-            i, j = np.nonzero((s >= (floor - slack[who])[:, None]) & (ids[member][None, :] != qids[who][:, None]))
+            i, j = np.nonzero((s >= (floor - slack[who])[:, None]) & (rows[member][None, :] != qrows[who][:, None]))
             if len(i):
                 a_, b_ = who[i], member[j]
-                top.add(a_, ids[b_], (q[a_] * x[b_]).sum(1))
+                top.add(a_, b_, ids[b_], (q[a_] * x[b_]).sum(1))
     return top
 
 
+@dataclass
+class Cells:
+    """The projected space of the vectors of one length."""
+    longest: float
+    a: np.ndarray
+    nodes: list[tuple[int, float, int, int]]
+    boxes: np.ndarray
+    first: int       # the number of its first cell
+
+
+def by_length(b: pa.RecordBatch, rows: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Parts of at most `rows` rows whose vectors (column `e`) have one length, with that length."""
+    size = pc.list_value_length(b.column(b.schema.get_field_index("e"))).to_numpy()
+    for d in np.unique(size):
+        t = b.take(pa.array(np.flatnonzero(size == d)))
+        for at in range(0, t.num_rows, rows):
+            yield int(d), t.slice(at, rows)
+
+
 class Index:
-    """Cells of the projected space with every vector of the table in its cell."""
+    """Cells of the projected spaces with every vector of the table in its cell."""
 
     def __init__(self, vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding"):
         v = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("e"))
-        whole = v.filter("vec_id is not null and e is not null and size(e) > 0 and forall(e, x -> x is not null and "
+        whole = v.filter("e is not null and size(e) > 0 and forall(e, x -> x is not null and "
                          "not isnan(x) and abs(x) < double('Infinity')) and exists(e, x -> x <> 0)")
-        kept = cut_lineage(whole.groupBy("vec_id").agg(F.min("e").alias("e")))
+        kept = cut_lineage(whole.withColumn("row", F.monotonically_increasing_id()))
         sizes = kept.groupBy(F.size("e").alias("d")).agg(
-            F.count(F.lit(1)).alias("n"), F.max(F.expr("aggregate(e, 0D, (s, x) -> s + x * x)")).alias("m"))
-        most = sizes.orderBy(F.col("n").desc(), "d").limit(1).collect()
-        self.dim, self.rows, self.longest = (most[0]["d"], most[0]["n"], math.sqrt(most[0]["m"])) if most else (1, 0, 0.0)
-        self.a = projections(self.dim)
-        kept = kept.filter(F.size("e") == self.dim)
-        part = kept.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("e").toArrow()
-        sample = lifted(matrix(part.column("e"), self.dim), self.longest) @ self.a if self.rows else np.zeros((0, PROJECTIONS))
-        self.nodes, self.boxes = split(sample, min(MOST_CELLS, max(1, -(-self.rows // CELL_ROWS))))
-        placed = cut_lineage(kept.mapInArrow(self._place(), "cell int, vec_id long, e array<double>"))
+            F.count(F.lit(1)).alias("n"), F.max(F.expr("aggregate(e, 0D, (s, x) -> s + x * x)")).alias("m")).orderBy("d").collect()
+        part = kept.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("e").toArrow().combine_chunks()
+        seen = dict[int, list[np.ndarray]]()
+        for b in part.to_batches():
+            for d, t in by_length(b, SAMPLE):
+                seen.setdefault(d, []).append(matrix(t.column(0), d))
+        self.cells, first = dict[int, Cells](), 0
+        for r in sizes:      # a row per length
+            a, longest = projections(r["d"]), math.sqrt(r["m"])
+            sample = lifted(np.concatenate(seen[r["d"]]), longest) @ a if r["d"] in seen else np.zeros((0, PROJECTIONS))
+            nodes, boxes = split(sample, min(MOST_CELLS, max(1, -(-r["n"] // CELL_ROWS))))
+            self.cells[r["d"]] = Cells(longest, a, nodes, boxes, first)
+            first += len(boxes)
+        placed = cut_lineage(kept.select("row", "vec_id", "e").mapInArrow(self._place(), "cell int, row long, vec_id long, e array<double>"))
         parts = cut_lineage(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("long").alias("parts")))
-        self.parts = parts     # at most MOST_CELLS rows
+        self.parts = parts     # a row per cell
         self.placed = cut_lineage(placed.join(F.broadcast(parts), "cell")
-                                  .withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts")).drop("parts"))
+                                  .withColumn("part", F.pmod(F.xxhash64("row"), "parts")).drop("parts"))
 
     def _place(self) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        a, nodes, dim, longest = self.a, self.nodes, self.dim, self.longest
+        cells = self.cells
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                cell = leaf_of(lifted(matrix(b.column(1), dim), longest) @ a, nodes)
-                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), b.column(0), b.column(1)], ["cell", "vec_id", "e"])
+            for whole in batches:
+                for d, b in by_length(whole, whole.num_rows):
+                    c = cells[d]
+                    cell = c.first + leaf_of(lifted(matrix(b.column(2), d), c.longest) @ c.a, c.nodes)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), *b.columns], ["cell", "row", "vec_id", "e"])
         return run
 
     def _route(self, first: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        """(vec_id, e, bound) -> a row for every cell to search: the nearest ones, or the others not ruled out."""
-        a, boxes, dim, longest, confidence = self.a, self.boxes, self.dim, self.longest, CONFIDENCE
+        """(query, query_id, e, bound) -> a row for every cell to search: the nearest ones, or the others not ruled out."""
+        cells, confidence = self.cells, CONFIDENCE
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for at in range(0, whole.num_rows, 512):
-                    b = whole.slice(at, 512)
-                    q = matrix(b.column(1), dim)
-                    near = box_distances(projected_queries(q, a), boxes)
+                for d, b in by_length(whole, 512):
+                    c = cells[d]
+                    q = matrix(b.column(2), d)
+                    near = box_distances(projected_queries(q, c.a), c.boxes)
                     rank = np.argsort(np.argsort(near, 1, kind="stable"), 1, kind="stable")
                     if first:
                         go = rank < FIRST_CELLS
                     else:
-                        best = np.array([-np.inf if x is None else x for x in b.column(2).to_pylist()])
-                        far = np.maximum((q * q).sum(1) + longest * longest - 2 * best, 1e-300)
+                        best = np.array([-np.inf if x is None else x for x in b.column(3).to_pylist()])
+                        far = np.maximum((q * q).sum(1) + c.longest * c.longest - 2 * best, 1e-300)
                         far[best == -np.inf] = np.inf
                         go = (rank >= FIRST_CELLS) & (chi_square(near / far[:, None]) < confidence)
                     i, cell = np.nonzero(go)
                     t = b.take(pa.array(i))
-                    yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), *t.columns], ["cell", "query_id", "e", "bound"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c.first + cell, pa.int32()), *t.columns],
+                                                     ["cell", "query", "query_id", "e", "bound"])
         return run
 
     def _search(self, routed: DataFrame, k: int) -> DataFrame:
-        """(query_id, vec_id, score): the best `k` of every part searched."""
+        """(query, query_id, row, vec_id, score): the best `k` of every part searched."""
         routed = cut_lineage(routed)
         blocks = cut_lineage(routed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("long").alias("blocks")))
-        parts = self.parts.join(F.broadcast(blocks), "cell")   # at most MOST_CELLS rows, as `blocks`
-        asked = (routed.join(F.broadcast(parts), "cell").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks"))
+        parts = self.parts.join(F.broadcast(blocks), "cell")   # a row per cell, as `blocks`
+        asked = (routed.join(F.broadcast(parts), "cell").withColumn("block", F.pmod(F.xxhash64("query"), "blocks"))
                  .withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).drop("parts", "blocks"))
         held = (self.placed.join(F.broadcast(blocks), "cell").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
                 .drop("blocks"))
-        a, dim, longest = self.a, self.dim, self.longest
+        cells = self.cells
+        last = np.iinfo(np.int64).max
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            names = ["query", "query_id", "row", "vec_id", "score"]
             if not left.num_rows or not right.num_rows:
-                return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-            qids = right.column("query_id").to_numpy()
+                return pa.table([pa.array([], pa.int64())] * 4 + [pa.array([], pa.float64())], names)
+            d = len(left.column("e")[0])
             bound = np.array([-np.inf if x is None else x for x in right.column("bound").to_pylist()])
-            top = search(left.column("vec_id").to_numpy(), matrix(left.column("e"), dim), qids, matrix(right.column("e"), dim),
-                         bound, longest, a, k)
-            return pa.table({"query_id": qids[top.q], "vec_id": top.ids, "score": top.scores})
+            top = search(pc.fill_null(left.column("vec_id"), last).to_numpy(), left.column("row").to_numpy(), matrix(left.column("e"), d),
+                         right.column("query").to_numpy(), matrix(right.column("e"), d), bound, cells[d].longest, cells[d].a, k)
+            asked, at = right.take(pa.array(top.q)), left.take(pa.array(top.at))
+            return pa.table([asked.column("query"), asked.column("query_id"), at.column("row"), at.column("vec_id"), pa.array(top.scores)], names)
         key = ["cell", "part", "block"]
-        return held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score double")
+        return held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
+            run, "query long, query_id long, row long, vec_id long, score double")
 
     def nearest(self, every: int = EVERY, k: int = TOP) -> DataFrame:
-        """(query_id, rank, vec_id, score) for the vectors whose id is divisible by `every`."""
-        asked = self.placed.filter(F.col("vec_id") % every == 0).select("vec_id", "e")
-        best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-        kinds = "cell int, query_id long, e array<double>, bound double"
+        """(query_id, rank, vec_id, score) for each row whose id is divisible by `every`."""
+        asked = self.placed.filter(F.col("vec_id") % every == 0).select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), "e")
+        best = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
+        kinds = "cell int, query long, query_id long, e array<double>, bound double"
         first = cut_lineage(self._search(asked.withColumn("bound", F.lit(None).cast("double")).mapInArrow(self._route(True), kinds), k)
                             .withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k).drop("_r"))
-        kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
-        again = asked.join(kth, asked["vec_id"] == kth["query_id"], "left").select("vec_id", "e", "bound").mapInArrow(self._route(False), kinds)
+        kth = first.groupBy("query").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
+        again = asked.join(kth, "query", "left").select("query", "query_id", "e", "bound").mapInArrow(self._route(False), kinds)
         found = first.union(self._search(again, k))
         return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
                 .select("query_id", "rank", "vec_id", "score"))
