@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from tendersift import labels as L
 from tendersift.functions import text as X
 from tendersift.rules import RuleBook
-from tendersift.scale import keep_first
+from tendersift.scale import keep_first, sized_broadcast
+from tendersift.session import cut_lineage
+
+MOST_VALUES = 4096    # rows of a band between two bounds that are sorted by value in one task
+SPLITTERS = 64
+MOST_BANDS = 100_000    # bands whose ranges may travel to the tasks
 
 
 def wording(df: DataFrame, book: RuleBook) -> DataFrame:
@@ -69,6 +74,51 @@ def score_bands(df: DataFrame, band: str, score: str) -> DataFrame:
                                  F.bround((at(left) + at(right)) / 2).cast("int").alias("median"), F.max(score).alias("high"))
 
 
+def exact_bands(df: DataFrame, band: str, score: str, most: int = MOST_VALUES) -> DataFrame:
+    """AGG6 for any numeric score: (band, n, low, median, high), the median exact as a double.
+
+    The two middle rows of each band are bracketed by refining ranges. A round takes approximate splitters of what lies
+    strictly inside a band's range, counts exactly how many rows fall between and on them, and goes on with the stretch that
+    holds the middle; splitters that are off cost a round, never a wrong value. Rows that repeat one value are counted before
+    the shuffle. Ranges with at most `most` rows inside are counted by value. Null and NaN scores are left out; a null band is
+    a band; no rows, no rows.
+    """
+    d = df.select(F.col(band).alias("_b"), F.col(score).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
+    whole = cut_lineage(d.groupBy("_b").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")))
+    left, right = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
+    ranges = cut_lineage(whole.select("_b", "n", F.col("low").alias("lo"), F.col("high").alias("hi"),
+                                      F.lit(0).cast("long").alias("below"), F.col("n").alias("inside")))
+
+    def within(r: DataFrame) -> DataFrame:
+        r = sized_broadcast(r.withColumnRenamed("_b", "_k"), MOST_BANDS)
+        return d.join(r, F.col("_b").eqNullSafe(F.col("_k"))).filter("_v between lo and hi").drop("_k")
+
+    grid = F.array(*[F.lit(k / SPLITTERS) for k in range(SPLITTERS + 1)])
+    running = Window.partitionBy("_b").orderBy("_at")
+    each = Window.partitionBy("_b")
+    while (ranges.agg(F.max("inside")).first()[0] or 0) > most:
+        cuts = (within(ranges).filter("_v > lo and _v < hi").groupBy("_b").agg(F.percentile_approx("_v", grid, 10_000).alias("cuts"))
+                .withColumnRenamed("_b", "_k"))
+        cut = cut_lineage(ranges.join(cuts, F.col("_b").eqNullSafe(F.col("_k")), "left").drop("_k").withColumn(
+            "cuts", F.expr("array_sort(array_distinct(concat(coalesce(cuts, array()), array(lo, hi))))")))
+        # 2 * k between the splitters k - 1 and k, 2 * k + 1 on splitter k
+        at = F.expr("2 * size(filter(cuts, x -> x < _v)) + int(array_contains(cuts, _v))").alias("_at")
+        counts = within(cut).groupBy("_b", at).agg(F.count(F.lit(1)).alias("_c"), F.first("n").alias("n"), F.first("below").alias("below"),
+                                                   F.first("cuts").alias("cuts"))
+        ranks = counts.withColumn("_upto", F.col("below") + F.sum("_c").over(running))
+        held = ranks.withColumns({"_l": F.min(F.when(F.col("_upto") >= left, F.col("_at"))).over(each),
+                                  "_r": F.min(F.when(F.col("_upto") >= right, F.col("_at"))).over(each)})
+        held = held.withColumns({"_l": F.expr("(_l - 1) div 2"), "_r": F.expr("_r div 2")})
+        ranges = cut_lineage(held.groupBy("_b", "n", F.expr("cuts[int(_l)]").alias("lo"), F.expr("cuts[int(_r)]").alias("hi")).agg(
+            (F.first("below") + F.sum(F.when(F.col("_at") < 2 * F.col("_l") + 1, F.col("_c")).otherwise(0))).alias("below"),
+            F.sum(F.when((F.col("_at") > 2 * F.col("_l") + 1) & (F.col("_at") < 2 * F.col("_r") + 1), F.col("_c")).otherwise(0)).alias("inside")))
+    values = within(ranges).groupBy("_b", F.col("_v").alias("_at")).agg(F.count(F.lit(1)).alias("_c"), F.first("n").alias("n"), F.first("below").alias("below"))
+    ranks = values.withColumn("_upto", F.col("below") + F.sum("_c").over(running))
+    middle = ranks.groupBy("_b").agg(((F.min(F.when(F.col("_upto") >= left, F.col("_at")))
+                                       + F.min(F.when(F.col("_upto") >= right, F.col("_at")))) / 2).alias("median")).withColumnRenamed("_b", "_k")
+    return whole.join(middle, F.col("_b").eqNullSafe(F.col("_k"))).select(F.col("_b").alias(band), "n", "low", "median", "high")
+
+
 def threshold_sweep(df: DataFrame, positive: str, score: str, lo: int = 60, hi: int = 85, step: int = 5) -> DataFrame:
     """AGG7: kept positives, leaked negatives and the rate per threshold, in one aggregation."""
     steps = list(range(lo, hi + 1, step))

@@ -17,6 +17,7 @@ from tendersift.scale import BROADCAST_BYTES, keep_first, lookup, sized_broadcas
 from tendersift.session import cut_lineage
 
 BROADCAST_ROWS = 100_000
+RUN = 3
 
 
 def with_ledger(items: DataFrame, ledger: DataFrame, now: Column, spread: str) -> DataFrame:
@@ -151,17 +152,39 @@ def _phrases(sent: Broadcast):
     return run
 
 
+def _runs(text: str, k: int) -> Column:
+    """The different runs of `k` characters of a text."""
+    return F.array_distinct(F.expr(f"transform(filter(sequence(1, greatest(char_length(`{text}`) - {k - 1}, 1)), "
+                                   f"i -> i <= char_length(`{text}`) - {k - 1}), i -> substring(`{text}`, i, {k}))"))
+
+
 def match_by_title_and_entity(queries: DataFrame, rows: DataFrame) -> DataFrame:
     """FLT37: first row, by seq, whose folded title has the query's first word and whose publisher
-    contains the query's entity. The words of the titles meet the queries in an equi join."""
-    q = queries.select("query_id", fold(F.split("title", r"\s+")[0]).alias("word"), F.lower("entity").alias("want"))
+    contains the query's entity. The words of the titles meet the queries in an equi join.
+
+    Inside a word, wishes meet publishers through an index of the runs of up to three characters of the publishers' names: a wish
+    of three characters or fewer is a run itself, a longer one is compared with the publishers that have its rarest run. The index
+    holds only runs that occur in a wish. A null title, entity or wish matches nothing, an empty wish every publisher.
+    """
+    q = queries.select("query_id", F.when(F.col("title").isNotNull(), fold(F.split("title", r"\s+")[0])).alias("word"),
+                       F.lower("entity").alias("want"))
     r = rows.select("seq", F.lower("entity").alias("entity"),
                     F.explode(F.array_distinct(F.split(fold(F.col("title")), r"[^\p{L}\p{N}]+"))).alias("word"))
     # the first row per word and publisher, the different wishes per word: no pairs of rows and queries
     first = r.groupBy("word", "entity").agg(F.min("seq").alias("seq"))
-    wishes = q.select("word", "want").distinct()
-    hits = (first.join(sized_broadcast(wishes, BROADCAST_ROWS), "word").filter(F.contains("entity", F.col("want")))
-            .groupBy("word", "want").agg(F.min("seq").alias("seq")))
+    wishes = q.select("word", "want").filter("word is not null and want is not null").distinct()
+    short = F.char_length("want") <= RUN
+    asked = cut_lineage(wishes.withColumn("run", F.explode(F.when(short, F.array("want")).otherwise(_runs("want", RUN)))))
+    every = F.array_distinct(F.concat(F.array(F.lit("")), *[_runs("entity", k) for k in range(1, RUN + 1)]))
+    index = cut_lineage(first.withColumn("run", F.explode(every)).join(
+        sized_broadcast(asked.select("word", "run").distinct(), BROADCAST_ROWS), ["word", "run"]))
+    held = index.groupBy("word", "run").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("seq"))
+    best = cut_lineage(asked.join(held, ["word", "run"], "left").groupBy("word", "want").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run", "seq")).alias("b")).filter("b.n > 0").select("word", "want", "b.*"))
+    longer = best.filter(~short).select("word", "want", "run")
+    hits = best.filter(short).select("word", "want", "seq").union(
+        index.join(sized_broadcast(longer, BROADCAST_ROWS), ["word", "run"]).filter(F.contains("entity", F.col("want")))
+        .groupBy("word", "want").agg(F.min("seq").alias("seq")))
     return lookup(q, cut_lineage(hits), ["word", "want"], "query_id").filter("seq IS NOT NULL").select("query_id", "seq")
 
 

@@ -221,6 +221,15 @@ def score_bands(spark, sf):
     return A.score_bands(scored_labels(spark, sf).withColumnRenamed("quality", "band"), "band", "score")
 
 
+@query("""WITH r AS (SELECT o_orderpriority AS band, CAST(o_totalprice AS DOUBLE) AS v, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) AS i,
+    count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)
+  SELECT band, n, min(v) AS low, (min(CASE WHEN i = (n + 1) // 2 THEN v END) + min(CASE WHEN i = n // 2 + 1 THEN v END)) / 2 AS median, max(v) AS high
+  FROM r GROUP BY band, n""")
+def price_bands(spark, sf):
+    """Exact medians of a score with as many values as rows."""
+    return A.exact_bands(read(spark, sf, "orders").withColumnRenamed("o_orderpriority", "band"), "band", "o_totalprice")
+
+
 @query(f"""SELECT CAST(t AS INTEGER) AS threshold, CAST(sum(CAST(quality = 1 AND score >= t AS INTEGER)) AS BIGINT) AS kept,
     CAST(sum(CAST(quality = 0 AND score >= t AS INTEGER)) AS BIGINT) AS leaked, round_even(sum(CAST(quality = 1 AND score >= t AS INTEGER)) / sum(quality) * 100, 1) AS rate
   FROM ({S_SCORED}), generate_series(60, 85, 5) g(t) GROUP BY t""")

@@ -24,6 +24,23 @@ def test_cosine(spark):
     assert S.block_vectors(spark.createDataFrame([([1.0],)], "embedding array<float>")) == [[1.0]]
 
 
+@pytest.mark.parametrize("most", [1, 7, 4096])
+def test_exact_bands(spark, most):
+    import random
+    import statistics
+    rnd = random.Random(most)
+    rows = [("a", rnd.gauss(0, 1e6)) for _ in range(801)] + [("b", float(rnd.choice([1, 1, 1, 2, 3]))) for _ in range(400)]
+    rows += [("c", 5.0), (None, -1.0), (None, 4.0), ("a", None), ("d", None), ("a", float("nan")), ("e", -0.5), ("e", float("inf"))]
+    rows += [("f", 7.0)] * 300 + [("f", rnd.random()) for _ in range(300)]
+    got = {r[0]: tuple(r)[1:] for r in A.exact_bands(spark.createDataFrame(rows, "k string, v double"), "k", "v", most).collect()}
+    want = {}
+    for k, v in rows:
+        if v is not None and v == v:
+            want.setdefault(k, []).append(v)
+    assert got == {k: (len(v), min(v), statistics.median(v), max(v)) for k, v in want.items()}
+    assert A.exact_bands(spark.createDataFrame([], "k string, v double"), "k", "v").count() == 0
+
+
 def make_judge():
     def fake_judge(request):
         n = request.count("### OFFRE")

@@ -1,5 +1,7 @@
 """Merges, ledgers, versions on disk, lookups and set operators."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,3 +110,30 @@ def test_reference_merge_and_passes(spark):
     a = spark.createDataFrame([("x", 2)], "id string, o int")
     b = spark.createDataFrame([("x", 1), ("y", 1)], "id string, o int")
     assert {(r.id, r.pass_no) for r in J.union_passes([a, b], "id", "o").collect()} == {("x", 0), ("y", 1)}
+
+
+def test_title_and_entity_against_a_plain_scan(spark):
+    import random
+    rnd = random.Random(4)
+    names = ["".join(rnd.choice("abé") for _ in range(rnd.randint(0, 6))) for _ in range(120)]
+    rows = [(i, rnd.choice(["Achat de bus", "bus urbain", "École bus", ""]), n) for i, n in enumerate(names)] + [(900, None, "ab"), (901, "bus", None)]
+    queries = [(i, rnd.choice(["Bus neuf", "ecole", "achat"]), "".join(rnd.choice("ABé") for _ in range(i % 6))) for i in range(60)]
+    queries += [(900, None, "a"), (901, "bus", None), (902, "bus", "a" * 40)]
+    got = J.match_by_title_and_entity(spark.createDataFrame(queries, "query_id int, title string, entity string"),
+                                      spark.createDataFrame(rows, "seq int, title string, entity string"))
+
+    def plain(t):
+        return t.lower().replace("é", "e")
+    want = []
+    for q, t, e in queries:
+        hits = [s for s, title, name in rows if None not in (t, e, title, name) and plain(t.split()[0]) in re.split("[^a-z]+", plain(title)) and e.lower() in name]
+        want += [(q, min(hits))] if hits else []
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_publishers_and_wishes_of_one_word_make_no_product(spark):
+    n = 3000
+    rows = spark.range(n).selectExpr("int(id) AS seq", "'bus' AS title", "concat('ville-', id, '-x') AS entity")
+    queries = spark.range(n).selectExpr("int(id) AS query_id", "'bus' AS title", "concat('-', id, '-') AS entity")
+    got = J.match_by_title_and_entity(queries, rows)
+    assert got.filter("query_id <> seq").count() == 0 and got.count() == n
