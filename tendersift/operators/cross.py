@@ -3,17 +3,23 @@ from several publishers. All work on narrow rows and none holds a whole group in
 
 from __future__ import annotations
 
+import itertools
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tendersift import labels as L
+from tendersift.components import components
 from tendersift.scale import BUCKET_WIDTH, attach_by_key, keep_first, lookup, number_rows
 from tendersift.session import cut_lineage
 
 UNKNOWN_AGE = -1_000_000   # stands for a null age inside join keys
 SEPARATOR = "\u0001"
 CLASS = ["signature", "entity_key", "age_key"]
+OPEN_ROUNDS = 3               # rounds over all open classes before what is left is taken by its components
+SCAN_COMBINATIONS = 1_000_000  # most combinations of a component that one task scans; larger ones go on in rounds
 
 
 def drop_duplicates_first(df: DataFrame) -> DataFrame:
@@ -124,7 +130,8 @@ def same_item_matches(df: DataFrame, days: int = L.SAME_ITEM_DAYS) -> DataFrame:
     return lookup(base, hit, CLASS, "seq").filter("hit").select("seq")
 
 
-def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = BUCKET_WIDTH) -> DataFrame:
+def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = BUCKET_WIDTH,
+                     scan: int = SCAN_COMBINATIONS) -> DataFrame:
     """JOI5: (seq, group_seed, group_no) of the records that belong to a group.
 
     Input: seq, entity_key, signature (sorted tokens), age; only records that may form groups.
@@ -134,12 +141,21 @@ def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = B
     Records with equal publisher, signature and age have the same matches and never match each
     other, so the scan is solved on such classes: a class starts groups when no matching class
     with an earlier first record does. Each round settles every class that is first among its
-    open matches and then closes the matches of those; the rounds run until nothing is open.
+    open matches and then closes the matches of those. What is open after a few rounds falls into
+    components that no match crosses; each is scanned in order by one task, so a long chain of matches
+    takes no more rounds than a short one. A component of more than `scan` combinations goes on in
+    rounds, which tear it apart, and is looked at again after some more of them.
     """
     base, classes = _classes(df)
     key = CLASS
-    open_, starters = classes, []
+    open_, starters, rounds = classes, [], 0
     while not open_.isEmpty():
+        if rounds == OPEN_ROUNDS:
+            settled, open_ = _settle_components(open_, days, scan)
+            starters.append(settled)
+            rounds = 0
+            continue
+        rounds += 1
         ranked = cut_lineage(_best_match(open_, open_, "class_id", days))
         first = ranked.filter(F.col("best").isNull() | (F.col("best") > F.col("class_id"))).drop("best")
         rest = ranked.filter(F.col("best") < F.col("class_id")).drop("best")
@@ -163,6 +179,61 @@ def same_item_groups(df: DataFrame, days: int = L.SAME_ITEM_DAYS, width: int = B
     return tags.join(numbered.select(F.col("seq").alias("group_seed"), "group_no"), "group_seed")
 
 
+def _component_links(classes: DataFrame, days: int) -> DataFrame:
+    """Links (a, b) of class ids under which all classes that match are connected, a few for each combination.
+
+    Classes of one combination and age meet in the first of them; the first ones of an age and the next age within reach
+    meet, and all ages of a combination meet in its records of unknown age.
+    """
+    rows = classes.select("class_id", "age_key", F.explode(combinations(F.col("signature"))).alias("combo"))
+    firsts = rows.groupBy("combo", "age_key").agg(F.min("class_id").alias("hub"))
+    undated = firsts.filter(F.col("age_key") == UNKNOWN_AGE).select("combo", F.col("hub").alias("u"))
+    # one row per combination and age: a group is as long as there are different ages
+    by_age = Window.partitionBy("combo").orderBy("age_key")
+    reach = firsts.withColumns({"next_hub": F.lead("hub").over(by_age), "gap": F.lead("age_key").over(by_age) - F.col("age_key")})
+    links = [rows.join(firsts, ["combo", "age_key"]).select(F.col("class_id").alias("a"), F.col("hub").alias("b")),
+             reach.filter(F.col("gap") <= days).select(F.col("hub").alias("a"), F.col("next_hub").alias("b")),
+             firsts.join(undated, "combo").select(F.col("hub").alias("a"), F.col("u").alias("b"))]
+    return links[0].unionByName(links[1]).unionByName(links[2])
+
+
+def _starts_in_order(component: pd.DataFrame, days: int) -> pd.DataFrame:
+    """The classes of one component that no starting class before them matches, by a scan in order of class id."""
+    dated: dict[tuple[str, str], dict[int, str]] = {}      # combination -> age -> the publisher that starts there
+    anyone: dict[tuple[str, str], set[str]] = {}           # combination -> publishers that start there at any age
+    kept = []
+    component = component.sort_values("class_id")
+    for i, (signature, publisher, age) in enumerate(zip(component["signature"], component["entity_key"], component["age_key"])):
+        combos = list(itertools.combinations(signature, 2))
+        if age == UNKNOWN_AGE:
+            found = any(p != publisher for c in combos for p in anyone.get(c, ()))
+        else:
+            ages = [UNKNOWN_AGE, *range(age - days, age + days + 1)]
+            found = any(at.get(a, publisher) != publisher for c in combos if (at := dated.get(c)) for a in ages)
+        if found and publisher is not None:
+            continue
+        kept.append(i)
+        if publisher is not None:
+            for c in combos:
+                dated.setdefault(c, {})[age] = publisher
+                anyone.setdefault(c, set()).add(publisher)
+    return component.iloc[kept]
+
+
+def _settle_components(open_: DataFrame, days: int, scan: int) -> tuple[DataFrame, DataFrame]:
+    """(starting classes of all components of at most `scan` combinations, classes of the larger ones)."""
+    roots = components(_component_links(open_, days)).toDF("class_id", "root")
+    n = F.size("signature").cast("long")
+    sized = cut_lineage(open_.join(roots, "class_id", "left")
+                        .withColumns({"root": F.coalesce("root", "class_id"), "n_combos": n * (n - 1) / 2}))
+    sizes = cut_lineage(sized.groupBy("root").agg(F.sum("n_combos").alias("n_root")))
+    sized = lookup(sized, sizes, ["root"], "class_id")
+    small = sized.filter(F.col("n_root") <= scan).select(*open_.columns, "root")
+    settled = small.groupBy("root").applyInPandas(
+        lambda pdf: _starts_in_order(pdf, days).drop(columns="root"), open_.schema)
+    return cut_lineage(settled), cut_lineage(sized.filter(F.col("n_root") > scan).select(*open_.columns))
+
+
 def _last_opener(openers: DataFrame, targets: DataFrame, days: int, width: int) -> DataFrame:
     """For every target the latest earlier opener that matches it, as (seq, group_seed).
 

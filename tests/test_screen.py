@@ -149,20 +149,37 @@ def scan(rows, days=15):
     return tag
 
 
-@pytest.mark.parametrize("seed,n,ages", [(1, 60, 40), (2, 120, 300), (3, 90, 10)])
-def test_same_item_groups_equal_the_scan(spark, seed, n, ages):
+@pytest.mark.parametrize("seed,n,ages,rounds,bound", [
+    (1, 60, 40, 0, C.SCAN_COMBINATIONS), (2, 120, 300, C.OPEN_ROUNDS, C.SCAN_COMBINATIONS), (3, 90, 10, 1, 20)])
+def test_same_item_groups_equal_the_scan(spark, monkeypatch, seed, n, ages, rounds, bound):
+    """By components at once, by rounds, and with components too large for one task, which go on in rounds."""
+    monkeypatch.setattr(C, "OPEN_ROUNDS", rounds)
     rnd = random.Random(seed)
     vocab = ["a", "b", "c", "d", "e"]
     rows = [(i * 3, f"p{rnd.choice([0, 0, 0, 1, 2, 3])}", sorted(rnd.sample(vocab, rnd.choice([2, 2, 3]))),
              None if rnd.random() < 0.1 else rnd.randrange(ages)) for i in range(n)]
     df = spark.createDataFrame(rows, "seq long, entity_key string, signature array<string>, age int").repartition(5)
-    got = {r.seq: (r.group_seed, r.group_no) for r in C.same_item_groups(df, width=50).collect()}
+    got = {r.seq: (r.group_seed, r.group_no) for r in C.same_item_groups(df, width=50, scan=bound).collect()}
     assert got == scan(rows)
     pairs = [(a, b) for i, a in enumerate(rows) for b in rows[i + 1:] if a[1] != b[1] and len(set(a[2]) & set(b[2])) >= 2
              and (a[3] is None or b[3] is None or abs(a[3] - b[3]) <= 15)]
     assert {r.seq for r in C.same_item_matches(df).collect()} == {x[0] for p in pairs for x in p}
 
 
+def test_same_item_rounds_do_not_grow_with_a_chain(spark, monkeypatch):
+    plain, asked = C._best_match, []
+    monkeypatch.setattr(C, "_best_match", lambda *a: asked.append(1) or plain(*a))
+    rounds = {}
+    for n in (12, 1000):
+        asked.clear()
+        rows = [(i, f"p{i}", sorted([f"t{i:04d}", f"u{i:04d}", f"t{i + 1:04d}", f"u{i + 1:04d}"]), i % 5) for i in range(n)]
+        df = spark.createDataFrame(rows, "seq long, entity_key string, signature array<string>, age int")
+        got = {r.seq: (r.group_seed, r.group_no) for r in C.same_item_groups(df).collect()}
+        assert got == scan(rows)
+        rounds[n] = len(asked)
+    assert rounds[12] == rounds[1000]
+
+
 def test_same_item_chain_and_empty(spark):
     rows = [(0, "x", ["a", "b"], 0), (1, "y", ["a", "b", "c", "d"], 0), (2, "z", ["c", "d"], 0)]
     schema = "seq long, entity_key string, signature array<string>, age int"
