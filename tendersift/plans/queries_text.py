@@ -211,8 +211,8 @@ def login_pages(spark, sf):
 
 # --- payloads --------------------------------------------------------------------------------------
 
-def payloads(spark, sf):
-    """Orders as nested payloads in three schemas, by order number."""
+def payloads(spark, sf, *extra):
+    """Orders as nested payloads in three schemas, by order number, with further columns of orders."""
     c = F.col
     price = F.format_string("%.2f", "o_totalprice")
     prefixed = F.concat(F.lit('{"cac:Project":{"cbc:EstimatedOverallContractAmount":{"@currencyID":"EUR","#text":"'), price,
@@ -226,7 +226,7 @@ def payloads(spark, sf):
                      F.lit('","urlProfilAcheteur":"http://p/'), c("o_orderkey"), F.lit('"}'))
     k = c("o_orderkey") % 4
     return spread(read(spark, sf, "orders"), "o_orderkey").select(
-        "o_orderkey", F.when(k == 0, prefixed).when(k == 1, plain).when(k == 2, short).otherwise("{broken").alias("payload"))
+        "o_orderkey", F.when(k == 0, prefixed).when(k == 1, plain).when(k == 2, short).otherwise("{broken").alias("payload"), *extra)
 
 
 @query("""WITH o AS (SELECT *, o_orderkey % 4 AS k FROM orders)
