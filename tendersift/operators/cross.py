@@ -73,39 +73,44 @@ def combinations(signature: Column) -> Column:
 
 
 def _two_best(values: Column) -> Column:
-    """The best candidate and the best one of another publisher, from structs (v, e)."""
-    s = F.array_sort(values)
-    head = F.get(s, F.lit(0))
-    second = F.get(F.filter(s, lambda x: x["e"] != head["e"]), F.lit(0))
-    return F.array_compact(F.array(head, second))
+    """The best candidate and the best one of another publisher, from structs (v, e); the best is bound once, not sought for every value."""
+    def with_second(head: Column) -> Column:
+        return F.array_compact(F.array(head, F.array_min(F.filter(values, lambda x: x["e"] != head["e"]))))
+
+    return F.flatten(F.transform(F.array(F.array_min(values)), with_second))
+
+
+def _top_two(have: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, v, e) of the two smallest v of different publishers, for each value of `keys`."""
+    best_first = Window.partitionBy(*keys).orderBy("v", "e")
+    best = have.groupBy(*keys, "e").agg(F.min("v").alias("v"))
+    return best.withColumn("r", F.row_number().over(best_first)).filter("r <= 2").drop("r")
 
 
 def _candidate_table(classes: DataFrame, targets: DataFrame, value: str, days: int) -> DataFrame:
     """(signature, age) of every target -> up to two best candidates among the matching classes."""
     combo = F.explode(combinations(F.col("signature"))).alias("combo")
-    have = (classes.select(combo, "age_key", F.col("entity_key").alias("e"), F.col(value).alias("v"))
-            .groupBy("combo", "age_key", "e").agg(F.min("v").alias("v")))
-    best_first = Window.partitionBy("combo", "age_key").orderBy("v", "e")
-    two = have.withColumn("r", F.row_number().over(best_first)).filter("r <= 2")
+    have = classes.select(combo, "age_key", F.col("entity_key").alias("e"), F.col(value).alias("v"))
+    two = cut_lineage(_top_two(have, ["combo", "age_key"]))
     asked = targets.select("signature", "age_key").distinct().select("signature", "age_key", combo)
-    # one row per (combo, age): at most as many rows per combination as there are different ages
+    # one row per (combo, age): at most as many rows per combination as there are different ages, each with two candidates
     pair = F.when(F.col("v").isNotNull(), F.struct("v", "e"))
     points = (two.select("combo", "age_key", pair.alias("p"))
               .unionByName(asked.select("combo", "age_key", F.lit(None).cast(T.StructType([
                   T.StructField("v", classes.schema[value].dataType), T.StructField("e", T.StringType())])).alias("p")).distinct())
               .groupBy("combo", "age_key").agg(F.collect_list("p").alias("c")))
     near = Window.partitionBy("combo").orderBy("age_key").rangeBetween(-days, days)
-    whole = points.groupBy("combo").agg(
-        F.flatten(F.collect_list("c")).alias("all_c"),
-        F.max(F.when(F.col("age_key") == UNKNOWN_AGE, F.col("c"))).alias("undated_c"))
+    # what records of unknown age meet is cut to two candidates before it is joined, whatever the number of ages
+    all_ages = _top_two(two, ["combo"]).groupBy("combo").agg(F.collect_list(pair).alias("all_c"))
+    undated = two.filter(F.col("age_key") == UNKNOWN_AGE).groupBy("combo").agg(F.collect_list(pair).alias("undated_c"))
     reach = (points.select("combo", "age_key", F.flatten(F.collect_list("c").over(near)).alias("near_c"))
-             .join(whole, "combo")
-             .select("combo", "age_key", _two_best(
-                 F.when(F.col("age_key") == UNKNOWN_AGE, F.col("all_c"))
-                 .when(F.col("undated_c").isNull(), F.col("near_c"))
-                 .otherwise(F.concat("near_c", "undated_c"))).alias("c")))
+             .join(all_ages, "combo", "left").join(undated, "combo", "left")
+             .select("combo", "age_key", F.when(F.col("age_key") == UNKNOWN_AGE, F.col("all_c"))
+                     .when(F.col("undated_c").isNull(), F.col("near_c"))
+                     .otherwise(F.concat("near_c", "undated_c")).alias("c"))
+             .select("combo", "age_key", _two_best(F.col("c")).alias("c")))
     return (asked.join(reach, ["combo", "age_key"]).groupBy("signature", "age_key")
-            .agg(_two_best(F.flatten(F.collect_list("c"))).alias("cands")))
+            .agg(F.flatten(F.collect_list("c")).alias("c")).select("signature", "age_key", _two_best(F.col("c")).alias("cands")))
 
 
 def _best_match(classes: DataFrame, targets: DataFrame, value: str, days: int) -> DataFrame:
@@ -238,37 +243,58 @@ def _last_opener(openers: DataFrame, targets: DataFrame, days: int, width: int)
     """For every target the latest earlier opener that matches it, as (seq, group_seed).
 
     Openers that share a combination and an age come from one publisher, so (combination, age)
-    names the publisher. A target looks up the openers of its combinations at every age within
-    reach, at most 2·days+2 keys per combination; per key the predecessor by `seq` is found inside
-    buckets of `width` numbers, with the last value of earlier buckets carried in.
+    names the publisher. A target of known age looks up the openers of its combinations at every age within
+    reach, at most 2·days+2 keys per combination; one of unknown age, which all ages match, looks up the combination alone.
     """
     combo = F.explode(combinations(F.col("signature"))).alias("combo")
-    o = openers.select(combo, F.col("age_key").alias("o_age"), F.col("entity_key").alias("o_entity"), "seq")
-    keys = o.groupBy("combo", "o_age").agg(F.min("o_entity").alias("o_entity"))
+    o = cut_lineage(openers.select(combo, F.col("age_key").alias("o_age"), F.col("entity_key").alias("e"), "seq"))
+    dated = targets.filter(F.col("age_key") != UNKNOWN_AGE)
+    keys = o.groupBy("combo", "o_age").agg(F.min("e").alias("o_entity"))
     # the ages present per combination: as many as there are different ages, not records
     present = keys.groupBy("combo").agg(F.collect_list(F.struct("o_age", "o_entity")).alias("present"))
     near = F.filter("present", lambda p: (p["o_entity"] != F.col("entity_key")) & (
-        (F.col("age_key") == UNKNOWN_AGE) | (p["o_age"] == UNKNOWN_AGE)
-        | (F.abs(p["o_age"] - F.col("age_key")) <= days)))
-    shape = targets.select("signature", "age_key", "entity_key").distinct()
+        (p["o_age"] == UNKNOWN_AGE) | (F.abs(p["o_age"] - F.col("age_key")) <= days)))
+    shape = dated.select("signature", "age_key", "entity_key").distinct()
     reach = (shape.select("signature", "age_key", "entity_key", combo).join(present, "combo")
              .select("signature", "age_key", "entity_key", F.explode(
                  F.transform(near, lambda p: F.struct(F.col("combo").alias("combo"), p["o_age"].alias("o_age")))).alias("k"))
              .groupBy("signature", "age_key", "entity_key").agg(F.collect_set("k").alias("ks")))
-    t = lookup(targets, cut_lineage(reach), ["signature", "age_key", "entity_key"], "seq")
-    t = t.select("seq", F.explode("ks").alias("k")).select("seq", F.col("k.combo").alias("combo"), F.col("k.o_age").alias("o_age"))
-    both = (o.select("combo", "o_age", "seq", F.col("seq").alias("opener"))
-            .unionByName(t.withColumn("opener", F.lit(None).cast("long")))
-            .withColumn("bucket", F.floor(F.col("seq") / width)))
-    bucket = ["combo", "o_age", "bucket"]
-    upto = Window.partitionBy(*bucket).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy("combo", "o_age").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = both.groupBy(*bucket).agg(F.max("opener").alias("m")).select(*bucket, F.max("m").over(earlier).alias("carry"))
-    hit = (both.withColumn("inside", F.max("opener").over(upto)).filter(F.col("opener").isNull())
-           .join(carry, bucket, "left").withColumn("g", F.coalesce("inside", "carry")))
+    t = lookup(dated, cut_lineage(reach), ["signature", "age_key", "entity_key"], "seq")
+    t = t.select("seq", F.col("entity_key").alias("e"), F.explode("ks").alias("k")).select("seq", "e", "k.combo", "k.o_age")
+    undated = targets.filter(F.col("age_key") == UNKNOWN_AGE).select("seq", F.col("entity_key").alias("e"), combo)
+    hit = _latest_of_others(o, t, ["combo", "o_age"], width).unionByName(_latest_of_others(o.drop("o_age"), undated, ["combo"], width))
     return hit.groupBy("seq").agg(F.max("g").alias("group_seed")).filter(F.col("group_seed").isNotNull())
 
 
+def _latest_of_others(openers: DataFrame, targets: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """(seq, g) for every row (keys, e, seq) of `targets`: the latest earlier one of `openers` with its keys and another publisher.
+
+    It is found inside buckets of `width` numbers: either the latest opener there or the latest of another publisher than that
+    one's. The same two of all earlier buckets are carried in.
+    """
+    both = (openers.withColumn("opener", F.struct("seq", "e"))
+            .unionByName(targets.withColumn("opener", F.lit(None).cast(T.StructType([
+                T.StructField("seq", T.LongType()), T.StructField("e", T.StringType())]))))
+            .withColumn("bucket", F.floor(F.col("seq") / width)))
+    bucket = [*keys, "bucket"]
+    inside = Window.partitionBy(*bucket).orderBy("seq")
+    upto, until = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.max("opener").over(until)
+    ranked = (both.withColumn("before", before)
+              .withColumn("turn", F.when(F.col("opener").isNotNull() & (F.col("before")["e"] != F.col("e")), F.col("before")))
+              .withColumns({"last": F.max("opener").over(upto), "other": F.max("turn").over(upto)}).filter("opener IS NULL"))
+    neg = openers.select(*keys, F.floor(F.col("seq") / width).alias("bucket"), "e", (-F.col("seq")).alias("v"))
+    pairs = (_top_two(neg, bucket).groupBy(*bucket).agg(F.collect_list(F.struct((-F.col("v")).alias("seq"), "e")).alias("two"))
+             .unionByName(targets.select(*keys, F.floor(F.col("seq") / width).alias("bucket")).distinct()
+                          .withColumn("two", F.array().cast("array<struct<seq:bigint,e:string>>"))))
+    earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (pairs.groupBy(*bucket).agg(F.flatten(F.collect_list("two")).alias("two"))
+             .select(*bucket, F.flatten(F.collect_list("two").over(earlier)).alias("carry")))
+    found = F.filter(F.concat(F.array("last", "other"), F.coalesce("carry", F.array().cast("array<struct<seq:bigint,e:string>>"))),
+                     lambda x: x["e"] != F.col("e"))
+    return ranked.join(carry, bucket, "left").select("seq", F.array_max(F.transform(found, lambda x: x["seq"])).alias("g"))
+
+
 def apply_same_item(df: DataFrame, days: int = L.SAME_ITEM_DAYS) -> DataFrame:
     """Adds multi_publisher and its group label `G<n>` to classified postings."""
     eligible = df.filter(F.col("kind").isin(L.MISSION, L.TO_CONFIRM))

@@ -186,3 +186,15 @@ def test_same_item_chain_and_empty(spark):
     got = {r.seq: r.group_no for r in C.same_item_groups(spark.createDataFrame(rows, schema)).collect()}
     assert got == {0: 1, 1: 1}            # the third only matches a record that is already in a group
     assert C.same_item_groups(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize("width", [3, 1000])
+def test_latest_opener_of_another_publisher(spark, width):
+    """One key in all, so a target of unknown age brings one row a combination and not one for every age."""
+    rnd = random.Random(5)
+    openers = [("ab", rnd.choice("PQR"), s) for s in range(0, 60, 2)]
+    targets = [("ab", rnd.choice("PQRS"), s) for s in range(1, 60, 2)] + [("cd", "P", 61)]
+    kind = "combo string, e string, seq long"
+    got = C._latest_of_others(spark.createDataFrame(openers, kind), spark.createDataFrame(targets, kind), ["combo"], width).collect()
+    want = {s: max((o for k, p, o in openers if k == c and p != e and o < s), default=None) for c, e, s in targets}
+    assert len(got) == len(targets) and {r.seq: r.g for r in got} == want
