@@ -21,6 +21,7 @@ HOT_KEYS = 1000          # rows of the broadcast side of attach_by_key
 SALTS = 256              # spread of already matched rows in the second join
 BROADCAST_BYTES = 32 << 20  # most bytes of a broadcast table, as text
 BUCKET_WIDTH = 1_000_000  # rows of one numbered range, and seq numbers of a bucket of openers
+MOST_RANGES = 256        # numbered ranges before they get wider than asked; their bounds come from a sample that the driver holds
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
@@ -104,10 +105,12 @@ def number_rows(df: DataFrame, seq: str, out: str, width: int = BUCKET_WIDTH) ->
 
     Ranges of `seq` of about `width` rows, cut where the values are, are numbered each by itself and written; the rows before
     a range are the sum of the counts of the ranges before it. So a sparse `seq` has no more ranges than a dense one, and only
-    the counts, one per `width` rows, are added up in one task.
+    the counts, one per range, are added up in one task. Beyond `MOST_RANGES` ranges, which each cost the driver a sample, they get
+    wider, up to BUCKET_WIDTH rows; a range is sorted on disk where it has to be.
     """
     stored = cut_lineage(df)
-    ranges = max(1, -(-stored.count() // width))
+    rows = stored.count()
+    ranges = max(1, min(-(-rows // width), max(MOST_RANGES, -(-rows // BUCKET_WIDTH))))
     parts = cut_lineage(stored.repartitionByRange(ranges, F.col(f"`{seq}`")).withColumn("_part", F.spark_partition_id()))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

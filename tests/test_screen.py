@@ -1,6 +1,7 @@
 """The posting screen rule by rule, and the signals across records against plain loops."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,16 @@ def test_number_rows_of_sparse_values(spark):
     assert number_rows(spark.range(0).toDF("seq"), "seq", "n").count() == 0
 
 
+def test_number_rows_asks_for_a_bounded_sample(spark, monkeypatch):
+    """A narrow width on a long table: no more ranges than MOST_RANGES, since each one sends a sample to the driver."""
+    kind, asked = type(spark.range(0)), []
+    plain = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda d, n, *c: asked.append(n) or plain(d, n, *c))
+    df = spark.range(3000).select(F.md5(F.col("id").cast("string").cast("binary")).alias("h"))
+    got = {r.h: r.n for r in number_rows(df, "h", "n", 3).collect()}
+    assert asked == [256] and got == {h: i + 1 for i, h in enumerate(sorted(got))} and len(got) == 3000
+
+
 def scan(rows, days=15):
     """Group numbers by the plain scan over all later records."""
     tag, n = {}, 0
@@ -198,3 +209,13 @@ def test_latest_opener_of_another_publisher(spark, width):
     got = C._latest_of_others(spark.createDataFrame(openers, kind), spark.createDataFrame(targets, kind), ["combo"], width).collect()
     want = {s: max((o for k, p, o in openers if k == c and p != e and o < s), default=None) for c, e, s in targets}
     assert len(got) == len(targets) and {r.seq: r.g for r in got} == want
+
+
+def test_second_best_does_not_sort_for_every_candidate(spark):
+    """A second publisher last of many candidates: the best is found once."""
+    n = 20_000
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(
+        (n - i).alias("v"), F.when(i == 1, "q").otherwise("p").alias("e"))).alias("c"))
+    start = time.monotonic()
+    assert [tuple(x) for x in df.repartition(2).select(C._two_best(F.col("c")).alias("b")).first().b] == [(0, "p"), (n - 1, "q")]
+    assert time.monotonic() - start < 20
