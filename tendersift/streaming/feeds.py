@@ -31,6 +31,8 @@ def daily_counts(feed: DataFrame, ts: str = "ts", source: str = "source", latene
 
 RECURRENCE = T.StructType([T.StructField("key", T.StringType()), T.StructField("n", T.LongType())])
 PARTIAL = "key string, n long, last timestamp"
+HELD = {"key": "object", "n": "int64", "last": "int64", "until": "int64"}   # state of one shard, a list each; `until` is when a key is forgotten
+SHARDS = 1024
 
 
 def _partial_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -39,29 +41,41 @@ def _partial_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield g.set_axis(["key", "n", "last"], axis=1)
 
 
-def recurrence(feed: DataFrame, key: str = "key", ts: str = "ts", days: int = 90, lateness: str = "1 day") -> DataFrame:
+def recurrence(feed: DataFrame, key: str = "key", ts: str = "ts", days: int = 90, lateness: str = "1 day",
+               shards: int = SHARDS) -> DataFrame:
     """STM4: keys seen at least twice; a key is forgotten `days` after its last record, in event time.
 
-    Rows are counted per Arrow batch before the shuffle, so a hot key brings one row per batch.
+    Rows are counted per Arrow batch before the shuffle, so a hot key brings one row per batch. The keys of one of `shards` hash values
+    share a row of state and a call, so a key costs a row of a frame and not a call; the state of a shard is that share of all keys.
     """
     partial = (feed.select(F.col(key).alias("key"), F.col(ts).alias("ts")).filter("key IS NOT NULL")
-               .mapInPandas(_partial_counts, PARTIAL).withWatermark("last", lateness))
+               .mapInPandas(_partial_counts, PARTIAL).withWatermark("last", lateness)
+               .withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))))
 
     def count(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        now = state.getCurrentWatermarkMs()
+        held = pd.DataFrame(dict(zip(HELD, state.get if state.exists else ([],) * 4))).astype(HELD)
+        met = pd.DataFrame(columns=RECURRENCE.names)
+        if not state.hasTimedOut:
+            new = pd.concat([f[["key", "n", "last"]] for f in frames])
+            new["last"] = new["last"].astype("datetime64[ms]").astype("int64")
+            both = pd.concat([held.drop(columns="until"), new]).groupby("key", sort=False).agg({"n": "sum", "last": "max"}).reset_index()
+            both["until"] = (both["last"] + days * 86_400_000).clip(lower=now + 1)
+            met = both[both["key"].isin(new["key"])]
+            held = pd.concat([held[~held["key"].isin(new["key"])], met])
+        # a key with rows in this batch lives on, however late they come
+        held = held[held["until"] >= now]
+        if held.empty:
             state.remove()
-            return
-        n, last = state.get if state.exists else (0, 0)
-        for f in frames:
-            n += int(f["n"].sum())
-            last = max(last, int(f["last"].max().timestamp() * 1000))
-        state.update((n, last))
-        state.setTimeoutTimestamp(max(last + days * 86_400_000, state.getCurrentWatermarkMs() + 1))
-        if n >= 2:
-            yield pd.DataFrame({"key": [k[0]], "n": [n]})
-
-    return partial.groupBy("key").applyInPandasWithState(
-        count, RECURRENCE, "n long, last long", "update", GroupStateTimeout.EventTimeTimeout)
+        else:
+            state.update(tuple(held[c].tolist() for c in HELD))
+            state.setTimeoutTimestamp(max(int(held["until"].min()), now + 1))
+        again = met[met["n"] >= 2]
+        if len(again):
+            yield again[RECURRENCE.names]
+
+    return partial.groupBy("shard").applyInPandasWithState(
+        count, RECURRENCE, "key array<string>, n array<long>, last array<long>, until array<long>", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def curated_upsert(feed: DataFrame, root: str, schema: T.StructType, checkpoint: str, available_now: bool = True) -> StreamingQuery:

@@ -128,6 +128,20 @@ def test_streams(spark, tmp_path):
     assert [(r.key, r.n) for r in run(feeds.recurrence(feed, key="source"), "update", "rec")] == [("a", 2)]
 
 
+@pytest.mark.parametrize("shards", [1, 8])
+def test_recurrence_of_many_keys_takes_a_call_a_shard(spark, tmp_path, shards):
+    """Keys of a shard share its state, each is forgotten by its own last record, also while others of its shard get rows."""
+    src, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    landings = [[("a", "2026-01-01 10:00:00"), ("b", "2026-01-01 11:00:00"), ("b", "2026-01-01 12:00:00"), ("d", "2026-05-01 10:00:00")],
+                [("c", "2026-06-01 10:00:00")], [("c", "2026-06-02 10:00:00"), ("d", "2026-06-02 10:00:00")], [("a", "2026-06-02 11:00:00"), ("c", "2026-06-02 11:00:00")]]
+    for rows in landings:
+        write_feed(spark, src, [("u", k, ts) for k, ts in rows])
+        feed = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+        w = feeds.recurrence(feed, key="source", shards=shards).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state"))
+        drain(w.foreachBatch(lambda b, i: b.write.mode("append").parquet(out)).trigger(availableNow=True).start())
+    assert sorted((r.key, r.n) for r in spark.read.parquet(out).collect()) == [("b", 2), ("c", 2), ("c", 3), ("d", 2)]
+
+
 def test_stream_upsert_is_idempotent(spark, tmp_path):
     src, root = str(tmp_path / "in"), str(tmp_path / "cur")
     batch = spark.createDataFrame([("a", "s", "1"), ("b", "s", "1")], "id string, source string, v string")
