@@ -11,6 +11,7 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,8 @@ NODE = T.ArrayType(T.StructType([
     T.StructField("key", T.StringType()), T.StructField("node", T.StringType()),
     T.StructField("text", T.StringType()), T.StructField("is_list", T.BooleanType())]))
 
+NODE_JSON = json.JSONEncoder(ensure_ascii=False).encode   # json.dumps makes a new encoder for every call
+
 # fixed values: keys of the three payload schemas
 AMOUNT_KEYS = ("EstimatedOverallContractAmount", "TotalAmount", "PayableAmount")
 OLD_AMOUNT_KEY = "VALEUR"
@@ -47,6 +50,20 @@ def _items(doc: object) -> Iterator[tuple[str, str, object]]:
             todo.extend((path, v) for v in reversed(cur))
 
 
+def _keyed(doc: object) -> Iterator[tuple[str, object]]:
+    """(key, value) as `_items` gives them, without the paths."""
+    todo = [doc]
+    while todo:
+        cur = todo.pop()
+        if isinstance(cur, tuple):
+            yield cur
+            cur = cur[1]
+        if isinstance(cur, dict):
+            todo.extend(reversed(cur.items()))
+        elif isinstance(cur, list):
+            todo.extend(reversed(cur))
+
+
 def _load(raw: str | None) -> object:
     try:
         return json.loads(raw) if raw else None
@@ -66,13 +83,20 @@ def nodes_with_keys(payload: Column, keys: Sequence[str]) -> Column:
     """
     names = {k.lower(): k for k in keys}
 
-    @F.pandas_udf(NODE)
-    def find(s: pd.Series) -> pd.Series:
-        def one(raw: str | None) -> list[dict]:
-            hits = ((names.get(k.rsplit(":", 1)[-1].lower()), v) for _, k, v in _items(_load(raw)))
-            return [{"key": n, "node": json.dumps(v, ensure_ascii=False), "text": _text(v),
-                     "is_list": isinstance(v, list)} for n, v in hits if n]
-        return s.map(one)
+    @F.arrow_udf(NODE)
+    def find(raw: pa.Array) -> pa.Array:
+        ends, key, node, text, is_list = [0], [], [], [], []
+        for r in raw:
+            for k, v in _keyed(_load(r.as_py())):
+                if n := names.get(k.rsplit(":", 1)[-1].lower()):
+                    key.append(n)
+                    node.append(NODE_JSON(v))
+                    text.append(_text(v))
+                    is_list.append(isinstance(v, list))
+            ends.append(len(key))
+        nodes = pa.StructArray.from_arrays([pa.array(key, pa.string()), pa.array(node, pa.string()), pa.array(text, pa.string()),
+                                            pa.array(is_list, pa.bool_())], ["key", "node", "text", "is_list"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), nodes)
 
     return find(payload)
 

@@ -96,3 +96,14 @@ def test_numbers(spark):
 @pytest.mark.parametrize("lexical,percent", [(None, 0), (17, 100), (30, 100), (1, 6)])
 def test_lexical_percent(spark, lexical, percent):
     assert spark.range(1).select(N.lexical_percent(F.lit(lexical).cast("int")).alias("v")).first()["v"] == percent
+
+
+def test_payload_nodes_as_lists_of_their_rows(spark):
+    """Nodes are handed over as one Arrow list array a batch; rows without nodes keep their place, null and bad payloads too."""
+    from tendersift.functions import payload as P
+    raw = [None, '{"x:VALEUR":{"#text":"1","é":[{"cpv":null,"VALEUR":"2"}]},"nbMois":[3]}', "{broken", '[[{"valeur":""}]]', "[]"]
+    assert [kv[0] for kv in P._keyed(P._load(raw[1]))] == [k for _, k, _ in P._items(P._load(raw[1]))] == ["x:VALEUR", "#text", "é", "cpv", "VALEUR", "nbMois"]
+    df = spark.createDataFrame(list(enumerate(raw)), "i int, p string").repartition(2)
+    got = {r.i: [tuple(n) for n in r.n] for r in df.select("i", P.nodes_with_keys(F.col("p"), P.WANTED).alias("n")).collect()}
+    assert got == {0: [], 2: [], 4: [], 3: [("VALEUR", '""', None, False)],
+                   1: [("VALEUR", '{"#text": "1", "é": [{"cpv": null, "VALEUR": "2"}]}', "1", False), ("CPV", "null", None, False), ("VALEUR", '"2"', "2", False), ("nbMois", "[3]", None, True)]}
