@@ -26,7 +26,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard 0.8) stays."""
+    """One document of each group of near copies stays: fingerprints of five-word shingles by ball hashing, verified at Jaccard 0.8."""
     return deduplicated(docs)
 
 

@@ -1,13 +1,16 @@
-"""Near copies by shingle overlap: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near copies by SimHash, for texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Every different set of shingles emits one bucket for each of `BANDS` bands of `ROWS` minimum hashes; two sets
-at 0.8 share no bucket once in 9,000 pairs, more similar ones far less often. A set of which more than a fifth is in no other
-set of a bucket is near none and leaves. Then, in rounds, every set of a bucket with more than one group is compared with the
-bucket's leader, verified on the whole sets of shingles; linked sets are one group. A leader links all of its near
-copies at once, so a group costs links by its size, not its pairs. The first leader is the set that shares most, later ones are
-drawn by hash; a round without a new link ends them. What is left open is settled exactly by an index of rare-first prefixes: two
-near sets share one of the first n - 0.8 n + 1 shingles of each in any common order, at places that leave enough shingles to
-share. Its lists meet across groups only.
+Two such sets differ in some ten of the 64 bits of `simhash.fingerprint`, more than ball hashing of whole fingerprints reaches, so
+a set has `FINGERPRINTS` fingerprints (`simhash.majority`) and each is cut into blocks of `BLOCK` bits. A block emits its variants
+within one bit (`simhash.variants`), so sets with blocks of one number at two or fewer differing bits meet in a bucket. In rounds,
+every set meets the first of the leaders of its buckets that are in other groups, verified on the whole sets of shingles; linked
+sets are one group. A leader links all of its near copies at once, so a group costs links by its size, not its pairs. The first
+leader is the set that shares most, later ones are drawn by hash; a round with few new links ends them.
+
+Exact checks before and after lose no link. Two near sets share one of the first n - 0.8 n + 1 shingles of each in any common
+order: a set that shares none of these in the order of hashes, or of which more than a fifth is in no other such set, is near
+none and emits nothing. What the fingerprints leave apart is settled by an index of rare-first prefixes, first in rounds with the
+leaders of its lists, then by the lists' pairs across groups, at places that leave enough shingles to share.
 
 Cases: a null, empty or blank text has no shingles, and all of them are one group; a text of fewer than five
 words is one shingle; lower case and white space are those of `simhash.fingerprint`; a null `doc_id`, repeated
@@ -25,16 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tendersift.components import components
-from tendersift.llm.simhash import LAST_ID, SEED, first_of_groups
+from tendersift.llm.hashing import mixed
+from tendersift.llm.simhash import LAST_ID, RADIUS, SEED, first_of_groups, majority, variants
+from tendersift.scale import attach_by_key
 from tendersift.session import cut_lineage
 
 SHINGLE_WORDS = 5
-BANDS, ROWS = 30, 6
+FINGERPRINTS, BLOCK = 4, 32                # of a set, and the bits of a block of one
+FEW = 0.05                                 # of all links so far: a round with fewer new ones is the last, since exact pairs follow
 MAY = "9 * least(found, other_found) >= 4 * (n + other_n)"   # no more can be in common than is found elsewhere
 PLACED = "9 * least(n - place, other_n - other_place) >= 4 * (n + other_n)"   # and no more than follows the first common shingle
-PIECE = 1 << 12                            # shingles hashed by all functions at once
-_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS, 1), dtype=np.uint64)
-MIX, TIMES = _DRAWN[0], _DRAWN[1] | np.uint64(1)
+_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 63, FINGERPRINTS, dtype=np.uint64)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -48,34 +52,38 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(np.array([digest(join(s), SEED) for s in runs], np.uint64))
 
 
-def buckets(h: np.ndarray) -> list[int]:
-    """One signed bucket number a band; none for a text without shingles."""
-    if not len(h):
-        return []
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(h), PIECE):
-        x = (h[None, i:i + PIECE] ^ MIX) * TIMES
-        np.minimum(least, (x ^ (x >> np.uint64(32))).min(1), out=least)
-    least = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(least[b].tobytes(), b) for b in range(BANDS)], np.uint64).view(np.int64).tolist()
+def prefix_size(n: int) -> int:
+    """How many shingles of a set, in any order common to all sets, hold one of every near set's."""
+    return n - -(-4 * n // 5) + 1 if n else 0
+
+
+def blocks(h: np.ndarray) -> list[int]:
+    """The blocks of a set's fingerprints, each below its number; the first fingerprint is of the hashes themselves."""
+    out = []
+    for j in range(FINGERPRINTS if len(h) else 0):
+        fp = majority(mixed(h ^ _DRAWN[j]) if j else h)
+        for at in range(0, 64, BLOCK):
+            out.append((len(out) << BLOCK) | ((fp >> at) & ((1 << BLOCK) - 1)))
+    return out
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        key, n, held = [], [], []
+        key, n, first = [], [], []
         for t in b.column(2):
             h = shingles(t.as_py() or b"")
             key.append(xxhash.xxh64_intdigest(h.tobytes(), SEED))
             n.append(len(h))
-            held.append(buckets(h))
+            first.append(h[:prefix_size(len(h))].view(np.int64))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(n, pa.int64()),
-                                          pa.array(held, pa.list_(pa.int64()))], ["k", "text_hash", "key", "n", "buckets"])
+                                          pa.array(first, pa.list_(pa.int64()))], ["k", "text_hash", "key", "n", "first"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        h = [shingles(t.as_py() or b"").view(np.int64) for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h, pa.list_(pa.int64()))], ["key", "shingles"])
+        h = [shingles(t.as_py() or b"") for t in b.column(1)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.view(np.int64) for x in h], pa.list_(pa.int64())),
+                                          pa.array([blocks(x) for x in h], pa.list_(pa.int64()))], ["key", "shingles", "blocks"])
 
 
 def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -95,32 +103,55 @@ def _found(sets: DataFrame) -> DataFrame:
     return one.join(again, "shingle").groupBy("key").agg(F.count(F.lit(1)).alias("found"))
 
 
-def _led(entries: DataFrame, order: Column) -> DataFrame:
-    """Pairs of every entry (bucket, key, n, found, root) with the first of its bucket by `order`, across groups."""
-    own = [F.col(c).alias(a) for c, a in (("key", "other"), ("n", "other_n"), ("found", "other_found"), ("root", "other_root"))]
-    heads = entries.groupBy("bucket").agg(F.min(F.struct(order.alias("order"), *own)).alias("h"))
-    return entries.join(heads.select("bucket", "h.*").drop("order"), "bucket").filter("root <> other_root")
-
-
 def _grouped(held: DataFrame, tree: DataFrame) -> DataFrame:
     return held.join(tree.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
-def _open(grouped: DataFrame) -> DataFrame:
-    """Entries (bucket, key, n, found, root) of the buckets with several groups."""
-    entries = grouped.select("key", "n", "found", "root", F.explode("buckets").alias("bucket"))
-    several = entries.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
-    return cut_lineage(entries.join(several, "bucket"))
+def _open(entries: DataFrame, grouped: DataFrame) -> DataFrame:
+    """`entries` (bucket, key) of the buckets with several groups, as (bucket, key, n, found, root)."""
+    named = entries.join(grouped, "key").select("bucket", "key", "n", "found", "root")
+    several = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket")
+    return cut_lineage(named.join(several, "bucket"))
 
 
-def _across(keys: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different groups of `keys` (key, n, found, root) that share a shingle of both prefixes, at places that may do."""
-    one = keys.join(sets, "key").select("key", F.explode("shingles").alias("shingle"))
+def _led(entries: DataFrame, order: Column) -> DataFrame:
+    """Every set of `entries` (bucket, key, n, found, root) with the first, by `order`, of its buckets' leaders in other groups."""
+    own = [F.col(c).alias(a) for c, a in (("key", "other"), ("n", "other_n"), ("found", "other_found"), ("root", "other_root"))]
+    heads = entries.groupBy("bucket").agg(F.min(F.struct(order.alias("order"), *own)).alias("h"))
+    met = entries.join(heads.select("bucket", "h.*"), "bucket").filter(f"root <> other_root AND {MAY}")
+    return (met.groupBy("key", "n", "found").agg(F.min(F.struct("order", "other", "other_n", "other_found")).alias("h"))
+            .select("key", "n", "found", "h.*").drop("order"))
+
+
+def _by_leaders(entries: DataFrame, held: DataFrame, sets: DataFrame, links: DataFrame, tree: DataFrame,
+                known: int = 0) -> tuple[DataFrame, DataFrame, int]:
+    """(links, their components, their number) with what the leaders of the buckets of `entries` (bucket, key) add, in rounds."""
+    turn = 0
+    while True:
+        entries = _open(entries.select("bucket", "key"), _grouped(held, tree))   # groups only grow, so a closed bucket stays closed
+        order = F.col("n") / F.col("found") if turn == 0 else F.xxhash64("key", F.lit(turn)).cast("double")
+        new = _near(_led(entries, order), sets)
+        met = new.count()
+        if met:
+            links, known = links.union(new), known + met
+            tree = cut_lineage(components(links))
+        if met < FEW * known or entries.isEmpty() or turn and not met:
+            return links, tree, known
+        turn += 1
+
+
+def _prefixes(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, place, shingle) of the rare-first prefixes, without shingles that are in no other set."""
+    one = held.select("key").join(sets, "key").select("key", F.explode("shingles").alias("shingle"))
     often = one.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
-    prefix = (one.join(often, "shingle").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("s"))
-              .join(keys, "key").select("key", "n", "found", "root", F.posexplode(F.expr("slice(s, 1, cast(n - ceil(0.8 * n) + 1 AS int))")))
-              .filter("col.often > 1").select("key", "n", "found", "root", F.col("pos").alias("place"), F.col("col.shingle").alias("shingle")))
-    prefix = cut_lineage(prefix)
+    ranked = (one.join(often, "shingle").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("s")))
+    return cut_lineage(ranked.select("key", F.posexplode(F.expr("slice(s, 1, size(s) - cast(ceil(4 * size(s) / 5) AS int) + 1)")))
+                       .filter("col.often > 1").select("key", F.col("pos").alias("place"), F.col("col.shingle").alias("shingle")))
+
+
+def _across(prefixes: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Pairs of different groups that share a shingle of both prefixes, at places that may do."""
+    prefix = cut_lineage(prefixes.join(grouped, "key").select("key", "n", "found", "root", "place", "shingle"))
     largest = (prefix.groupBy("shingle", "root").count().groupBy("shingle")
                .agg(F.max(F.struct("count", "root")).alias("m"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
                .select("shingle", F.col("m.root").alias("largest")))
@@ -135,25 +166,25 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """(k, text_hash, root), one row per row of `docs`; k is the id, or LAST_ID for none."""
     k = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("k")
     rows = docs.select(k, F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).cast("string").cast("binary").alias("text"))
-    marks = cut_lineage(rows.mapInArrow(_marks, "k long, text_hash long, key long, n long, buckets array<long>"))
+    marks = cut_lineage(rows.mapInArrow(_marks, "k long, text_hash long, key long, n long, first array<long>"))
     reps = cut_lineage(marks.groupBy("key").agg(F.min(F.struct("k", "text_hash")).alias("m"), F.first("n").alias("n"),
-                                                F.first("buckets").alias("buckets")))
-    entries = reps.select("key", F.explode("buckets").alias("bucket"))
-    shared = entries.join(entries.groupBy("bucket").count().filter("count > 1").select("bucket"), "bucket").select("key").distinct()
-    wanted = cut_lineage(shared.join(reps, "key").select("key", "m.k", "m.text_hash"))
-    sets = cut_lineage(rows.join(wanted, ["k", "text_hash"]).select("key", "text")
-                       .mapInArrow(_sets, "key long, shingles array<long>").groupBy("key").agg(F.first("shingles").alias("shingles")))
-    held = cut_lineage(reps.join(_found(sets).filter("found > 0"), "key").filter("5 * found >= 4 * n").select("key", "n", "found", "buckets"))
-    links, tree, turn = None, held.sparkSession.createDataFrame([], "node long, root long"), 0
-    while True:
-        open_ = _open(_grouped(held, tree))
-        order = F.col("n") / F.col("found") if turn == 0 else F.xxhash64("key", F.lit(turn)).cast("double")
-        new = _near(_led(open_, order), sets)
-        if turn and new.isEmpty():
-            break
-        links = new if links is None else links.union(new)
-        tree, turn = cut_lineage(components(links)), turn + 1
-    more = _near(_across(open_.select("key", "n", "found", "root").distinct(), sets), sets)
+                                                F.first("first").alias("first")))
+    firsts = reps.select("key", F.explode("first").alias("shingle"))
+    again = cut_lineage(firsts.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"))
+    shared = attach_by_key(firsts, again, ["shingle"], "often", "key").filter("often is not null").select("key").distinct()
+    wanted = cut_lineage(shared.join(reps.select("key", "m"), "key").select("key", "m.k", "m.text_hash"))
+    made = cut_lineage(rows.join(wanted, ["k", "text_hash"]).select("key", "text")
+                       .mapInArrow(_sets, "key long, shingles array<long>, blocks array<long>")
+                       .groupBy("key").agg(F.first("shingles").alias("shingles"), F.first("blocks").alias("blocks")))
+    sets = made.select("key", "shingles")
+    held = cut_lineage(reps.select("key", "n").join(_found(sets).filter("found > 0"), "key").filter("5 * found >= 4 * n"))
+    links = held.sparkSession.createDataFrame([], "a long, b long")
+    tree = held.sparkSession.createDataFrame([], "node long, root long")
+    balls = variants(held.select("key").join(made, "key").select("key", F.explode("blocks").alias("fp")), RADIUS, BLOCK)
+    links, tree, known = _by_leaders(balls.select("key", F.col("variant").alias("bucket")), held, sets, links, tree)
+    prefixes = _prefixes(held, sets)
+    links, tree, known = _by_leaders(prefixes.select("key", F.col("shingle").alias("bucket")), held, sets, links, tree, known)
+    more = _near(_across(prefixes, _grouped(held, tree)), sets)
     if not more.isEmpty():
         tree = cut_lineage(components(links.union(more)))
     named = _grouped(reps.select("key"), tree)

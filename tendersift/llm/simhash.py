@@ -31,6 +31,15 @@ LAST_ID = (1 << 63) - 1   # stands for a null id in orders
 PIECE = 1 << 15           # shingles whose bits are counted at once
 
 
+def majority(h: np.ndarray) -> int:
+    """The signed number of the bits that are set in over half of the hashes."""
+    counts = np.zeros(64, np.int64)
+    for i in range(0, len(h), PIECE):
+        part = h[i:i + PIECE]
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(h), bitorder="little").view(np.int64)[0])
+
+
 def fingerprint(text: bytes, k: int = SHINGLE_WORDS) -> int:
     """Bit i is set when it is set in over half of the shingles' hashes; bytes.lower and split know ASCII only."""
     words = text.lower().split()
@@ -38,12 +47,7 @@ def fingerprint(text: bytes, k: int = SHINGLE_WORDS) -> int:
         return 0
     digest, join = xxhash.xxh64_intdigest, b" ".join
     shingles = zip(*(words[i:] for i in range(k))) if len(words) >= k else [words]
-    h = np.array([digest(join(s), SEED) for s in shingles], np.uint64)
-    counts = np.zeros(64, np.int64)
-    for i in range(0, len(h), PIECE):
-        part = h[i:i + PIECE]
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(h), bitorder="little").view(np.int64)[0])
+    return majority(np.array([digest(join(s), SEED) for s in shingles], np.uint64))
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,13 +57,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64())], ["doc_id", "text_hash", "fp"])
 
 
-def variants(fp: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(variant, fp) for all variants of `fp` within half the radius (0 or 1 bits)."""
+def variants(fp: DataFrame, radius: int = RADIUS, bits: int = 64) -> DataFrame:
+    """The rows of `fp` with every `variant` of their column fp within half the radius (0 or 1 of its lowest `bits` bits)."""
     if radius // 2 > 1:
         raise ValueError("radius up to 3")
     ball = ("array(fp)" if radius < 2 else
-            "transform(sequence(0, 64), i -> IF(i = 64, fp, fp ^ shiftleft(1L, i)))")
-    return fp.select("fp", F.explode(F.expr(ball)).alias("variant"))
+            f"transform(sequence(0, {bits}), i -> IF(i = {bits}, fp, fp ^ shiftleft(1L, i)))")
+    return fp.select("*", F.explode(F.expr(ball)).alias("variant"))
 
 
 def links(fp: DataFrame, radius: int = RADIUS) -> DataFrame:

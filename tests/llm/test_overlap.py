@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tendersift.llm import overlap
+from tendersift.llm import overlap, simhash
 
 SIMILAR = 0.8
 
@@ -107,3 +107,28 @@ def test_users_columns_of_any_name_come_back(spark):
 
 def test_empty_table(spark, table):
     assert overlap.deduplicated(table([]).limit(0)).count() == 0
+
+
+def test_first_fingerprint_is_that_of_the_named_method():
+    text = " ".join(f"w{i}" for i in range(200)).encode()
+    held = overlap.blocks(overlap.shingles(text))
+    assert sum((held[i] & 0xffffffff) << 32 * i for i in (0, 1)) == simhash.fingerprint(text, 5) % (1 << 64)
+    assert [b >> 32 for b in held] == list(range(8))
+
+
+def test_links_come_from_fingerprints(spark, table, monkeypatch):
+    """Without the index that follows, blocks within two bits link the near copies."""
+    rows = []
+    for g in range(60):
+        words = [f"g{g}_{i}" for i in range(200)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[:197] + ["x", "y", "z"]))]
+    prefixes = overlap._prefixes
+    monkeypatch.setattr(overlap, "_prefixes", lambda *a: prefixes(*a).limit(0))
+    assert len(stay(overlap.deduplicated(table(rows)))) <= 63
+
+
+def test_pair_at_the_bound_without_a_shared_minimum_hash(spark, table):
+    """These two shared no bucket of 30 bands of six minimum hashes, so they were never compared."""
+    a = [f"11918a{i}" for i in range(94)]
+    rows = [(1, " ".join(a)), (2, " ".join(a[:84] + [f"11918b{i}" for i in range(10)]))]
+    assert stay(overlap.deduplicated(table(rows))) == brute(rows) == [1]
