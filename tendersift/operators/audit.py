@@ -19,13 +19,17 @@ MOST_BANDS = 100_000    # bands whose ranges may travel to the tasks
 
 
 def wording(df: DataFrame, book: RuleBook) -> DataFrame:
-    """What the alerts need of a text, row by row: (seq, has_text, salaried, free, proof). Nothing wide goes on."""
+    """What the alerts need of a text, row by row: (seq, has_text, salaried, free, proof). Nothing wide goes on.
+
+    The proof is null, and its text is not looked at, where the wording raises no alert.
+    """
     body = "concat(' ', lower(coalesce(body, '')), ' ')"
     offer = "concat(' ', lower(coalesce(title, '')), ' ', lower(coalesce(body, '')), ' ')"
+    tested = df.select("seq", "body", F.col("body").isNotNull().alias("has_text"), book.hit("salary_wording", body).alias("salaried"),
+                       book.hit("freelance_wording", offer).alias("free"))
+    flat = tested.withColumn("_flat", F.when(F.col("salaried") & ~F.col("free"), X.squeeze(F.col("body"))))
     proof = X.keyword_in_context("_flat", book.terms("salary_wording"), 45, 90)
-    flat = df.withColumn("_flat", X.squeeze(F.coalesce(F.col("body"), F.lit(""))))
-    return flat.select("seq", F.col("body").isNotNull().alias("has_text"), book.hit("salary_wording", body).alias("salaried"),
-                       book.hit("freelance_wording", offer).alias("free"), proof.alias("proof"))
+    return flat.select("seq", "has_text", "salaried", "free", proof.alias("proof"))
 
 
 def alerts(df: DataFrame, book: RuleBook) -> DataFrame:

@@ -137,3 +137,12 @@ def test_publishers_and_wishes_of_one_word_make_no_product(spark):
     queries = spark.range(n).selectExpr("int(id) AS query_id", "'bus' AS title", "concat('-', id, '-') AS entity")
     got = J.match_by_title_and_entity(queries, rows)
     assert got.filter("query_id <> seq").count() == 0 and got.count() == n
+
+
+def test_texts_that_raise_no_salary_alert_are_not_quoted(spark):
+    from tendersift.operators.audit import wording
+    b = RuleBook([Rule("salary_wording", "salaire"), Rule("freelance_wording", "freelance")])
+    rows = [(1, "a", "un  salaire\nfixe"), (2, "Freelance", "un salaire fixe"), (3, "a", "rien"), (4, "a", None)]
+    got = {r["seq"]: tuple(r)[1:] for r in wording(spark.createDataFrame(rows, "seq long, title string, body string"), b).collect()}
+    assert got == {1: (True, True, False, "...un salaire fixe..."), 2: (True, True, True, None), 3: (True, False, False, None),
+                   4: (False, False, False, None)}
