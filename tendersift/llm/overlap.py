@@ -7,10 +7,11 @@ every set meets the first of the leaders of its buckets that are in other groups
 sets are one group. A leader links all of its near copies at once, so a group costs links by its size, not its pairs. The first
 leader is the set that shares most, later ones are drawn by hash; a round with few new links ends them.
 
-Exact checks before and after lose no link. Two near sets share one of the first n - 0.8 n + 1 shingles of each in any common
-order: a set that shares none of these in the order of hashes, or of which more than a fifth is in no other such set, is near
-none and emits nothing. What the fingerprints leave apart is settled by an index of rare-first prefixes, first in rounds with the
-leaders of its lists, then by the lists' pairs across groups, at places that leave enough shingles to share.
+Exact checks before and after lose no link. In any common order, the first n - 0.8 n + k shingles of a set hold the first k of those it
+shares with a near set. So a set is near none, and emits nothing, if it has too few of these, in the order of hashes, in common with
+other sets (`asked` of its smallest near set), or if more than a fifth of it is in no other set that is left; only sets that pass are
+written whole. What the fingerprints leave apart is settled by an index of rare-first prefixes, first in rounds with the leaders of
+its lists, then by the lists' pairs across groups, at places that leave enough shingles to share.
 
 Cases: a null, empty or blank text has no shingles, and all of them are one group; a text of fewer than five
 words is one shingle; lower case and white space are those of `simhash.fingerprint`; a null `doc_id`, repeated
@@ -19,7 +20,7 @@ ids and repeated rows are rows of their own; other columns are ignored; no rows,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 
 from tendersift.components import components
 from tendersift.llm.hashing import mixed
+from tendersift.llm.shared import shared
 from tendersift.llm.simhash import LAST_ID, RADIUS, SEED, first_of_groups, majority, variants
-from tendersift.scale import attach_by_key
+from tendersift.scale import sized_broadcast
 from tendersift.session import cut_lineage
 
 SHINGLE_WORDS = 5
@@ -38,6 +40,7 @@ FINGERPRINTS, BLOCK = 4, 32                # of a set, and the bits of a block o
 FEW = 0.05                                 # of all links so far: a round with fewer new ones is the last, since exact pairs follow
 MAY = "9 * least(found, other_found) >= 4 * (n + other_n)"   # no more can be in common than is found elsewhere
 PLACED = "9 * least(n - place, other_n - other_place) >= 4 * (n + other_n)"   # and no more than follows the first common shingle
+FEW_ROWS = 200_000                         # keys that are broadcast, if they are few bytes too
 _DRAWN = np.random.default_rng(SEED).integers(0, 1 << 63, FINGERPRINTS, dtype=np.uint64)
 
 
@@ -52,9 +55,18 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(np.array([digest(join(s), SEED) for s in runs], np.uint64))
 
 
-def prefix_size(n: int) -> int:
-    """How many shingles of a set, in any order common to all sets, hold one of every near set's."""
-    return n - -(-4 * n // 5) + 1 if n else 0
+def prefix_size(n: int, common: int = 1) -> int:
+    """How many shingles of a set, in any order common to all sets, hold `common` of every near set's first ones."""
+    return n - -(-4 * n // 5) + common if n else 0
+
+
+def asked(n: int) -> int:
+    """How many of a set's first shingles have to be among another set's first ones, for a prefix of so many more."""
+    return min(-(-4 * n // 5), max(16, n // 20))
+
+
+def _keys(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array(np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], np.uint64).view(np.int64))
 
 
 def blocks(h: np.ndarray) -> list[int]:
@@ -69,14 +81,17 @@ def blocks(h: np.ndarray) -> list[int]:
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        key, n, first = [], [], []
-        for t in b.column(2):
-            h = shingles(t.as_py() or b"")
-            key.append(xxhash.xxh64_intdigest(h.tobytes(), SEED))
-            n.append(len(h))
-            first.append(h[:prefix_size(len(h))].view(np.int64))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(key, np.uint64).view(np.int64)), pa.array(n, pa.int64()),
-                                          pa.array(first, pa.list_(pa.int64()))], ["k", "text_hash", "key", "n", "first"])
+        h = [shingles(t.as_py() or b"") for t in b.column(2)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _keys(h), pa.array([len(x) for x in h], pa.int64())],
+                                         ["k", "text_hash", "key", "n"])
+
+
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        h = [shingles(t.as_py() or b"") for t in b.column(0)]
+        first = [x[:prefix_size(len(x), asked(len(x)))] for x in h]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(_keys(h).to_numpy(), [len(x) for x in first])),
+                                          pa.array(np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64))], ["key", "item"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,19 +103,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) among `pairs` (key, n, found, other, other_n, other_found) that are near on their whole sets."""
-    some = (pairs.filter(f"key <> other AND {MAY}")
-            .select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"), (F.col("n") + F.col("other_n")).alias("both"))
-            .distinct())
-    return cut_lineage(cut_lineage(some).join(sets, "key").join(sets.toDF("other", "others"), "other")
+    some = cut_lineage(pairs.filter(f"key <> other AND {MAY}")
+                       .select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"), (F.col("n") + F.col("other_n")).alias("both"))
+                       .distinct())
+    named = cut_lineage(some.select("key").union(some.select("other")).distinct())
+    asked_for = sets.join(sized_broadcast(named, FEW_ROWS), "key", "left_semi")   # no other set is shuffled
+    return cut_lineage(some.join(asked_for, "key").join(asked_for.toDF("other", "others"), "other")
                        .filter(9 * F.size(F.array_intersect("shingles", "others")) >= 4 * F.col("both"))
                        .select(F.col("key").alias("a"), F.col("other").alias("b")))
 
 
-def _found(sets: DataFrame) -> DataFrame:
-    """(key, found): how many of a set's shingles are in another of `sets`."""
-    one = sets.select("key", F.explode("shingles").alias("shingle"))
-    again = one.groupBy("shingle").count().filter("count > 1").select("shingle")
-    return one.join(again, "shingle").groupBy("key").agg(F.count(F.lit(1)).alias("found"))
+def _found(rows: DataFrame, about: int, make: Callable | None = None) -> DataFrame:
+    """(key, found): how many items of a key in `rows` (key, item), or in what `make` makes of them, other keys have too."""
+    return shared(rows, about, make).groupBy("key").agg(F.count(F.lit(1)).alias("found"))
 
 
 def _grouped(held: DataFrame, tree: DataFrame) -> DataFrame:
@@ -166,22 +181,25 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """(k, text_hash, root), one row per row of `docs`; k is the id, or LAST_ID for none."""
     k = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("k")
     rows = docs.select(k, F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).cast("string").cast("binary").alias("text"))
-    marks = cut_lineage(rows.mapInArrow(_marks, "k long, text_hash long, key long, n long, first array<long>"))
-    reps = cut_lineage(marks.groupBy("key").agg(F.min(F.struct("k", "text_hash")).alias("m"), F.first("n").alias("n"),
-                                                F.first("first").alias("first")))
-    firsts = reps.select("key", F.explode("first").alias("shingle"))
-    again = cut_lineage(firsts.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"))
-    shared = attach_by_key(firsts, again, ["shingle"], "often", "key").filter("often is not null").select("key").distinct()
-    wanted = cut_lineage(shared.join(reps.select("key", "m"), "key").select("key", "m.k", "m.text_hash"))
-    made = cut_lineage(rows.join(wanted, ["k", "text_hash"]).select("key", "text")
-                       .mapInArrow(_sets, "key long, shingles array<long>, blocks array<long>")
-                       .groupBy("key").agg(F.first("shingles").alias("shingles"), F.first("blocks").alias("blocks")))
-    sets = made.select("key", "shingles")
-    held = cut_lineage(reps.select("key", "n").join(_found(sets).filter("found > 0"), "key").filter("5 * found >= 4 * n"))
+    marks = cut_lineage(rows.mapInArrow(_marks, "k long, text_hash long, key long, n long"))
+    reps = cut_lineage(marks.groupBy("key").agg(F.min(F.struct("k", "text_hash")).alias("m"), F.first("n").alias("n")))
+    about = marks.agg(F.coalesce(F.sum(F.expr("n div 5 + least(n, greatest(16, n div 20))")), F.lit(0))).first()[0]
+    firsts = _found(rows.select("text"), about, _firsts)
+    m = "cast(ceil(4 * n / 5) AS long)"   # the size of the smallest near set, which may ask for less
+    wanted = cut_lineage(reps.join(firsts, "key").filter(f"found >= least(cast(ceil(4 * {m} / 5) AS long), greatest(16, {m} div 20))")
+                         .select("key", "m.k", "m.text_hash", "n"))
+    made = cut_lineage(rows.join(sized_broadcast(wanted.drop("n"), FEW_ROWS), ["k", "text_hash"])
+                       .groupBy("key").agg(F.first("text").alias("text")).mapInArrow(_sets, "key long, shingles array<long>, blocks array<long>"))
+    about = wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = _found(made.select("key", F.explode("shingles").alias("item")), about)
+    held = cut_lineage(wanted.select("key", "n").join(found, "key").filter("5 * found >= 4 * n"))
+    sets = cut_lineage(made.join(sized_broadcast(held.select("key"), FEW_ROWS), "key", "left_semi"))
     links = held.sparkSession.createDataFrame([], "a long, b long")
     tree = held.sparkSession.createDataFrame([], "node long, root long")
-    balls = variants(held.select("key").join(made, "key").select("key", F.explode("blocks").alias("fp")), RADIUS, BLOCK)
-    links, tree, known = _by_leaders(balls.select("key", F.col("variant").alias("bucket")), held, sets, links, tree)
+    balls = variants(sets.select("key", F.explode("blocks").alias("fp")), RADIUS, BLOCK).select("key", F.col("variant").alias("item"))
+    met = cut_lineage(shared(balls, held.count() * 2 * FINGERPRINTS * (1 + BLOCK)))
+    sets = sets.select("key", "shingles")
+    links, tree, known = _by_leaders(met.select("key", F.col("item").alias("bucket")), held, sets, links, tree)
     prefixes = _prefixes(held, sets)
     links, tree, known = _by_leaders(prefixes.select("key", F.col("shingle").alias("bucket")), held, sets, links, tree, known)
     more = _near(_across(prefixes, _grouped(held, tree)), sets)

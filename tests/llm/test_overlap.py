@@ -132,3 +132,21 @@ def test_pair_at_the_bound_without_a_shared_minimum_hash(spark, table):
     a = [f"11918a{i}" for i in range(94)]
     rows = [(1, " ".join(a)), (2, " ".join(a[:84] + [f"11918b{i}" for i in range(10)]))]
     assert stay(overlap.deduplicated(table(rows))) == brute(rows) == [1]
+
+
+def test_sets_are_written_only_where_enough_is_shared(spark, table, monkeypatch):
+    """Long texts that share a passage but are no near copies: their whole sets were written and shuffled, now only the copies' are."""
+    passage = [f"license{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"own{i}_{j}" for j in range(500)])) for i in range(100)]
+    rows += [(200 + i, f"{rows[i][1]} end") for i in range(5)]
+    written = []
+    cut = overlap.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        lists = [F.sum(F.size(c)) for c, kind in out.dtypes if kind == "array<bigint>" and c != "blocks"]
+        written.extend(x or 0 for x in out.agg(*lists).first()) if lists else None
+        return out
+    monkeypatch.setattr(overlap, "cut_lineage", counted)
+    assert stay(overlap.deduplicated(table(rows))) == list(range(100))
+    assert sum(written) < 2 * 10 * 600   # the sets of five pairs, as made and as held
