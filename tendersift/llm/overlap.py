@@ -41,6 +41,7 @@ FEW = 0.05                                 # of all links so far: a round with f
 MAY = "9 * least(found, other_found) >= 4 * (n + other_n)"   # no more can be in common than is found elsewhere
 PLACED = "9 * least(n - place, other_n - other_place) >= 4 * (n + other_n)"   # and no more than follows the first common shingle
 FEW_ROWS = 200_000                         # keys that are broadcast, if they are few bytes too
+TEXTS = 500                                # whose sets a worker holds at once
 _DRAWN = np.random.default_rng(SEED).integers(0, 1 << 63, FINGERPRINTS, dtype=np.uint64)
 
 
@@ -79,15 +80,22 @@ def blocks(h: np.ndarray) -> list[int]:
     return out
 
 
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of batches, so that a worker holds the sets of few texts."""
     for b in batches:
+        for at in range(0, b.num_rows, TEXTS):
+            yield b.slice(at, TEXTS)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _few(batches):
         h = [shingles(t.as_py() or b"") for t in b.column(2)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _keys(h), pa.array([len(x) for x in h], pa.int64())],
                                          ["k", "text_hash", "key", "n"])
 
 
 def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _few(batches):
         h = [shingles(t.as_py() or b"") for t in b.column(0)]
         first = [x[:prefix_size(len(x), asked(len(x)))] for x in h]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(_keys(h).to_numpy(), [len(x) for x in first])),
@@ -95,7 +103,7 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in _few(batches):
         h = [shingles(t.as_py() or b"") for t in b.column(1)]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.view(np.int64) for x in h], pa.list_(pa.int64())),
                                           pa.array([blocks(x) for x in h], pa.list_(pa.int64()))], ["key", "shingles", "blocks"])

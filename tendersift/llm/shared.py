@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 
 from tendersift.llm.hashing import mixed
 
-HELD = 1 << 20           # rows a task holds before it sends them
-SEGMENT_ROWS = 1 << 20   # of a segment, on average
+HELD = 1 << 18           # rows a task holds before it sends them
+SEGMENT_ROWS = 1 << 19   # of a segment, on average
 LEAST_SEGMENTS = 16
 
 
