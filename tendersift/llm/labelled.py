@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +18,27 @@ from tendersift.session import cut_lineage
 FOLDS = 5
 
 
+def released() -> None:
+    """Give freed memory back to the system. Arrow's pool keeps what tables leave, and glibc what many small arrays leave
+    between others that live on; either would stay with the driver for all later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):   # glibc only
+        trim(0)
+
+
+def releasing(fit: Callable) -> Callable:
+    """`fit`, which leaves the driver no more than the model: the sample's memory is given back when its last name is gone."""
+    @functools.wraps(fit)
+    def run(*args: object, **named: object) -> object:
+        released()
+        try:
+            return fit(*args, **named)
+        finally:
+            released()
+    return run
+
+
 def sample(labels: DataFrame, label: str, per_class: tuple[int, int], doc_id: str = "doc_id") -> tuple[DataFrame, dict[int, float]]:
     """At most `per_class[y]` rows (doc_id, y) of each label y 0 and 1, by the hash of the id, none held out;
     and for each label how many rows one sampled row stands for.

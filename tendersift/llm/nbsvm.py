@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendersift.llm.hashing import WIDTH, indicators, several_scores
-from tendersift.llm.labelled import FOLDS, platt, sample, sampled_rows, sigmoid
+from tendersift.llm.labelled import FOLDS, platt, releasing, sample, sampled_rows, sigmoid
 from tendersift.llm.texts import read, remainder, text_slices
 
 PER_CLASS = (3000, 3000)      # labelled rows of each label a model is fitted on, at most
@@ -89,6 +89,7 @@ def unit_lengths(rows: list[np.ndarray], scale: np.ndarray) -> np.ndarray:
     return np.array([max(np.sqrt((scale[r] ** 2).sum()), 1e-12) for r in rows])
 
 
+@releasing
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
         per_class: tuple[int, int] = PER_CLASS) -> Linear:
     chosen, stands_for = sample(labels, label, per_class)

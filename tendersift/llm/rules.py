@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendersift.llm.hashing import SPACES, WIDTH, Hashes, distinct, repeated_lines, several_scores, spans
-from tendersift.llm.labelled import platt, sample, sampled_rows, sigmoid
+from tendersift.llm.labelled import platt, releasing, sample, sampled_rows, sigmoid
 from tendersift.llm.nbsvm import indicator_rows
 from tendersift.llm.texts import read, text_slices
 
@@ -100,6 +100,7 @@ def regress(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, width: in
     return w, used, b
 
 
+@releasing
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
         per_class: tuple[int, int] = PER_CLASS) -> Logistic:
     chosen, stands_for = sample(labels, label, per_class)

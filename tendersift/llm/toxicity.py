@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tendersift.llm.hashing import LOWER, Hashes, mixed, spans
-from tendersift.llm.labelled import FOLDS, sample, sampled_rows, sigmoid
+from tendersift.llm.labelled import FOLDS, releasing, sample, sampled_rows, sigmoid
 from tendersift.llm.texts import read, remainder, text_slices
 
 PER_CLASS = (2500, 1250)   # labelled rows of label 0 and of label 1 a model is fitted on, at most
@@ -104,6 +104,7 @@ def train(idx: np.ndarray, sent: np.ndarray, doc: np.ndarray, y: np.ndarray, wei
     return Mil(w, b)
 
 
+@releasing
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
         per_class: tuple[int, int] = PER_CLASS) -> Mil:
     chosen, stands_for = sample(labels, label, per_class)
